@@ -3,12 +3,18 @@
 from __future__ import annotations
 
 from .chat import OP8_SQL, op8_chat
+from .line_crf import op6_rules
+from .lm_score import op5_lm
 from .mixing import op10_mix
 from .packing import op2_pack
+from .quality_rff import op3_quality
 from .tiff_media import op9_tiff
 
 QUERIES = {
     "op2_pack": op2_pack,
+    "op3_quality": op3_quality,
+    "op5_lm": op5_lm,
+    "op6_rules": op6_rules,
     "op8_chat": op8_chat,
     "op9_tiff": op9_tiff,
     "op10_mix": op10_mix,
