@@ -31,15 +31,20 @@ _LOWER[65:91] += 32
 
 # ---------------------------------------------------------------- scratch tables
 
+#: The folder of a local session without spark.checkpoint.dir.
+_OWN_ROOT: list[str] = []
+
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder that all executors share: spark.checkpoint.dir, or a temporary one of a local session."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="millrace-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        if not _OWN_ROOT:
+            _OWN_ROOT.append(tempfile.mkdtemp(prefix="millrace-"))
+        root = _OWN_ROOT[0]
     return root.rstrip("/")
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .chat import OP8_SQL, op8_chat
+from .html_extract import op4_extract
+from .jaccard_join import op7_jaccard
 from .line_crf import op6_rules
 from .lm_score import op5_lm
 from .mixing import op10_mix
@@ -13,8 +15,10 @@ from .tiff_media import op9_tiff
 QUERIES = {
     "op2_pack": op2_pack,
     "op3_quality": op3_quality,
+    "op4_extract": op4_extract,
     "op5_lm": op5_lm,
     "op6_rules": op6_rules,
+    "op7_jaccard": op7_jaccard,
     "op8_chat": op8_chat,
     "op9_tiff": op9_tiff,
     "op10_mix": op10_mix,
