@@ -61,10 +61,11 @@ def cell_bounds(keys: np.ndarray, n_ranges: int) -> np.ndarray:
     return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64), np.arange(n_ranges + 1))
 
 
-def exchange_counts(chunks: DataFrame, keys_of: Callable[[bytes, bytes], tuple[np.ndarray, np.ndarray]], n_ranges: int) -> DataFrame:
+def exchange_counts(chunks: DataFrame, keys_of: Callable[[bytes, bytes], tuple[np.ndarray, np.ndarray]], n_ranges: int, firsts: bool = False) -> DataFrame:
     """(chunk, cell, counts): for each range that a chunk has keys of, their corpus counts in key order.
 
-    keys_of gives a chunk's sorted distinct keys and its own count of each.
+    keys_of gives a chunk's sorted distinct keys and its own count of each.  With
+    `firsts` a count is doubled, and odd for the one chunk that holds the key first.
     """
 
     def ask(batches):
@@ -79,10 +80,14 @@ def exchange_counts(chunks: DataFrame, keys_of: Callable[[bytes, bytes], tuple[n
                 )
 
     def answer(part: pd.DataFrame) -> pd.DataFrame:
+        part = part.sort_values("chunk")
         keys = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in part["keys"]]
         own = np.concatenate([unpack(x, np.uint32) for x in part["own"]]).astype(float)
-        _, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+        _, index, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         total, at, out = np.bincount(inverse, own)[inverse].astype(np.uint64), 0, []
+        if firsts:
+            total *= np.uint64(2)
+            total[index] += np.uint64(1)
         for k in keys:
             out.append(pack(total[at : at + len(k)]))
             at += len(k)

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .base import Words, materialize, mix64, ngram_hashes, table
@@ -188,10 +188,12 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of one document of each component: that with the smallest id, all columns as they were."""
+    """One row of each component: that with the smallest id, all columns as they were; of rows that share an id, one."""
     found = jaccard_components(df, id_col, text_col, n_words, percent)
     stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return df.join(stay, df[id_col].eqNullSafe(stay["__stay"]), "left_semi")
+    kept = df.join(stay, df[id_col].eqNullSafe(stay["__stay"]), "left_semi")
+    one = Window.partitionBy(id_col).orderBy(F.xxhash64(*[F.col(c) for c in df.columns]))
+    return kept.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*df.columns)
 
 
 def op7_jaccard(spark, sf_dir: str) -> DataFrame:

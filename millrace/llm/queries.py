@@ -10,9 +10,11 @@ from .lm_score import op5_lm
 from .mixing import op10_mix
 from .packing import op2_pack
 from .quality_rff import op3_quality
+from .suffix_dedup import op1_suffix
 from .tiff_media import op9_tiff
 
 QUERIES = {
+    "op1_suffix": op1_suffix,
     "op2_pack": op2_pack,
     "op3_quality": op3_quality,
     "op4_extract": op4_extract,
