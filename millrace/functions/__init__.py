@@ -1 +1 @@
-"""functions of the engine."""
+"""Column expressions: everything here stays in the JVM unless it says otherwise."""
