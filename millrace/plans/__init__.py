@@ -1 +1,16 @@
-"""plans of the engine."""
+"""Queries of the engine by domain."""
+
+from __future__ import annotations
+
+import importlib
+
+MODULES = ("stocks",)
+
+
+def load():
+    """Import the modules, which registers their queries."""
+    for m in MODULES:
+        importlib.import_module(f"{__name__}.{m}")
+    from .registry import QUERIES, SQL
+
+    return QUERIES, SQL
