@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("stocks",)
+MODULES = ("stocks", "contracts")
 
 
 def load():
