@@ -114,7 +114,8 @@ def clean_html(x) -> Column:
 
 def pick_format(urls, order=("htm", "html", "xml", "pdf")) -> Column:
     """The best of an array of URLs by file ending."""
-    return F.coalesce(*[F.try_element_at(F.filter(_c(urls), lambda u, e=e: F.lower(u).endswith("." + e)), F.lit(1)) for e in order])
+    first = lambda end: F.try_element_at(F.filter(_c(urls), lambda u: F.lower(u).endswith("." + end)), F.lit(1))
+    return F.coalesce(*[first(e) for e in order])
 
 
 def htm_of_xml(url) -> Column:

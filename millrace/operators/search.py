@@ -46,11 +46,13 @@ def lookup(df: DataFrame, hash_key: str, value, range_key: str, between: tuple =
 def edges(df: DataFrame, entity: str, carried: list[str], **params: Column) -> DataFrame:
     """(parameter_type, parameter_value, entity, carried...) rows of scalar or array parameters; blanks and repeats go."""
     kinds = df.select(*[c.alias(k) for k, c in params.items()]).schema
-    lists = []
-    for k, c in params.items():
-        values = c.cast("array<string>") if kinds[k].dataType.typeName() == "array" else F.array(c.cast("string"))
-        lists.append(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v, k=k: F.struct(F.lit(k).alias("parameter_type"), F.trim(v).alias("parameter_value"))))
-    out = df.select(entity, *carried, F.explode(F.array_distinct(F.concat(*lists))).alias("p")).select("p.*", entity, *carried)
+
+    def typed(kind: str, c: Column) -> Column:
+        values = c.cast("array<string>") if kinds[kind].dataType.typeName() == "array" else F.array(c.cast("string"))
+        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.struct(F.lit(kind).alias("parameter_type"), F.trim(v).alias("parameter_value")))
+
+    every = F.concat(*[typed(k, c) for k, c in params.items()])
+    out = df.select(entity, *carried, F.explode(F.array_distinct(every)).alias("p")).select("p.*", entity, *carried)
     return out.filter("parameter_value is not null and parameter_value <> ''")
 
 

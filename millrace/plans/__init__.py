@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("stocks", "contracts")
+MODULES = ("stocks", "contracts", "bills", "lobbying", "finance")
 
 
 def load():

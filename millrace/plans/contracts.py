@@ -140,7 +140,7 @@ def set_dedup_sub(spark, sf_dir):
     return _merge_tx(spark, sf_dir, strings.first_filled(F.lit(" "), (F.col("l_partkey") % 90)))
 
 
-@query("SELECT l_orderkey, array_to_string(list_distinct(list_concat(list(DISTINCT l_suppkey ORDER BY l_suppkey) FILTER (l_linestatus = 'F'), [])), ',') AS a, CAST(len(list_distinct(list_concat(coalesce(list(l_suppkey) FILTER (l_linestatus = 'F'), []), coalesce(list(l_suppkey) FILTER (l_linestatus = 'O'), [])))) AS BIGINT) AS n FROM lineitem GROUP BY l_orderkey HAVING bool_or(l_linestatus = 'F')".replace("array_to_string(list_distinct(list_concat(list(DISTINCT l_suppkey ORDER BY l_suppkey) FILTER (l_linestatus = 'F'), [])), ',')", "array_to_string(list(DISTINCT l_suppkey ORDER BY l_suppkey) FILTER (l_linestatus = 'F'), ',')"))
+@query("SELECT l_orderkey, array_to_string(list(DISTINCT l_suppkey ORDER BY l_suppkey) FILTER (l_linestatus = 'F'), ',') AS a, count(DISTINCT l_suppkey) AS n FROM lineitem GROUP BY l_orderkey HAVING bool_or(l_linestatus = 'F')")
 def set_dedup_child(spark, sf_dir):
     """Order-keeping union of two id lists."""
     ids = lambda c: F.array_sort(F.collect_set(F.when(F.col("l_linestatus") == c, F.col("l_suppkey"))))
