@@ -95,10 +95,10 @@ def ticker(x) -> Column:
 
 def amount_range(x) -> Column:
     """struct<min:bigint, max:bigint, exact:decimal> of `$1,001 - $15,000`: a range needs min < max, else the first number is exact."""
-    t = F.regexp_replace(_c(x), r"[\s,$]", "")
+    t = F.lower(F.regexp_replace(_c(x), r"[\s,$]", ""))
     low, high = (F.nullif(F.regexp_extract(t, r"^(\d+(?:\.\d+)?)(?:[-–—](\d+(?:\.\d+)?))?", k), F.lit("")).try_cast("decimal(20,2)") for k in (1, 2))
-    plus = t.rlike(r"^(?:over)?\d+(?:\.\d+)?\+?$") & (t.rlike(r"\+$") | F.lower(t).startswith("over"))
-    low = F.coalesce(low, F.nullif(F.regexp_extract(F.lower(t), r"^over(\d+(?:\.\d+)?)", 1), F.lit("")).try_cast("decimal(20,2)"))
+    plus = t.rlike(r"^(?:over)?\d+(?:\.\d+)?\+?$") & (t.rlike(r"\+$") | t.startswith("over"))
+    low = F.coalesce(low, F.nullif(F.regexp_extract(t, r"^over(\d+(?:\.\d+)?)", 1), F.lit("")).try_cast("decimal(20,2)"))
     span = high.isNotNull() & (low < high)
     return F.struct(F.when(span | plus, low.cast("bigint")).alias("min"), F.when(span, high.cast("bigint")).alias("max"), F.when(~span & ~plus, low).alias("exact"))
 

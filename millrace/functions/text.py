@@ -12,8 +12,10 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-TOKEN = r"\b\w+(?:[-\.]\w+)*\b"
+#: Words, with inner hyphens and dots; runs are greedy, so they end at word boundaries.
+TOKEN = r"\w+(?:[-\.]\w+)*"
 #: Short words that count although they have fewer than three letters.
 SHORT_WORDS = ("ai", "ml", "us", "uk", "eu", "ev", "m&a")
 #: Synonyms of a term.
@@ -50,13 +52,13 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(x: pd.Series) -> pd.Series:
     """Compatibility normal form, which has no built-in counterpart."""
     return x.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def unescape(x: pd.Series) -> pd.Series:
     """All character references decoded."""
     return x.map(lambda t: None if t is None else html.unescape(t))
@@ -118,7 +120,7 @@ def company_name(x) -> Column:
 
 def ticker_candidates(x) -> Column:
     """Distinct words of capitals that may be tickers; joined with the list of tickers by the caller."""
-    found = F.array_distinct(F.regexp_extract_all(_c(x), F.lit(r"\b[A-Z]{1,5}\b"), F.lit(0)))
+    found = F.array_distinct(F.filter(F.split(_c(x), "[^A-Za-z0-9_]+"), lambda w: w.rlike("^[A-Z]{1,5}$")))
     return F.filter(found, lambda w: (F.length(w) >= 3) | w.isin(*SHORT_TICKERS))
 
 
