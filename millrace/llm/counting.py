@@ -25,12 +25,16 @@ CHUNK_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
 
 def pack(x: np.ndarray) -> bytes:
     """Numbers by byte planes, compressed."""
-    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
+    return zstandard.compress(np.ascontiguousarray(np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize).T).tobytes(), 1)
+
+
+def _planes(raw: bytes, width: int) -> np.ndarray:
+    data = np.frombuffer(zstandard.decompress(raw), np.uint8)
+    return data.reshape(width, len(data) // width)
 
 
 def unpack(raw: bytes, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.frombuffer(np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(width, -1).T).tobytes(), dtype)
+    return np.frombuffer(np.ascontiguousarray(_planes(raw, np.dtype(dtype).itemsize).T).tobytes(), dtype)
 
 
 def text_chunks(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

@@ -33,7 +33,8 @@ NOISE = frozenset(
 )
 _WORDS = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
-_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+#: A tag that the end of the page cuts off.
+_CUT = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 #: What an unclosed one of these is closed by.
 _SELF_CLOSING = {"p": frozenset("p div ul ol table section article h1 h2 h3 h4 h5 h6 blockquote pre form hr header footer nav aside main".split()), "li": frozenset(("li",)), "dd": frozenset(("dd", "dt")), "dt": frozenset(("dd", "dt")), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",)), "option": frozenset(("option",))}
 
@@ -124,7 +125,7 @@ def smoothed(ratio: np.ndarray, sigma: float) -> np.ndarray:
 def main_text(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> str:
     """The article's text, its lines joined by one space; empty if there is none."""
     p = Lines()
-    p.feed(html)
+    p.feed(_CUT.sub("", html))
     p.close()
     p.end_line()
     rows = p.rows

@@ -30,23 +30,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Words, blocks, crc_text, materialize, mix64, ngram_hashes, utf8_column
+from .counting import CHUNK_BYTES, RANGE_BYTES, cell_bounds, pack, unpack
 
 ORDER, STRENGTH = 2, 100.0
-#: Text bytes in a chunk, and of the corpus for each range of hashes.
-CHUNK_BYTES, RANGE_BYTES = 8 << 20, 16 << 20
 _BEGIN, _END = mix64(np.array([1 << 40, 1 << 41], np.uint64))
 
 
-def pack(x: np.ndarray) -> bytes:
-    """Numbers by byte planes, compressed."""
-    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(len(x), -1).T).tobytes(), 1)
-
-
-def unpack(raw: bytes, dtype) -> np.ndarray:
-    width = np.dtype(dtype).itemsize
-    return np.frombuffer(np.ascontiguousarray(np.frombuffer(zstandard.decompress(raw), np.uint8).reshape(width, -1).T).tobytes(), dtype)
-
-
 def chunks(df: DataFrame, id_col: str, text_col: str, held_mod: int, held_rest: int, chunk_bytes: int) -> DataFrame:
     """One row for each chunk of documents: chunk, n_bytes, ids, held, offsets and the compressed texts."""
     picked = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -108,11 +97,7 @@ class Chunk:
 
     def cells(self, k: int, n_ranges: int) -> np.ndarray:
         """Where each range of hashes begins among the sorted distinct n-grams of order k + 1."""
-        return np.searchsorted(ranges(self.grams[k][0], n_ranges), np.arange(n_ranges + 1))
-
-
-def ranges(h: np.ndarray, n_ranges: int) -> np.ndarray:
-    return ((h >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64)
+        return cell_bounds(self.grams[k][0], n_ranges)
 
 
 def automaton_scores(chunk: Chunk, counts: list[np.ndarray], train_docs: int, n: int, v: int, strength: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
