@@ -111,10 +111,10 @@ def automaton_scores(chunk: Chunk, counts: list[np.ndarray], train_docs: int, n:
     base = np.bincount(chunk.doc, here, chunk.n_docs)
     known = np.bincount(chunk.doc, counts[0][chunk.place[0]] > 0, chunk.n_docs).astype(np.int64)
     for k in range(1, order):
-        place, seen = chunk.place[k], counts[k].astype(float)
+        place, seen = chunk.place[k], np.append(counts[k], 0).astype(float)  # the last for what is no n-gram
         # the state: how often the context was seen; a begin mark was seen once for each training document
         c = chunk.context[k - 1]
-        state = np.where(c >= 0, counts[k - 1][c], train_docs if k == 1 else 0).astype(float)
+        state = np.where(c >= 0, np.append(counts[k - 1], 0)[c], train_docs if k == 1 else 0).astype(float)
         arc = (place >= 0) & (seen[place] > 0)
         fail = (place >= 0) & ~arc & (state > 0)
         here = here.copy()
