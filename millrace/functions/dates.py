@@ -76,3 +76,15 @@ def within(x, first, last) -> Column:
 def on_date(x, day) -> Column:
     """Equal by date; what is no date fails."""
     return F.coalesce(any_date(x) == F.lit(day).cast("date"), F.lit(False))
+
+
+def day_window(ts, hour: int = 11) -> Column:
+    """struct<first, last>: the day-long window from `hour` to `hour` UTC that a time lies in."""
+    t = _c(ts).cast("timestamp")
+    first = F.date_trunc("day", t - F.make_dt_interval(hours=F.lit(hour))) + F.make_dt_interval(hours=F.lit(hour))
+    return F.struct(first.alias("first"), (first + F.make_dt_interval(days=F.lit(1))).alias("last"))
+
+
+def yesterday(ts, zone: str = "America/New_York") -> Column:
+    """The day before, by a zone's calendar."""
+    return F.date_sub(F.to_date(F.from_utc_timestamp(_c(ts).cast("timestamp"), zone)), 1)

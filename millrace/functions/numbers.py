@@ -100,3 +100,9 @@ def sector(code, description=None, literal: bool = False) -> Column:
     if description is not None:
         out = reduce(lambda w, r: w.when(F.lower(_c(description)).rlike(r[0]), F.lit(r[1])), SECTOR_WORDS, out)
     return out.otherwise(F.lit("Unknown"))
+
+
+def raw_value(json, *path: str) -> Column:
+    """A number at a JSON path that may hold it bare or as `{"raw": ..}`."""
+    at = "$." + ".".join(path)
+    return F.coalesce(F.get_json_object(_c(json), at + ".raw").try_cast("double"), F.get_json_object(_c(json), at).try_cast("double"))

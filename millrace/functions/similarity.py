@@ -101,24 +101,20 @@ def _udf(scorer, columns: int):
     def run(*cols: pd.Series) -> pd.Series:
         return pd.Series([float(scorer(*[("" if v is None else v) for v in row])) for row in zip(*cols, strict=True)])
 
-    run.__annotations__ = {}
-    return lambda *xs: F.pandas_udf(_typed(run, columns), "double")(*xs)
+    def two(a: pd.Series, b: pd.Series) -> pd.Series:
+        return run(a, b)
 
-
-def _typed(run, columns: int):
-    if columns == 2:
-
-        def two(a: pd.Series, b: pd.Series) -> pd.Series:
-            return run(a, b)
-
-        return two
+    def five(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series) -> pd.Series:
+        return run(a, b, c, d, e)
 
     def six(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series, f: pd.Series) -> pd.Series:
         return run(a, b, c, d, e, f)
 
-    return six
+    typed = {2: two, 5: five, 6: six}[columns]
+    return lambda *xs: F.pandas_udf(typed, "double")(*xs)
 
 
 #: Columns in, a score out.
 sim_ratio, senate_score, filing_score = _udf(ratio, 2), _udf(score_senate, 2), _udf(score_filing, 2)
+house_score = _udf(score_house, 5)
 vote_score, bill_score = _udf(score_vote, 6), _udf(score_bill, 6)

@@ -49,10 +49,11 @@ def edges(df: DataFrame, entity: str, carried: list[str], **params: Column) -> D
 
     def typed(kind: str, c: Column) -> Column:
         values = c.cast("array<string>") if kinds[kind].dataType.typeName() == "array" else F.array(c.cast("string"))
-        return F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.struct(F.lit(kind).alias("parameter_type"), F.trim(v).alias("parameter_value")))
+        once = F.array_distinct(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: F.trim(v)))  # by hash, as they are plain texts
+        return F.transform(once, lambda v: F.struct(F.lit(kind).alias("parameter_type"), v.alias("parameter_value")))
 
     every = F.concat(*[typed(k, c) for k, c in params.items()])
-    out = df.select(entity, *carried, F.explode(F.array_distinct(every)).alias("p")).select("p.*", entity, *carried)
+    out = df.select(entity, *carried, F.explode(every).alias("p")).select("p.*", entity, *carried)
     return out.filter("parameter_value is not null and parameter_value <> ''")
 
 

@@ -54,12 +54,12 @@ def str_billid(spark, sf_dir):
     return t.select("id", "b.*", strings.bill_id("b.congress", "b.bill_type", "b.number").alias("rebuilt"))
 
 
-@query("SELECT conv_id, turn, row_number() OVER (ORDER BY CASE WHEN conv_id % 7 = 0 THEN -1 ELSE turn END DESC, conv_id DESC, turn) AS place FROM conversations")
+@query("SELECT conv_id, turn, row_number() OVER (PARTITION BY conv_id % 50 ORDER BY CASE WHEN conv_id % 7 = 0 THEN -1 ELSE turn END DESC, conv_id DESC, turn) AS place FROM conversations")
 def sort_votes(spark, sf_dir):
-    """Newest first, a number that is none as -1. The places of a whole table need one order, so the table is small here."""
+    """A member's votes, newest first, a number that is none as -1."""
     raw = F.when(F.col("conv_id") % 7 == 0, F.lit("n/a")).otherwise(F.col("turn").cast("string"))
     n = F.coalesce(raw.try_cast("int"), F.lit(-1))
-    return turns(spark, sf_dir).select("conv_id", "turn", F.row_number().over(Window.orderBy(n.desc(), F.col("conv_id").desc(), "turn")).alias("place"))
+    return turns(spark, sf_dir).select("conv_id", "turn", F.row_number().over(Window.partitionBy(F.col("conv_id") % 50).orderBy(n.desc(), F.col("conv_id").desc(), "turn")).alias("place"))
 
 
 @query("SELECT role, string_agg(DISTINCT CAST(conv_id % 12 AS VARCHAR), ',' ORDER BY CAST(conv_id % 12 AS VARCHAR)) AS rolls FROM conversations GROUP BY role")

@@ -193,4 +193,12 @@ def fz_scores(spark, sf_dir):
     p = filer.withColumn("k", F.col("s_suppkey") % 25).join(ref, F.col("k") == F.col("ref_id"))
     s, r = strings.split_name("filer"), strings.split_name("ref_name")
     args = ["filer", "ref_name", s["first"], r["first"], s["last"], r["last"]]
-    return p.select("s_suppkey", "ref_id", F.round(similarity.senate_score("filer", "ref_name"), 6).alias("senate"), F.round(similarity.filing_score("filer", "ref_name"), 6).alias("filing"), F.round(similarity.bill_score(*args), 6).alias("bill"), F.round(similarity.vote_score(*args), 6).alias("vote"))
+    return p.select("s_suppkey", "ref_id", F.round(similarity.senate_score("filer", "ref_name"), 6).alias("senate"), F.round(similarity.filing_score("filer", "ref_name"), 6).alias("filing"), F.round(similarity.house_score(strings.flip_name(strings.clean_name("filer")), F.coalesce(r["first"], F.lit("")), F.coalesce(r["middle"], F.lit("")), F.coalesce(r["last"], F.lit("")), "ref_name"), 6).alias("house"), F.round(similarity.bill_score(*args), 6).alias("bill"), F.round(similarity.vote_score(*args), 6).alias("vote"))
+
+
+@query("SELECT page, string_agg(line, chr(10) ORDER BY line_no) AS body FROM (SELECT l_orderkey AS page, l_linenumber AS line_no, string_agg(CAST(l_partkey AS VARCHAR), ' | ' ORDER BY l_partkey, l_suppkey) AS line FROM lineitem GROUP BY 1, 2) GROUP BY page")
+def src_ocr_table(spark, sf_dir):
+    """Cells regrouped into rows by their row and column, and rows into a table."""
+    c = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_linenumber").alias("line_no"), F.struct("l_partkey", "l_suppkey", F.col("l_partkey").cast("string").alias("text")).alias("cell"))
+    rows = c.groupBy("page", "line_no").agg(F.array_sort(F.collect_list("cell")).alias("cells")).select("page", F.struct("line_no", F.array_join(F.transform("cells", lambda x: x["text"]), " | ").alias("line")).alias("r"))
+    return rows.groupBy("page").agg(F.array_join(F.transform(F.array_sort(F.collect_list("r")), lambda x: x["line"]), "\n").alias("body"))

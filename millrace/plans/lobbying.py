@@ -1,7 +1,7 @@
 """Filings, contributions and the search over their parameters.
 
-On the fixture tables a document is a filing and its first words are names and
-codes; an order's lines are its contribution items.
+On the fixture tables a document is a filing and its words are names and codes;
+an order's lines are its contribution items.
 """
 
 from __future__ import annotations
@@ -14,18 +14,19 @@ from ..operators import joins, ordered, search
 from ..session import table
 from .registry import query
 
-WORDS = "string_split(replace(substr(text, 1, 200), chr(10), ' '), ' ')"
+WORDS = "string_split(replace(text, chr(10), ' '), ' ')"
 
 
 def filings(spark, sf_dir) -> DataFrame:
     d = table(spark, sf_dir, "documents")
-    return d.select("doc_id", "lang", "source", F.split(F.replace(F.substring("text", 1, 200), F.lit("\n"), F.lit(" ")), " ").alias("words"), "n_chars")
+    return d.select("doc_id", "lang", "source", F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ").alias("words"), "n_chars")
 
 
-@query(f"SELECT doc_id, array_to_string(list_filter({WORDS}[1:12], lambda x, i: list_position({WORDS}[1:12], x) = i), ',') AS names FROM documents")
+@query(f"WITH w AS (SELECT doc_id, unnest({WORDS}) AS w, generate_subscripts({WORDS}, 1) AS i FROM documents), f AS (SELECT doc_id, w, min(i) AS i FROM w GROUP BY doc_id, w) SELECT doc_id, count(*) AS n, md5(string_agg(w, ',' ORDER BY i)) AS names FROM f GROUP BY doc_id")
 def agg_distinct_list(spark, sf_dir):
     """Distinct names in the order they come."""
-    return filings(spark, sf_dir).select("doc_id", F.array_join(F.array_distinct(F.slice("words", 1, 12)), ",").alias("names"))
+    names = F.array_distinct("words")
+    return filings(spark, sf_dir).select("doc_id", F.size(names).cast("bigint").alias("n"), F.md5(F.array_join(names, ",")).alias("names"))
 
 
 @query("SELECT source, string_agg(DISTINCT lang, ',' ORDER BY lang) AS langs FROM documents GROUP BY source")
@@ -45,11 +46,11 @@ def agg_contrib_sum(spark, sf_dir):
 
 EDGES = f"""(SELECT DISTINCT doc_id, parameter_type, trim(v) AS parameter_value, n_chars FROM (
   SELECT doc_id, n_chars, 'lang' AS parameter_type, lang AS v FROM documents UNION ALL SELECT doc_id, n_chars, 'source', source FROM documents
-  UNION ALL SELECT doc_id, n_chars, 'name', unnest({WORDS}[1:8]) FROM documents) WHERE v IS NOT NULL AND trim(v) <> '') e"""
+  UNION ALL SELECT doc_id, n_chars, 'name', unnest({WORDS}) FROM documents) WHERE v IS NOT NULL AND trim(v) <> '') e"""
 
 
 def edges(spark, sf_dir) -> DataFrame:
-    return search.edges(filings(spark, sf_dir), "doc_id", ["n_chars"], lang=F.col("lang"), source=F.col("source"), name=F.slice("words", 1, 8))
+    return search.edges(filings(spark, sf_dir), "doc_id", ["n_chars"], lang=F.col("lang"), source=F.col("source"), name=F.col("words"))
 
 
 @query(f"SELECT parameter_type, parameter_value, count(*) AS filings, max(n_chars) AS longest FROM {EDGES} GROUP BY 1, 2")
@@ -82,13 +83,11 @@ def qry_autocomplete(spark, sf_dir):
     return search.autocomplete(edges(spark, sf_dir).filter("parameter_type = 'name'"), "parameter_value", "th", 20)
 
 
-@query("SELECT source AS value, lower(source) AS key, row_number() OVER (ORDER BY lower(source), source) AS place FROM (SELECT DISTINCT source FROM documents)")
+@query("SELECT DISTINCT source AS value, lower(source) AS key FROM documents ORDER BY 2, 1")
 def sort_ci(spark, sf_dir):
-    """Values without regard to case, ties by code point."""
-    from pyspark.sql import Window
-
+    """Distinct values in order without regard to case, ties by code point; a range-partitioned sort."""
     v = table(spark, sf_dir, "documents").select(F.col("source").alias("value")).distinct()
-    return v.select("value", F.lower("value").alias("key"), F.row_number().over(Window.orderBy(F.lower("value"), "value")).alias("place"))
+    return v.select("value", F.lower("value").alias("key")).orderBy("key", "value")
 
 
 @query("WITH a AS (SELECT DISTINCT lang || source AS v FROM documents WHERE doc_id % 2 = 0), b AS (SELECT DISTINCT lang || source AS v FROM documents WHERE doc_id % 2 = 1) SELECT v, v NOT IN (SELECT v FROM a) AS is_new FROM (SELECT v FROM a UNION SELECT v FROM b)")

@@ -271,3 +271,20 @@ def prj_composite_key(spark, sf_dir):
 
     m = rounded(eod_metrics(history(spark, sf_dir)))
     return m.select(strings.composite_key("symbol", "timeframe").alias("pk"), strings.composite_key("timeframe", "symbol").alias("gsi"), "current_price")
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS DOUBLE) + 0.5 AS price, value AS bare FROM events")
+def num_raw_value(spark, sf_dir):
+    """Numbers that a document holds bare or as `{"raw": ..}`."""
+    k = F.get_json_object("props", "$.k").cast("double")
+    doc = F.to_json(F.struct(F.struct(F.struct((k + 0.5).alias("raw")).alias("price")).alias("summary"), F.col("value").alias("bare")))
+    return table(spark, sf_dir, "events").select("event_id", numbers.raw_value(doc, "summary", "price").alias("price"), numbers.raw_value(doc, "bare").alias("bare"))
+
+
+@query("SELECT event_id, date_trunc('day', ts - INTERVAL 11 HOUR) + INTERVAL 11 HOUR AS first, date_trunc('day', ts - INTERVAL 11 HOUR) + INTERVAL 35 HOUR AS last, CAST(ts - INTERVAL 5 HOUR AS DATE) - 1 AS yesterday FROM events")
+def dt_sched(spark, sf_dir):
+    """The daily window of a time, and the day before it in New York (winter time in the fixture)."""
+    from ..functions import dates
+
+    w = dates.day_window("ts")
+    return table(spark, sf_dir, "events").select("event_id", w["first"].cast("timestamp_ntz").alias("first"), w["last"].cast("timestamp_ntz").alias("last"), dates.yesterday("ts").alias("yesterday"))

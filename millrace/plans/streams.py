@@ -82,3 +82,11 @@ def ext_stream_sessions(spark, sf_dir):
     """Extension: sessions of a user, closed by a gap of a day."""
     w = flows.sessions(events(spark, sf_dir), ["user_id"], "ts", "1 day", "0 seconds", scratch(spark, "sessions"), n=F.count(F.lit(1)))
     return w.select("user_id", "window_start", "window_end", "n")
+
+
+@query("SELECT event_type, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY event_type")
+def stm_fill(spark, sf_dir):
+    """Admission by count: a batch takes up to fifty files, whatever has arrived."""
+    where = scratch(spark, "fill")
+    s = flows.read_stream(spark, sf_dir, "events.parquet", flows.TRIGGERS["orphans"][1])
+    return flows.to_table(s.select("event_type", "user_id"), where).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))
