@@ -6,7 +6,8 @@ occur, so texts are cut by content: among the k-byte grams of a window the one
 with the smallest hash is its anchor, and equal windows have equal anchors.  Runs
 of windows with one anchor form a segment.  Anchors are counted over the corpus,
 and only segments whose anchor occurs again are dealt, by anchor, to shards; of
-whole texts that are copies, one stands for all.  A shard sorts the suffixes of
+whole texts that are copies, one stands for all, and a chunk sends equal segments
+once.  A shard sorts the suffixes of
 its different segments by external induction (see induced.py); a window is
 repeated if the common prefix with a neighbour in that order covers it.
 """
@@ -44,14 +45,14 @@ def ladder(base: int, n: int) -> np.ndarray:
     return _ladder(base, max(STRIP + 1, 1 << (n - 1).bit_length() if n > STRIP + 1 else 0))[:n]
 
 
-def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(document, first window, last window, hash) of each segment, and a hash of each document.
+def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+    """(document, first window, last window, anchor, content) of each segment, the last two as hashes, and a hash of each document.
 
     Windows are given by their first byte.  Among grams with equal hashes the leftmost is the anchor.
     """
     w = window - gram + 1
     assert 1 <= w <= 256
-    doc, lo_, hi_, key = [], [], [], []
+    doc, lo_, hi_, key, content = [], [], [], [], []
     whole = np.zeros(len(off) - 1, np.uint64)
     for lo, hi in blocks(off, STRIP):
         d, o = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
@@ -81,10 +82,11 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int) -> tuple[
         lo_.append(s[first] + off[lo])
         hi_.append(s[last] + off[lo])
         key.append(h[at[first]])
+        content.append(mix64((total[s[last] + window] - total[s[first]]) * back[s[first]] + (s[last] - s[first]).astype(np.uint64)))
     if not doc:
         none = np.zeros(0, np.int64)
-        return none, none, none, np.zeros(0, np.uint64), whole
-    return *(np.concatenate(x) for x in (doc, lo_, hi_)), np.concatenate(key), whole
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), whole
+    return *(np.concatenate(x) for x in (doc, lo_, hi_, key, content)), whole
 
 
 def document_keys(whole: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -126,17 +128,40 @@ def repeated(segments: list[bytes], window: int, memory: int = MEMORY) -> tuple[
 _SPANS = pa.schema([("chunk", pa.int64()), ("row", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
 
 
+def flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all values of a list column, how many each row has)."""
+    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
+    return pc.list_flatten(lists).to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def merged(row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Intervals of each row, sorted, with those that touch or overlap made one."""
+    if not len(row):
+        return row, lo, hi
+    order = np.lexsort((lo, row))
+    row, lo, hi = row[order], lo[order], hi[order]
+    # rows apart by more than any interval, so that one running maximum serves all
+    gap = (np.cumsum(np.append(0, row[1:] != row[:-1])) * (int(hi.max()) + 2)).astype(np.int64)
+    hi = np.maximum.accumulate(hi + gap)
+    lo = lo + gap
+    first = np.flatnonzero(np.append(True, lo[1:] > hi[:-1]))
+    last = np.append(first[1:], len(row)) - 1
+    return row[first], lo[first] - gap[first], hi[last] - gap[first]
+
+
 def spans_of(t: pa.Table, window: int, memory: int = MEMORY) -> pa.Table:
-    """(chunk, row, lo, hi) of repeated bytes among one shard's segments; a segment without text stands for a document that goes whole."""
-    t = t.combine_chunks()
+    """(chunk, row, lo, hi) of repeated bytes among one shard's segments; one without text stands for documents that go whole."""
     gone = t.filter(pc.is_null(t["text"]))
-    out = [pa.table([gone["chunk"], gone["row"], gone["start"], pc.add(gone["start"], gone["size"])], schema=_SPANS)]
+    rows, per = flat(gone["rows"])
+    out = [pa.table([pa.array(np.repeat(gone["chunk"].to_numpy(), per)), pa.array(rows, pa.int64()), pa.array(np.zeros(len(rows), np.int64)), pa.array(flat(gone["starts"])[0], pa.int64())], schema=_SPANS)]
     t = t.filter(pc.is_valid(t["text"]))
     if t.num_rows:
         coded = t["text"].combine_chunks().dictionary_encode()
         coded = coded.combine_chunks() if isinstance(coded, pa.ChunkedArray) else coded
         code, kinds = coded.indices.to_numpy(), coded.dictionary
-        n = np.bincount(code)
+        rows, per = flat(t["rows"])
+        starts, _ = flat(t["starts"])
+        n = np.bincount(code, per)
         anchor = np.zeros(len(kinds), np.int64)
         anchor[code] = t["anchor"].to_numpy()
         _, inverse, mates = np.unique(anchor, return_inverse=True, return_counts=True)
@@ -152,34 +177,27 @@ def spans_of(t: pa.Table, window: int, memory: int = MEMORY) -> pa.Table:
             owner, lo, hi = np.concatenate([owner, o[single]]), np.concatenate([lo, a[single]]), np.concatenate([hi, b[single]])
         by = np.argsort(owner, kind="stable")
         owner, lo, hi = owner[by], lo[by], hi[by]
+        code, chunk = np.repeat(code, per), np.repeat(t["chunk"].to_numpy(), per)
         at, per = np.searchsorted(owner, code, "left"), np.searchsorted(owner, code, "right")
         per = per - at
         place = np.repeat(at - (np.cumsum(per) - per), per) + np.arange(per.sum())
-        row = np.repeat(np.arange(len(code)), per)
-        start = t["start"].to_numpy()[row]
-        out.append(pa.table([pa.array(t["chunk"].to_numpy()[row]), pa.array(t["row"].to_numpy()[row]), pa.array(start + lo[place]), pa.array(start + hi[place])], schema=_SPANS))
+        each = np.repeat(np.arange(len(code)), per)
+        names, doc = np.unique(np.stack([chunk[each], rows[each]], 1), axis=0, return_inverse=True)
+        doc, lo, hi = merged(doc.ravel(), starts[each] + lo[place], starts[each] + hi[place])
+        out.append(pa.table([pa.array(names[doc, 0]), pa.array(names[doc, 1]), pa.array(lo), pa.array(hi)], schema=_SPANS))
     return pa.concat_tables(out)
 
 
 def cut(data: np.ndarray, off: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
     """(removed bytes, removed runs, kept bytes) of each document of a chunk."""
-    lo, hi = lo + off[row], hi + off[row]
-    order = np.lexsort((lo, row))
-    row, lo, hi = row[order], lo[order], np.maximum.accumulate(hi[order]) if len(row) else hi
-    fresh = np.ones(len(row), bool)
-    fresh[1:] = (lo[1:] > hi[:-1]) | (row[1:] != row[:-1])
-    first = np.flatnonzero(fresh)
-    last = np.append(first[1:], len(row)) - 1 if len(row) else first
+    row, lo, hi = merged(row, lo, hi)
     edge = np.zeros(len(data) + 1, np.int32)
-    np.add.at(edge, lo[first], 1)
-    np.add.at(edge, hi[last], -1)
+    np.add.at(edge, lo + off[row], 1)
+    np.add.at(edge, hi + off[row], -1)
     keep = np.cumsum(edge[:-1]) == 0
-    n_spans = np.bincount(row[first], minlength=len(off) - 1)
-    total = np.concatenate([[0], np.cumsum(keep)])
-    kept_n = total[off[1:]] - total[off[:-1]]
+    ends = np.concatenate([[0], np.cumsum(keep)])[off]
     rest = data[keep].tobytes()
-    ends = total[off]
-    return np.diff(off) - kept_n, n_spans, [rest[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+    return np.diff(off) - np.diff(ends), np.bincount(row, minlength=len(off) - 1), [rest[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY, keep_bytes: bool = True) -> DataFrame:
@@ -195,7 +213,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def keys_of(offsets: bytes, texts: bytes):
         data, off = open_chunk(offsets, texts)
-        _, _, _, key, whole = anchors(data, off, window, gram)
+        _, _, _, key, _, whole = anchors(data, off, window, gram)
         return np.unique(np.concatenate([key, document_keys(whole, off, window)[1]]), return_counts=True)
 
     told = exchange_counts(held, keys_of, n_ranges, firsts=True)
@@ -203,7 +221,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     def segments(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk, offsets, texts = (left[k][0].as_py() for k in ("chunk", "offsets", "texts"))
         data, off = open_chunk(offsets, texts)
-        doc, lo, hi, key, whole = anchors(data, off, window, gram)
+        doc, lo, hi, key, content, whole = anchors(data, off, window, gram)
         long, copies = document_keys(whole, off, window)
         keys, index, inverse = np.unique(np.concatenate([copies, key]), return_index=True, return_inverse=True)
         told = answers(keys, right["cell"].to_numpy(), right["counts"].to_pylist(), n_ranges)
@@ -215,21 +233,27 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         silent = np.zeros(len(off) - 1, bool)
         silent[long[copied & ~stands]] = True
         live = many[len(long) :] & ~silent[doc]
-        doc, lo, hi, key = doc[live], lo[live], hi[live] + window, key[live]
+        doc, lo, hi, key, content = doc[live], lo[live], hi[live] + window, key[live], content[live]
         gone = long[copied]
-        n = len(gone)
-        shard = np.concatenate([gone % n_shards, (mix64(key) % np.uint64(n_shards)).astype(np.int64)])
+        # equal segments of the chunk are one row with all their places, and copied documents one row for each shard
+        by = np.argsort(content, kind="stable")
+        heads = np.flatnonzero(np.append(True, content[by[1:]] != content[by[:-1]])) if len(by) else by
+        one, heads = by[heads], np.append(heads, len(by))
+        anchor, kinds = key[one], slices(data, lo[one], hi[one])
+        shards, copies_at = np.unique(gone % n_shards, return_inverse=True)
+        order = np.argsort(copies_at, kind="stable")
+        cuts = np.searchsorted(copies_at[order], np.arange(len(shards) + 1))
+        lists = lambda a, b: pa.ListArray.from_arrays(pa.array(np.concatenate([cuts, cuts[-1] + heads[1:]]), pa.int32()), pa.array(np.concatenate([a, b]), pa.int64()))
         return pa.table({
-            "shard": pa.array(shard, pa.int64()),
-            "anchor": pa.array(np.concatenate([np.zeros(n, np.int64), key.view(np.int64)])),
-            "chunk": pa.array(np.full(len(shard), chunk, np.int64)),
-            "row": pa.array(np.concatenate([gone, doc]).astype(np.int64)),
-            "start": pa.array(np.concatenate([np.zeros(n, np.int64), lo - off[doc]])),
-            "size": pa.array(np.concatenate([np.diff(off)[gone], hi - lo])),
-            "text": pa.chunked_array([pa.nulls(n, pa.binary()), slices(data, lo, hi)]),
+            "shard": pa.array(np.concatenate([shards, (mix64(anchor) % np.uint64(n_shards)).astype(np.int64)]), pa.int64()),
+            "anchor": pa.array(np.concatenate([np.zeros(len(shards), np.int64), anchor.view(np.int64)])),
+            "chunk": pa.array(np.full(len(shards) + len(kinds), chunk, np.int64)),
+            "rows": lists(gone[order], doc[by]),
+            "starts": lists(np.diff(off)[gone[order]], (lo - off[doc])[by]),
+            "text": pa.chunked_array([pa.nulls(len(shards), pa.binary()), kinds]),
         })
 
-    dealt = held.select("chunk", "offsets", "texts").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(segments, "shard long, anchor long, chunk long, row long, start long, size long, text binary")
+    dealt = held.select("chunk", "offsets", "texts").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(segments, "shard long, anchor long, chunk long, rows array<long>, starts array<long>, text binary")
     spans = dealt.groupBy("shard").applyInArrow(lambda t: spans_of(t, window, memory), "chunk long, row long, lo long, hi long")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
