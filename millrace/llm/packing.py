@@ -85,7 +85,10 @@ def vocabulary(name: str) -> ByteBpe:
 
 
 def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: str = "byte_bpe_50k", window: int = WINDOW, end_id: int = END_ID) -> DataFrame:
-    """(doc_id, start, length, doc_tokens, ids): each document's ids and one end id, cut into windows and a remainder."""
+    """(doc_id, start, length, doc_tokens, ids): each document's ids and one end id, cut into windows and a remainder.
+
+    The vocabularies are below 65,536 entries, so on the way ids take two bytes each.
+    """
     picked = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kind = picked.schema["doc_id"].dataType.simpleString()
 
@@ -98,7 +101,7 @@ def token_pieces(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 for k, text in enumerate(texts.slice(lo, 500).to_pylist(), lo):
                     got = bpe.ids(text or "")
                     got.append(end_id)
-                    raw, n = np.asarray(got, "<u4"), len(got)
+                    raw, n = np.asarray(got, "<u2"), len(got)
                     for s in range(0, n, window):
                         doc.append(k)
                         start.append(s)
@@ -192,6 +195,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: st
     schema = f"doc_id {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * keep_ids
 
     def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        part = part.assign(ids=[np.frombuffer(x, "<u2").astype("<u4").tobytes() for x in part["ids"]])
         part = part.assign(c=[zlib.crc32(x) for x in part["ids"]]).sort_values(["doc_id", "start", "doc_tokens", "c"], kind="stable").reset_index(drop=True)
         rows, cut, length, seq, at = (np.array(x, np.int64) for x in zip(*place(part["length"].to_numpy(), window), strict=True))
         ids = [part["ids"].iat[r][4 * c : 4 * (c + n)] for r, c, n in zip(rows, cut, length, strict=True)]
