@@ -80,9 +80,6 @@ def set_discover(spark, sf_dir):
     return a.unionByName(b).distinct()
 
 
-AMOUNT = "CASE p_partkey % 5 WHEN 0 THEN '$1,001 - $15,000' WHEN 1 THEN '$' || p_partkey WHEN 2 THEN '$15,000 - $1,001' WHEN 3 THEN '$50,000,001 +' ELSE '' END"
-
-
 @query("SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 1001 WHEN 3 THEN 50000001 END AS lo, CASE p_partkey % 5 WHEN 0 THEN 15000 END AS hi, CASE p_partkey % 5 WHEN 1 THEN CAST(p_partkey AS DECIMAL(20,2)) WHEN 2 THEN CAST(15000 AS DECIMAL(20,2)) END AS exact FROM part")
 def str_amount(spark, sf_dir):
     """Amount texts as ranges or exact amounts."""

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+
+import pandas as pd
 from pyspark.sql import functions as F
 
 from ..operators import sinks
@@ -53,7 +57,7 @@ def src_pipe(spark, sf_dir):
     """Daily index lines of the forms named."""
     path = scratch(spark, "pipe")
     o = table(spark, sf_dir, "orders")
-    line = F.concat_ws("|", F.col("o_custkey").cast("string"), F.lit("Name"), "o_orderstatus", F.date_format("o_orderdate", "yyyyMMdd"), F.concat(F.lit("edgar/"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.lit("-24-000001.txt")))
+    line = F.concat_ws("|", F.col("o_custkey").cast("string"), F.lit("Name"), "o_orderstatus", F.date_format("o_orderdate", "yyyyMMdd"), F.concat(F.lit("forms/"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0"), F.lit("-24-000001.txt")))
     head = spark.createDataFrame([("Description: index",), ("CIK|Company Name|Form Type|Date Filed|File Name",), ("-----",)], "value string")
     head.unionByName(o.select(line.alias("value"))).write.text(path)
     return readers.read_pipe_index(spark, path, ["P"]).select("cik", "filed", "accession")
@@ -111,9 +115,6 @@ def src_const(spark, sf_dir):
 @query("SELECT p_partkey, p_size FROM part")
 def src_zip(spark, sf_dir):
     """Members of archives, opened where they are read."""
-    import io
-    import zipfile
-
     base = scratch(spark, "zip")
 
     def archive(parts):
@@ -122,19 +123,11 @@ def src_zip(spark, sf_dir):
             with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
                 z.writestr("a/part.csv", "".join(f"{a},{b}\n" for a, b in zip(part["p_partkey"], part["p_size"], strict=True)))
                 z.writestr("readme.txt", "no data")
-            yield part.head(1)[[]].assign(raw=[buf.getvalue()]) if len(part) else part.head(0)[[]].assign(raw=[])
+            yield pd.DataFrame({"archive": ["parts"], "raw": [buf.getvalue()]})
 
-    def members(parts):
-        for part in parts:
-            for raw in part["raw"]:
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
-                    for m in z.namelist():
-                        if m.endswith(".csv"):
-                            yield part.head(1)[[]].assign(content=[z.read(m).decode()])
-
-    zipped = table(spark, sf_dir, "part").select("p_partkey", "p_size").mapInPandas(archive, "raw binary")
-    zipped.write.parquet(base)
-    line = spark.read.parquet(base).mapInPandas(members, "content string").select(F.explode(F.split("content", "\n")).alias("l")).filter("l <> ''")
+    table(spark, sf_dir, "part").select("p_partkey", "p_size").mapInPandas(archive, "archive string, raw binary").write.parquet(base)
+    members = readers.zip_members(spark.read.parquet(base), "archive", "raw", ".csv")
+    line = members.select(F.explode(F.split("content", "\n")).alias("l")).filter("l <> ''")
     return line.select(F.split("l", ",")[0].cast("bigint").alias("p_partkey"), F.split("l", ",")[1].cast("int").alias("p_size"))
 
 

@@ -55,7 +55,7 @@ def stm_queue(spark, sf_dir):
 @query("SELECT user_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-20'")
 def stm_incr(spark, sf_dir):
     """What came after a cursor."""
-    return table(spark, sf_dir, "events").filter(F.col("ts") > F.expr("timestamp_ntz'2024-01-20'")).select("user_id", "ts")
+    return flows.incremental(table(spark, sf_dir, "events"), "ts", F.expr("timestamp_ntz'2024-01-20'")).select("user_id", "ts")
 
 
 @query("SELECT CASE WHEN value > 5 THEN 'good' WHEN user_id % 4 < 3 THEN 'again' ELSE 'dead' END AS side, count(*) AS n FROM events GROUP BY 1")

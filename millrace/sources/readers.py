@@ -119,18 +119,24 @@ def footnoted(cell: Column, notes: Column) -> Column:
     return F.struct(value.alias("value"), F.when(n.isNotNull(), F.struct(n.alias("number"), F.coalesce(F.try_element_at(notes, n), F.lit("")).alias("explanation"))).alias("footnote"))
 
 
-def read_zip(spark: SparkSession, path, suffix: str) -> DataFrame:
-    """(archive, member, content) of each member with that ending; archives are opened where they are read."""
+def zip_members(df: DataFrame, name: str, raw: str, suffix: str) -> DataFrame:
+    """(archive, member, content) of each member with that ending; archives are opened where they lie."""
+    kind = df.schema[name].dataType.simpleString()
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            for name, raw in zip(part["path"], part["content"], strict=True):
-                with zipfile.ZipFile(io.BytesIO(raw)) as z:
+            for archive, data in zip(part["name"], part["raw"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(data)) as z:
                     for m in z.namelist():
                         if m.lower().endswith(suffix):
-                            yield pd.DataFrame({"archive": [name], "member": [m], "content": [z.read(m).decode("utf-8", "replace")]})
+                            yield pd.DataFrame({"archive": [archive], "member": [m], "content": [z.read(m).decode("utf-8", "replace")]})
+
+    return df.select(F.col(name).alias("name"), F.col(raw).alias("raw")).mapInPandas(run, f"archive {kind}, member string, content string")
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "archive string, member string, content string")
+
+def read_zip(spark: SparkSession, path, suffix: str) -> DataFrame:
+    """The members of archive files."""
+    return zip_members(spark.read.format("binaryFile").load(path), "path", "content", suffix)
 
 
 _CODE, _DATE = re.compile(r"\[([A-Z]{2,3})\]"), re.compile(r"\b(\d{1,2}/\d{1,2}/\d{2,4})\b")

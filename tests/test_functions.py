@@ -155,3 +155,16 @@ def test_metrics_need_two_points(spark):
     assert got["one", "1d"].current_price == 0.0 and got["one", "1y"].volatility == 0.0
     assert got["few", "1d"].previous_close == 4.0 and got["few", "30d"].previous_close == 0.0 and got["few", "30d"].price_change_percent == 0.0
     assert got["few", "30d"].avg_volume == 10 and got["few", "1y"].year_low == 1.0
+
+
+def test_zip_and_constants(spark, tmp_path):
+    import zipfile
+
+    with zipfile.ZipFile(tmp_path / "a.zip", "w") as z:
+        z.writestr("x/one.csv", "a,b\n1,2\n")
+        z.writestr("two.txt", "no")
+    got = readers.read_zip(spark, str(tmp_path), ".csv").collect()
+    assert [(r["member"], r["content"]) for r in got] == [("x/one.csv", "a,b\n1,2\n")]
+    assert readers.code_list(spark, {1: "one"}).first()["code"] == "1"
+    assert one(spark, dates.congress_range(F.lit(2021), F.lit(2024))) == [117, 118]
+    assert one(spark, dates.on_date(F.lit("1/2/2024"), "2024-01-02")) and not one(spark, dates.on_date(F.lit("soon"), "2024-01-02"))
