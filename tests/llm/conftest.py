@@ -1,8 +1,5 @@
 from __future__ import annotations
 
-import re
-import zlib
-
 import pytest
 
 TEXT_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, score double, chunk long, sequence_id string"
@@ -29,17 +26,3 @@ def odd(spark):
 @pytest.fixture(scope="session")
 def empty(spark):
     return spark.createDataFrame([], TEXT_SCHEMA)
-
-
-def words(text: str | None, lower: bool = True) -> list[str]:
-    t = text or ""
-    t = re.sub("[A-Z]+", lambda m: m[0].lower(), t) if lower else t
-    return re.findall("[^\x20\x09-\x0d]+", t)
-
-
-def crc(value) -> int:
-    return zlib.crc32(str(value).encode())
-
-
-def texts(df) -> dict:
-    return {r["doc_id"]: r["text"] for r in df.select("doc_id", "text").collect()}

@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import words
+from brute import words
 
 from millrace.llm.graph import components
 from millrace.llm.jaccard_join import jaccard_components, keep_one, overlaps

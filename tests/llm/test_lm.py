@@ -4,7 +4,7 @@ import math
 from collections import Counter
 
 import pytest
-from conftest import crc, words
+from brute import crc, words
 
 from millrace.llm.lm_score import score_texts
 

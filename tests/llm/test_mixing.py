@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import words
+from brute import words
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F

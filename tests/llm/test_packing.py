@@ -4,7 +4,6 @@ import zlib
 
 import numpy as np
 import public_tokenizers
-from conftest import texts as _  # noqa: F401
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer

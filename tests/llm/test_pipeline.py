@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from conftest import words
+from brute import words
 
 from millrace.llm.base import materialize
 from millrace.llm.mixing import mix_sources

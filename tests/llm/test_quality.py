@@ -1,7 +1,7 @@
 from __future__ import annotations
 
 import numpy as np
-from conftest import crc
+from brute import crc
 
 from millrace.llm.quality_rff import features_of, isotonic, score_quality
 

@@ -4,7 +4,7 @@ import itertools
 from collections import Counter
 
 import numpy as np
-from conftest import words
+from brute import words
 
 from millrace.llm.line_crf import marginals, rate_lines, viterbi
 
@@ -49,7 +49,7 @@ def test_base_columns(docs, labels, odd, empty):
 
 
 def test_verdict_on_held_out(spark):
-    from conftest import crc
+    from brute import crc
 
     sf = "/root/testdata/sf0.01"
     labels = spark.read.parquet(f"{sf}/labels.parquet")
