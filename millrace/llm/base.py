@@ -6,7 +6,6 @@ Arrow batch, so a lost executor only costs the re-run of its tasks.
 
 from __future__ import annotations
 
-import math
 import tempfile
 import uuid
 import zlib
@@ -60,9 +59,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def input_partitions(df: DataFrame) -> int:
-    """How many tasks Spark reads the input with; follows the input's size."""
-    return max(1, df.rdd.getNumPartitions())
+def drop_scratch(spark: SparkSession) -> None:
+    """Delete all written scratch tables; results that were not yet computed need them."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/tables")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def crc_mod(col: str, n: int):
@@ -178,7 +178,3 @@ def ngram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarr
     for k in range(n):
         out = out * np.uint64(0xD6E8FEB86659FD93) + words[at + k]
     return mix64(out + np.uint64(n)), doc
-
-
-def ceil_div(a: int, b: int) -> int:
-    return math.ceil(a / b)

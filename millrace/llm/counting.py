@@ -65,11 +65,13 @@ def cell_bounds(keys: np.ndarray, n_ranges: int) -> np.ndarray:
     return np.searchsorted(((keys >> np.uint64(32)) * np.uint64(n_ranges) >> np.uint64(32)).astype(np.int64), np.arange(n_ranges + 1))
 
 
-def exchange_counts(chunks: DataFrame, keys_of: Callable[[bytes, bytes], tuple[np.ndarray, np.ndarray]], n_ranges: int, firsts: bool = False) -> DataFrame:
-    """(chunk, cell, counts): for each range that a chunk has keys of, their corpus counts in key order.
+def exchange_counts(chunks: DataFrame, keys_of: Callable[[bytes, bytes], tuple[np.ndarray, np.ndarray]], n_ranges: int, firsts: bool = False, hot: int = 0) -> DataFrame:
+    """(chunk, cell, counts, hot): for each range that a chunk has keys of, their corpus counts in key order.
 
     keys_of gives a chunk's sorted distinct keys and its own count of each.  With
     `firsts` a count is doubled, and odd for the one chunk that holds the key first.
+    One row of each range also names its keys counted more than `hot` times, if
+    that is not 0.
     """
 
     def ask(batches):
@@ -87,18 +89,20 @@ def exchange_counts(chunks: DataFrame, keys_of: Callable[[bytes, bytes], tuple[n
         part = part.sort_values("chunk")
         keys = [np.cumsum(unpack(x, np.uint64), dtype=np.uint64) for x in part["keys"]]
         own = np.concatenate([unpack(x, np.uint32) for x in part["own"]]).astype(float)
-        _, index, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        total, at, out = np.bincount(inverse, own)[inverse].astype(np.uint64), 0, []
+        every, index, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        sums = np.bincount(inverse, own)
+        frequent = every[sums > hot].view(np.int64) if hot else every[:0].view(np.int64)
+        total, at, out = sums[inverse].astype(np.uint64), 0, []
         if firsts:
             total *= np.uint64(2)
             total[index] += np.uint64(1)
         for k in keys:
             out.append(pack(total[at : at + len(k)]))
             at += len(k)
-        return pd.DataFrame({"chunk": part["chunk"], "cell": part["cell"], "counts": out})
+        return pd.DataFrame({"chunk": part["chunk"], "cell": part["cell"], "counts": out, "hot": [frequent] + [frequent[:0]] * (len(part) - 1)})
 
     asked = chunks.select("chunk", "offsets", "texts").mapInArrow(ask, "chunk long, cell int, keys binary, own binary")
-    return asked.groupBy("cell").applyInPandas(answer, "chunk long, cell int, counts binary")
+    return asked.groupBy("cell").applyInPandas(answer, "chunk long, cell int, counts binary, hot array<long>")
 
 
 def answers(keys: np.ndarray, cells, counts, n_ranges: int) -> np.ndarray:

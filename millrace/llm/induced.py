@@ -56,22 +56,23 @@ class Queues:
         self.held = 0
 
     def pop(self, symbol: int):
-        """Blocks of a symbol, in order, with those pushed meanwhile."""
-        q = self.parts[symbol]
-        k = 0
+        """Blocks of a symbol, in order, with those pushed meanwhile; what lies ready is handed out together, up to a block."""
+        q, k = self.parts[symbol], 0
         while k < len(q):
-            part = q[k]
-            q[k] = ()
-            k += 1
-            if part[0] is None:
-                self.file.flush()
-                self.file.seek(part[1])
-                pos = np.fromfile(self.file, part[3], part[2])
-                yield pos, np.fromfile(self.file, np.int16, part[2])
-                self.file.seek(0, os.SEEK_END)
-            else:
-                self.held -= part[0].nbytes + part[1].nbytes
-                yield part
+            ready, n = [], 0
+            while k < len(q) and n < BLOCK:
+                part, q[k] = q[k], ()
+                k += 1
+                if part[0] is None:
+                    self.file.flush()
+                    self.file.seek(part[1])
+                    part = np.fromfile(self.file, part[3], part[2]), np.fromfile(self.file, np.int16, part[2])
+                    self.file.seek(0, os.SEEK_END)
+                else:
+                    self.held -= part[0].nbytes + part[1].nbytes
+                ready.append(part)
+                n += len(part[0])
+            yield ready[0] if len(ready) == 1 else tuple(np.concatenate(x) for x in zip(*ready, strict=True))
         self.parts[symbol] = []
 
     def close(self) -> None:
@@ -101,10 +102,10 @@ def run_lengths(t: np.ndarray, depth: int) -> np.ndarray:
 
 
 class Pass:
-    """One induction pass: hands the suffixes left of scanned ones on to the queues, with common prefixes."""
+    """One induction pass: hands the suffixes left of scanned ones on to the queues, with common prefixes unless it only sorts."""
 
-    def __init__(self, t, up, want_up: bool, queues: Queues, depth: int):
-        self.t, self.up, self.want, self.queues, self.depth = t, up, want_up, queues, depth
+    def __init__(self, t, up, want_up: bool, queues: Queues, depth: int, prefixes: bool):
+        self.t, self.up, self.want, self.queues, self.depth, self.prefixes = t, up, want_up, queues, depth, prefixes
         self.since = np.full(len(queues.parts), -1, np.int64)  # least common prefix since a symbol's last push; -1: none yet
 
     def scan(self, pos: np.ndarray, lcp: np.ndarray) -> None:
@@ -117,10 +118,13 @@ class Pass:
         left = pos[at] - 1
         ok = self.up[left] == self.want
         at, left = at[ok], left[ok]
+        if not self.prefixes:
+            self._sort_only(left)
+            return
         opened = self.since >= 0
         if len(at):
             symbol = self.t[left]
-            order = np.argsort(symbol, kind="stable")
+            order = np.argsort(symbol.astype(np.uint16), kind="stable")  # by radix; bucketed strings have few symbols
             at, left, symbol = at[order], left[order], symbol[order]
             heads = np.flatnonzero(np.append(True, symbol[1:] != symbol[:-1]))
             ends = np.append(heads[1:], len(at))
@@ -139,14 +143,24 @@ class Pass:
         elif len(lcp):
             self.since[opened] = np.minimum(self.since[opened], int(lcp.min()))
 
+    def _sort_only(self, left: np.ndarray) -> None:
+        symbol = self.t[left]
+        order = np.argsort(symbol.astype(np.uint16), kind="stable")  # by radix; bucketed strings have few symbols
+        left, symbol = left[order], symbol[order]
+        heads = np.flatnonzero(symbol[1:] != symbol[:-1]) + 1
+        zeros = np.zeros(len(left), np.int16)
+        for a, b in zip([0, *heads], [*heads, len(left)], strict=True):
+            if a < b:
+                self.queues.push(int(symbol[a]), left[a:b], zeros[a:b])
 
-def induce(t: np.ndarray, up: np.ndarray, stars: np.ndarray, star_lcp: np.ndarray, n_symbols: int, depth: int, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray]:
-    """(suffixes, lcp with the one before) in order, from the S* suffixes in order."""
+
+def induce(t: np.ndarray, up: np.ndarray, stars: np.ndarray, star_lcp: np.ndarray, n_symbols: int, depth: int, memory: int = MEMORY, prefixes: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(suffixes, lcp with the one before) in order, from the S* suffixes in order; without prefixes the lcp is void."""
     runs = run_lengths(t, depth)
     first = np.searchsorted(t[stars], np.arange(n_symbols + 1))
     low: list[tuple[np.ndarray, np.ndarray]] = []  # the falling suffixes of each symbol
     queues = Queues(n_symbols, memory)
-    step = Pass(t, up, False, queues, depth)
+    step = Pass(t, up, False, queues, depth, prefixes)
     none = (np.zeros(0, np.int64), np.zeros(0, np.int16))
     for c in range(n_symbols):
         got = []
@@ -164,7 +178,7 @@ def induce(t: np.ndarray, up: np.ndarray, stars: np.ndarray, star_lcp: np.ndarra
             step.scan(stars[a:b], lcp)
     queues.close()
     queues = Queues(n_symbols, memory)
-    step = Pass(t, up, True, queues, depth)
+    step = Pass(t, up, True, queues, depth, prefixes)
     out: list[tuple[np.ndarray, np.ndarray]] = []
     end = np.array([len(t) - 1])
     for c in range(n_symbols - 1, -1, -1):
@@ -239,7 +253,7 @@ def doubled(names: np.ndarray, depth: int) -> np.ndarray:
 def star_order(t: np.ndarray, up: np.ndarray, stars: np.ndarray, n_symbols: int, depth: int, memory: int) -> np.ndarray:
     """The S* suffixes in order of their first `depth` symbols at least."""
     by_symbol = stars[np.argsort(t[stars], kind="stable")]
-    order, _ = induce(t, up, by_symbol, np.zeros(len(stars), np.int16), n_symbols, depth, memory)
+    order, _ = induce(t, up, by_symbol, np.zeros(len(stars), np.int16), n_symbols, depth, memory, prefixes=False)
     is_star = np.zeros(len(t), bool)
     is_star[stars] = True
     sorted_pieces = order[is_star[order]]

@@ -7,7 +7,9 @@ with the smallest hash is its anchor, and equal windows have equal anchors.  Run
 of windows with one anchor form a segment.  Anchors are counted over the corpus,
 and only segments whose anchor occurs again are dealt, by anchor, to shards; of
 whole texts that are copies, one stands for all, and a chunk sends equal segments
-once.  A shard sorts the suffixes of
+once.  Of an anchor that is very frequent, windows are counted too, and only the
+parts of its segments that occur again are dealt: what many documents have around
+a common passage stays where it is.  A shard sorts the suffixes of
 its different segments by external induction (see induced.py); a window is
 repeated if the common prefix with a neighbour in that order covers it.
 """
@@ -24,13 +26,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import _BASE, _BYTE_CODE, blocks, materialize, mix64, table
-from .counting import CHUNK_BYTES, RANGE_BYTES, answers, exchange_counts, open_chunk, text_chunks
+from .counting import RANGE_BYTES, answers, exchange_counts, open_chunk, text_chunks
 from .induced import MEMORY, sort_suffixes
 
 #: Bytes of a string that must not occur twice, and of a gram that anchors it.
 WINDOW, GRAM = 200, 40
-#: Bytes of the corpus for each shard of segments, and of text that is hashed at a time.
-SHARD_BYTES, STRIP = 4 << 20, 1 << 20
+#: Occurrences from which an anchor is frequent: so many, or this part of the corpus bytes, so that at most 100,000 anchors are.
+HOT_ROWS, HOT_PART = 20_000, 100_000
+#: Bytes of text in a chunk, of the corpus for each shard of segments, and of text that is hashed at a time.
+CHUNK_BYTES, SHARD_BYTES, STRIP = 4 << 20, 4 << 20, 1 << 20
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
@@ -45,10 +49,18 @@ def ladder(base: int, n: int) -> np.ndarray:
     return _ladder(base, max(STRIP + 1, 1 << (n - 1).bit_length() if n > STRIP + 1 else 0))[:n]
 
 
-def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int) -> tuple[np.ndarray, ...]:
+def among(known: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Which of x are in the sorted array."""
+    return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x if len(known) else np.zeros(len(x), bool)
+
+
+def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot: np.ndarray | None = None, again=None) -> tuple[np.ndarray, ...]:
     """(document, first window, last window, anchor, content) of each segment, the last two as hashes, and a hash of each document.
 
-    Windows are given by their first byte.  Among grams with equal hashes the leftmost is the anchor.
+    Windows are given by their first byte.  Among grams with equal hashes the
+    leftmost is the anchor.  `again` tells for hashes of windows whether they
+    occur again; it is asked for the segments of the anchors in `hot` (sorted),
+    of which only the parts where it says so are returned.
     """
     w = window - gram + 1
     assert 1 <= w <= 256
@@ -78,6 +90,17 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int) -> tuple[
         at = np.where(left, s // w * w + (a & np.uint64(255)).astype(np.int64), (s + w - 1) // w * w + (b & np.uint64(255)).astype(np.int64))
         first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (which[1:] != which[:-1])))
         last = np.append(first[1:], len(at)) - 1
+        if hot is not None and len(hot):
+            warm = among(hot, h[at[first]])
+            n_own = (last - first + 1)[warm]
+            own = np.repeat(first[warm] - (np.cumsum(n_own) - n_own), n_own) + np.arange(n_own.sum())
+            stay = np.flatnonzero(again(mix64((total[s[own] + window] - total[s[own]]) * back[s[own]] + np.uint64(window))))
+            run = np.repeat(np.flatnonzero(warm), n_own)[stay]
+            heads = np.flatnonzero(np.append(True, (np.diff(own[stay]) != 1) | (np.diff(run) != 0))) if len(stay) else stay
+            tails = np.append(heads[1:], len(stay)) - 1 if len(stay) else stay
+            first, last = np.concatenate([first[~warm], own[stay[heads]]]), np.concatenate([last[~warm], own[stay[tails]]])
+            by = np.argsort(first, kind="stable")
+            first, last = first[by], last[by]
         doc.append(which[first] + lo)
         lo_.append(s[first] + off[lo])
         hi_.append(s[last] + off[lo])
@@ -200,7 +223,7 @@ def cut(data: np.ndarray, off: np.ndarray, row: np.ndarray, lo: np.ndarray, hi:
     return np.diff(off) - np.diff(ends), np.bincount(row, minlength=len(off) - 1), [rest[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY, keep_bytes: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY, hot_rows: int = 0, keep_bytes: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining bytes) for each row.
 
     Texts are judged as given, as UTF-8; null is empty.  Texts below the window
@@ -216,15 +239,38 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         _, _, _, key, _, whole = anchors(data, off, window, gram)
         return np.unique(np.concatenate([key, document_keys(whole, off, window)[1]]), return_counts=True)
 
-    told = exchange_counts(held, keys_of, n_ranges, firsts=True)
+    told = materialize(exchange_counts(held, keys_of, n_ranges, firsts=True, hot=hot_rows or max(HOT_ROWS, total // HOT_PART)), "anchors")
+    # at most HOT_PART keys, since each stands for that part of the bytes
+    hot = np.sort(np.array([r[0] for r in told.select(F.explode("hot")).collect()], np.int64).view(np.uint64))
+
+    def windows_of(offsets: bytes, texts: bytes):
+        data, off = open_chunk(offsets, texts)
+        found: list[tuple[np.ndarray, np.ndarray]] = []  # distinct ones by strip, since periodic texts repeat few
+        anchors(data, off, window, gram, hot, lambda w: found.append(np.unique(w, return_counts=True)) or np.zeros(len(w), bool))
+        if not found:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        windows, inverse = np.unique(np.concatenate([w for w, _ in found]), return_inverse=True)
+        return windows, np.bincount(inverse, np.concatenate([n for _, n in found]), len(windows)).astype(np.int64)
+
+    told = told.select("chunk", "cell", "counts", F.lit(0).alias("level"))
+    if len(hot):
+        told = told.unionByName(exchange_counts(held, windows_of, n_ranges).select("chunk", "cell", "counts", F.lit(1).alias("level")))
 
     def segments(left: pa.Table, right: pa.Table) -> pa.Table:
         chunk, offsets, texts = (left[k][0].as_py() for k in ("chunk", "offsets", "texts"))
         data, off = open_chunk(offsets, texts)
-        doc, lo, hi, key, content, whole = anchors(data, off, window, gram)
-        long, copies = document_keys(whole, off, window)
+        found: list[np.ndarray] = []
+        cut_up = anchors(data, off, window, gram, hot, lambda w: found.append(np.unique(w)) or np.ones(len(w), bool))
+        long, copies = document_keys(cut_up[-1], off, window)
+        asked = np.unique(np.concatenate([copies, cut_up[3]]))
+        if any(map(len, found)):
+            mine, windows = right.filter(pc.equal(right["level"], 1)), np.unique(np.concatenate(found))
+            twice = windows[answers(windows, mine["cell"].to_numpy(), mine["counts"].to_pylist(), n_ranges) > 1]
+            cut_up = anchors(data, off, window, gram, hot, lambda w: among(twice, w))
+        doc, lo, hi, key, content, _ = cut_up
         keys, index, inverse = np.unique(np.concatenate([copies, key]), return_index=True, return_inverse=True)
-        told = answers(keys, right["cell"].to_numpy(), right["counts"].to_pylist(), n_ranges)
+        mine = right.filter(pc.equal(right["level"], 0))
+        told = answers(asked, mine["cell"].to_numpy(), mine["counts"].to_pylist(), n_ranges)[np.searchsorted(asked, keys)]
         count, first = told >> np.uint64(1), (told & np.uint64(1)) == 1
         here = np.zeros(len(inverse), bool)
         here[index] = True  # where a key stands first in the chunk
