@@ -9,7 +9,8 @@ and only segments whose anchor occurs again are dealt, by anchor, to shards; of
 whole texts that are copies, one stands for all, and a chunk sends equal segments
 once.  Of an anchor that is very frequent, windows are counted too, and only the
 parts of its segments that occur again are dealt: what many documents have around
-a common passage stays where it is.  A shard sorts the suffixes of
+a common passage stays where it is.  Which anchors are, is told by a sieve of fixed
+size; one that it takes for frequent is split as well, with the same result.  A shard sorts the suffixes of
 its different segments by external induction (see induced.py); a window is
 repeated if the common prefix with a neighbour in that order covers it.
 """
@@ -31,8 +32,8 @@ from .induced import MEMORY, sort_suffixes
 
 #: Bytes of a string that must not occur twice, and of a gram that anchors it.
 WINDOW, GRAM = 200, 40
-#: Occurrences from which an anchor is frequent: so many, or this part of the corpus bytes, so that at most 100,000 anchors are.
-HOT_ROWS, HOT_PART = 20_000, 100_000
+#: Occurrences from which an anchor is frequent, however large the corpus is, and bits of the sieve of frequent anchors.
+HOT_ROWS, SIEVE_BITS = 20_000, 22
 #: Bytes of text in a chunk, of the corpus for each shard of segments, and of text that is hashed at a time.
 CHUNK_BYTES, SHARD_BYTES, STRIP = 4 << 20, 4 << 20, 1 << 20
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -54,13 +55,31 @@ def among(known: np.ndarray, x: np.ndarray) -> np.ndarray:
     return known[np.minimum(np.searchsorted(known, x), len(known) - 1)] == x if len(known) else np.zeros(len(x), bool)
 
 
-def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot: np.ndarray | None = None, again=None) -> tuple[np.ndarray, ...]:
+def sieve_of(keys: DataFrame, bits: int) -> np.ndarray | None:
+    """Packed bits, set at the lowest `bits` bits of each key (a column of longs); None if there is no key."""
+    low = keys.select(F.col(keys.columns[0]).bitwiseAND(F.lit((1 << bits) - 1)).alias("low"))
+    parts = low.groupBy(F.shiftright("low", 15).alias("part")).agg(F.bitmap_construct_agg(F.col("low") % 32768).alias("bitmap")).collect()
+    if not parts:
+        return None
+    out = np.zeros((max(1, 1 << bits >> 15), 4096), np.uint8)
+    for part, bitmap in parts:
+        out[part] = np.frombuffer(bitmap, np.uint8)
+    return out.ravel()
+
+
+def sifted(sieve: np.ndarray, bits: int, x: np.ndarray) -> np.ndarray:
+    """Which of x have their bit in the sieve: all of its keys, and by chance others."""
+    low = (x & np.uint64((1 << bits) - 1)).astype(np.int64)
+    return sieve[low >> 3] >> (low & 7).astype(np.uint8) & 1 == 1
+
+
+def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot=None, again=None) -> tuple[np.ndarray, ...]:
     """(document, first window, last window, anchor, content) of each segment, the last two as hashes, and a hash of each document.
 
     Windows are given by their first byte.  Among grams with equal hashes the
     leftmost is the anchor.  `again` tells for hashes of windows whether they
-    occur again; it is asked for the segments of the anchors in `hot` (sorted),
-    of which only the parts where it says so are returned.
+    occur again; it is asked for the segments of the anchors that `hot` says are
+    frequent, of which only the parts where it says so are returned.
     """
     w = window - gram + 1
     assert 1 <= w <= 256
@@ -90,8 +109,8 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot: np.n
         at = np.where(left, s // w * w + (a & np.uint64(255)).astype(np.int64), (s + w - 1) // w * w + (b & np.uint64(255)).astype(np.int64))
         first = np.flatnonzero(np.append(True, (at[1:] != at[:-1]) | (which[1:] != which[:-1])))
         last = np.append(first[1:], len(at)) - 1
-        if hot is not None and len(hot):
-            warm = among(hot, h[at[first]])
+        if hot is not None:
+            warm = hot(h[at[first]])
             n_own = (last - first + 1)[warm]
             own = np.repeat(first[warm] - (np.cumsum(n_own) - n_own), n_own) + np.arange(n_own.sum())
             stay = np.flatnonzero(again(mix64((total[s[own] + window] - total[s[own]]) * back[s[own]] + np.uint64(window))))
@@ -239,9 +258,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         _, _, _, key, _, whole = anchors(data, off, window, gram)
         return np.unique(np.concatenate([key, document_keys(whole, off, window)[1]]), return_counts=True)
 
-    told = materialize(exchange_counts(held, keys_of, n_ranges, firsts=True, hot=hot_rows or max(HOT_ROWS, total // HOT_PART)), "anchors")
-    # at most HOT_PART keys, since each stands for that part of the bytes
-    hot = np.sort(np.array([r[0] for r in told.select(F.explode("hot")).collect()], np.int64).view(np.uint64))
+    told = materialize(exchange_counts(held, keys_of, n_ranges, firsts=True, hot=hot_rows or HOT_ROWS), "anchors")
+    bits = SIEVE_BITS
+    sieve = sieve_of(told.select(F.explode("hot")), bits)
+    hot = None if sieve is None else lambda keys: sifted(sieve, bits, keys)
 
     def windows_of(offsets: bytes, texts: bytes):
         data, off = open_chunk(offsets, texts)
@@ -253,7 +273,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return windows, np.bincount(inverse, np.concatenate([n for _, n in found]), len(windows)).astype(np.int64)
 
     told = told.select("chunk", "cell", "counts", F.lit(0).alias("level"))
-    if len(hot):
+    if hot is not None:
         told = told.unionByName(exchange_counts(held, windows_of, n_ranges).select("chunk", "cell", "counts", F.lit(1).alias("level")))
 
     def segments(left: pa.Table, right: pa.Table) -> pa.Table:

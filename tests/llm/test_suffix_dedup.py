@@ -8,8 +8,9 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from millrace.llm import induced
-from millrace.llm.suffix_dedup import anchors, remove_repeats
+from millrace.llm import induced, suffix_dedup
+from millrace.llm.counting import exchange_counts
+from millrace.llm.suffix_dedup import anchors, remove_repeats, sieve_of, sifted
 
 
 def brute(texts: list[bytes], window: int) -> list[tuple]:
@@ -93,3 +94,33 @@ def test_frequent_anchors(spark, docs):
         have = df.select("doc_id", "text").collect()
         got = {r["doc_id"]: tuple(r)[1:5] for r in remove_repeats(df, hot_rows=2, chunk_bytes=20_000, shard_bytes=30_000).collect()}
         assert [got[r["doc_id"]] for r in have] == brute([(r["text"] or "").encode() for r in have], 200)
+
+
+def test_frequent_limit_does_not_grow_with_the_corpus(spark, monkeypatch):
+    """An anchor is split from HOT_ROWS occurrences on, in a corpus of any size."""
+    seen = []
+
+    def spy(*args, **kwargs):
+        seen.append(kwargs.get("hot", 0))
+        return exchange_counts(*args, **kwargs)
+
+    monkeypatch.setattr(suffix_dedup, "exchange_counts", spy)
+    monkeypatch.setattr(suffix_dedup, "HOT_ROWS", 3)
+    passage = " ".join(f"shared{k}" for k in range(60))
+    rows = [(k, f"{k} {passage} " + "".join(chr(97 + (k * j * j + j) % 26) for j in range(30_000))) for k in range(40)]
+    remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=200_000).count()
+    assert seen == [3, 0]
+
+
+@pytest.mark.parametrize("bits", [3, 22])
+def test_sieve_holds_every_key_and_changes_no_result(spark, docs, monkeypatch, bits):
+    keys = np.random.default_rng(2).integers(-(1 << 63), 1 << 63, 500)
+    assert sieve_of(spark.createDataFrame([], "k long"), bits) is None
+    sieve = sieve_of(spark.createDataFrame([(int(k),) for k in keys], "k long"), bits)
+    assert sifted(sieve, bits, keys.view(np.uint64)).all()
+    low = {int(k) & ((1 << bits) - 1) for k in keys}
+    assert int(np.unpackbits(sieve).sum()) == len(low)
+    monkeypatch.setattr(suffix_dedup, "SIEVE_BITS", bits)
+    rows = docs.select("doc_id", "text").collect()
+    got = {r["doc_id"]: tuple(r)[1:5] for r in remove_repeats(docs, hot_rows=6, chunk_bytes=50_000, shard_bytes=30_000).collect()}
+    assert [got[r["doc_id"]] for r in rows] == brute([(r["text"] or "").encode() for r in rows], 200)
