@@ -71,16 +71,21 @@ def by_key_else(left: DataFrame, ref: DataFrame, left_key: Column, ref_key: Colu
     return got.unionByName(fuzzy(rest), allowMissingColumns=True)
 
 
+def with_all(left: DataFrame, ref: DataFrame) -> DataFrame:
+    """Each left row with every row of the reference list, which must be short, and is checked to be."""
+    n = ref.limit(SMALL_ROWS + 1).count()
+    if n > SMALL_ROWS:
+        raise ValueError(f"the reference list has more than {SMALL_ROWS} rows")
+    return left.join(F.broadcast(ref), F.lit(True), "cross")
+
+
 def best_match(left: DataFrame, ref: DataFrame, score: Column, left_id: str, ref_order: str, accept: float) -> DataFrame:
     """For each left row the reference row of the highest score, the first in ref_order among equals, if it is accepted.
 
     The reference list must be short, and is checked to be: every left row is
     held against all of it, and only the best survives the partial aggregation.
     """
-    n = ref.limit(SMALL_ROWS + 1).count()
-    if n > SMALL_ROWS:
-        raise ValueError(f"the reference list has more than {SMALL_ROWS} rows")
-    pairs = left.join(F.broadcast(ref), F.lit(True), "cross").withColumn("score", score).filter(F.col("score") >= accept)
+    pairs = with_all(left, ref).withColumn("score", score).filter(F.col("score") >= accept)
     best = F.max_by(F.struct(*[F.col(c) for c in pairs.columns]), F.struct("score", -F.col(ref_order)))
     return pairs.groupBy(F.col(left_id).alias("__id")).agg(best.alias("b")).select("b.*")
 

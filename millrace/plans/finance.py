@@ -163,7 +163,7 @@ def _names(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
 @query()
 def sim_ratio(spark, sf_dir):
     filer, ref = _names(spark, sf_dir)
-    pairs = filer.withColumn("k", F.col("s_suppkey") % 25).join(ref, F.col("k") == F.col("ref_id"))
+    pairs = joins.with_all(filer, ref)
     return pairs.select("s_suppkey", "ref_id", F.round(similarity.sim_ratio(F.lower("filer"), F.lower("ref_name")), 6).alias("ratio"))
 
 
@@ -187,7 +187,7 @@ def join_bio_else_fuzzy(spark, sf_dir):
 def fz_scores(spark, sf_dir):
     """All scorers side by side on the same pairs."""
     filer, ref = _names(spark, sf_dir)
-    p = filer.withColumn("k", F.col("s_suppkey") % 25).join(ref, F.col("k") == F.col("ref_id"))
+    p = joins.with_all(filer, ref)
     s, r = strings.split_name("filer"), strings.split_name("ref_name")
     args = ["filer", "ref_name", s["first"], r["first"], s["last"], r["last"]]
     return p.select("s_suppkey", "ref_id", F.round(similarity.senate_score("filer", "ref_name"), 6).alias("senate"), F.round(similarity.filing_score("filer", "ref_name"), 6).alias("filing"), F.round(similarity.house_score(strings.flip_name(strings.clean_name("filer")), F.coalesce(r["first"], F.lit("")), F.coalesce(r["middle"], F.lit("")), F.coalesce(r["last"], F.lit("")), "ref_name"), 6).alias("house"), F.round(similarity.bill_score(*args), 6).alias("bill"), F.round(similarity.vote_score(*args), 6).alias("vote"))

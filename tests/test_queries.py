@@ -26,3 +26,18 @@ def test_entry(spark):
 
     df = __spark_entry__.entry(spark)
     assert df.count() > 0 and set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
+
+
+def test_scorers_meet_the_whole_list(spark, sf_dir):
+    """Every filer against every reference, as brute force scores them."""
+    from millrace.functions import similarity
+    from millrace.plans import finance
+
+    filer, ref = (df.collect() for df in finance._names(spark, sf_dir))
+    pairs = {(f["s_suppkey"], r["ref_id"]): (f["filer"], r["ref_name"]) for f in filer for r in ref}
+    got = {(r["s_suppkey"], r["ref_id"]): r["ratio"] for r in finance.sim_ratio(spark, sf_dir).collect()}
+    assert got == pytest.approx({k: similarity.ratio(a.lower(), b.lower()) for k, (a, b) in pairs.items()}, abs=1e-6)
+    rows = finance.fz_scores(spark, sf_dir).collect()
+    assert len(rows) == len(pairs)
+    assert {(r["s_suppkey"], r["ref_id"]): r["senate"] for r in rows} == pytest.approx({k: similarity.score_senate(*x) for k, x in pairs.items()}, abs=1e-6)
+    assert {(r["s_suppkey"], r["ref_id"]): r["filing"] for r in rows} == pytest.approx({k: similarity.score_filing(*x) for k, x in pairs.items()}, abs=1e-6)
