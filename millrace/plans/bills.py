@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, strings
-from ..operators import merges, ordered, search
+from ..operators import joins, merges, ordered, search
 from ..session import table
 from .registry import query
 
@@ -158,7 +158,7 @@ def str_names(spark, sf_dir):
 
 @query("SELECT s_suppkey, CASE WHEN s_suppkey % 5 = 0 THEN upper(left(n_name, 2)) ELSE upper(left(n_name, 2)) || CASE WHEN s_suppkey % 7 = 0 THEN 'AL' ELSE lpad(CAST(s_suppkey % 60 AS VARCHAR), 2, '0') END END AS district FROM supplier JOIN nation ON s_nationkey = n_nationkey")
 def str_district(spark, sf_dir):
-    s = table(spark, sf_dir, "supplier").join(F.broadcast(table(spark, sf_dir, "nation").limit(1000)), F.col("s_nationkey") == F.col("n_nationkey"))
+    s = table(spark, sf_dir, "supplier").join(joins.small(table(spark, sf_dir, "nation")), F.col("s_nationkey") == F.col("n_nationkey"))
     k = F.col("s_suppkey")
     return s.select("s_suppkey", strings.district(F.left("n_name", F.lit(2)), F.when(k % 7 == 0, "AL").otherwise((k % 60).cast("string")), k % 5 == 0).alias("district"))
 

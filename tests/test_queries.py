@@ -41,3 +41,10 @@ def test_scorers_meet_the_whole_list(spark, sf_dir):
     assert len(rows) == len(pairs)
     assert {(r["s_suppkey"], r["ref_id"]): r["senate"] for r in rows} == pytest.approx({k: similarity.score_senate(*x) for k, x in pairs.items()}, abs=1e-6)
     assert {(r["s_suppkey"], r["ref_id"]): r["filing"] for r in rows} == pytest.approx({k: similarity.score_filing(*x) for k, x in pairs.items()}, abs=1e-6)
+
+
+def test_districts_of_a_long_nation_table(spark, tmp_path):
+    """No nation is dropped, however many there are."""
+    spark.range(1500).selectExpr("cast(id as int) AS n_nationkey", "'NAME' AS n_name").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.range(1500).selectExpr("id AS s_suppkey", "cast(id as int) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    assert QUERIES["str_district"](spark, str(tmp_path)).count() == 1500
