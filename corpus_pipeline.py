@@ -33,9 +33,8 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Strings of 200 bytes that occur again go from the texts; a character that was cut in two goes with them."""
     rest = [c for c in docs.columns if c != "text"]
     named = docs.select(F.struct(*rest).alias("doc"), "text")
-    out = remove_repeats(named, id_col="doc").select("doc_id", "n_removed", F.try_validate_utf8(F.col("kept").cast("string")).alias("whole"), F.col("kept"))
-    text = F.coalesce("whole", F.replace(F.make_valid_utf8(F.col("kept").cast("string")), F.lit("�"), F.lit("")))
-    out = out.withColumn("text", text)
+    out = remove_repeats(named, id_col="doc", characters=True).select("doc_id", "n_removed", F.col("kept").cast("string").alias("text"))
+    out = out.withColumn("text", F.make_valid_utf8("text"))  # changes only bytes that were no UTF-8 in the source
     cols = {c: F.col("doc_id")[c] for c in rest} | {"text": F.col("text")}
     if "n_chars" in rest:
         cols["n_chars"] = F.when(F.col("n_removed") > 0, F.char_length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("doc_id")["n_chars"])

@@ -230,23 +230,29 @@ def spans_of(t: pa.Table, window: int, memory: int = MEMORY) -> pa.Table:
     return pa.concat_tables(out)
 
 
-def cut(data: np.ndarray, off: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(removed bytes, removed runs, kept bytes) of each document of a chunk."""
+def cut(data: np.ndarray, off: np.ndarray, row: np.ndarray, lo: np.ndarray, hi: np.ndarray, characters: bool = False) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(removed bytes, removed runs, kept bytes) of each document of a chunk; with `characters`, one that a cut edge parts goes whole."""
     row, lo, hi = merged(row, lo, hi)
     edge = np.zeros(len(data) + 1, np.int32)
     np.add.at(edge, lo + off[row], 1)
     np.add.at(edge, hi + off[row], -1)
     keep = np.cumsum(edge[:-1]) == 0
+    if characters and len(row):
+        lead = data & 0xC0 != 0x80
+        lead[off[:-1][np.diff(off) > 0]] = True
+        first = np.flatnonzero(lead)
+        keep = np.repeat(np.logical_and.reduceat(keep, first), np.diff(np.append(first, len(data))))
     ends = np.concatenate([[0], np.cumsum(keep)])[off]
     rest = data[keep].tobytes()
     return np.diff(off) - np.diff(ends), np.bincount(row, minlength=len(off) - 1), [rest[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY, hot_rows: int = 0, keep_bytes: bool = True) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, gram: int = GRAM, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES, shard_bytes: int = SHARD_BYTES, memory: int = MEMORY, hot_rows: int = 0, keep_bytes: bool = True, characters: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 (and kept, the remaining bytes) for each row.
 
     Texts are judged as given, as UTF-8; null is empty.  Texts below the window
-    length stay.  Repeated rows are copies of each other, so those of a window or
+    length stay.  With `characters`, the bytes that a cut leaves of a character go
+    too, and count as removed.  Repeated rows are copies of each other, so those of a window or
     more go whole.  An empty table gives no rows.
     """
     held = materialize(text_chunks(df, id_col, text_col, chunk_bytes), "chunks")
@@ -324,7 +330,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
         data, off = open_chunk(left["offsets"][0].as_py(), left["texts"][0].as_py())
-        removed, n_spans, kept = cut(data, off, *(right[k].to_numpy() for k in ("row", "lo", "hi")))
+        removed, n_spans, kept = cut(data, off, *(right[k].to_numpy() for k in ("row", "lo", "hi")), characters)
         cols = {"doc_id": left["ids"].combine_chunks().flatten(), "n_bytes": pa.array(np.diff(off)), "n_removed": pa.array(removed), "n_spans": pa.array(n_spans.astype(np.int64)), "kept_sha256": pa.array([hashlib.sha256(x).hexdigest() for x in kept])}
         return pa.table(cols | ({"kept": pa.array(kept, pa.binary())} if keep_bytes else {}))
 

@@ -45,3 +45,15 @@ def test_run_and_odd_rows(spark, tmp_path, odd, empty, labels):
         out = corpus_pipeline.run(spark, base)
         assert {"doc_id", "start", "length", "sequence_id", "offset"} <= set(out.columns)
         assert out.count() >= 0
+
+
+def test_cut_characters_go_and_replacement_characters_stay(spark):
+    """Only what a cut leaves of a character goes, and no two such rests make a new one."""
+    common = "".join(f"{k:04d}" for k in range(60))
+    # the passages of 2, 3 begin and end inside characters: \u00e9 c3 a9, \u0129 c4 a9, \u00e8 c3 a8
+    rows = [(1, "a\ufffdb " + common + " c\ufffd"), (2, "x\ufffd \u0129" + common + "\u00e9 end"), (3, "y \u00e9" + common + "\u00e8 \ufffdend"), (4, "short \ufffd"), (5, None), (6, "p\ufffd!\u0269" + common + " t")]
+    df = spark.createDataFrame([(i, t, None if t is None else len(t)) for i, t in rows], "doc_id long, text string, n_chars long")
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in corpus_pipeline.repeated_strings(spark, df, "").collect()}
+    want = {1: "a\ufffdb c\ufffd", 6: "p\ufffd!t", 2: "x\ufffd  end", 3: "y  \ufffdend", 4: "short \ufffd"}
+    assert {i: got[i] for i in want} == {i: (t, len(t)) for i, t in want.items()}
+    assert not got[5][0]
