@@ -134,10 +134,11 @@ def compare(part: pd.DataFrame, percent: int) -> pd.DataFrame:
         ids, n, copies = g["id"].to_numpy(), g["n_shingles"].to_numpy(), g["copies"].to_numpy()
         linked = np.zeros((len(g), len(g)), bool)
         rows = np.flatnonzero(left)
-        cols = np.flatnonzero(right) if right.any() else rows
+        within = g["i"].iloc[0] == g["j"].iloc[0]  # not told by an empty right side: a block may have no class
+        cols = rows if within else np.flatnonzero(right)
         both = overlaps(sets, rows, cols)
         hit = 100 * both >= percent * (n[rows][:, None] + n[cols][None, :] - both)
-        if not right.any():
+        if within:
             np.fill_diagonal(hit, False)
         linked[np.ix_(rows, cols)] = hit
         linked |= linked.T
@@ -155,12 +156,14 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     empty table gives no rows.
     """
     docs = df.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = materialize(signatures(docs, n_words, percent, chunk_bytes, range_bytes), "signatures")
     same = ["set_a", "set_b", "n_shingles"]
-    classes = materialize(rows.filter("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "classes")
-    live = rows.filter("size(keys) > 0").select(F.col("doc_id").alias("id"), *same, "keys", "shingles")
-    reps = materialize(live.join(classes.withColumnRenamed("rep", "id"), ["id", *same]).dropDuplicates(["id", *same]).select("id", "n_shingles", "copies", "keys", "shingles"), "reps")
+    # Ids may be null, or name several texts: classes go by a number of their own, which the written table settles.
+    classes = rows.filter("n_shingles > 0").groupBy(*same).agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies"))
+    classes = materialize(classes.withColumn("id", F.monotonically_increasing_id()), "classes")
+    live = rows.filter("size(keys) > 0").select("doc_id", *same, "keys", "shingles")
+    of = [live[c] == classes[c] for c in same]
+    reps = materialize(live.join(classes, [live["doc_id"].eqNullSafe(classes["rep"]), *of]).select("id", live["n_shingles"], "copies", "keys", "shingles").dropDuplicates(["id"]), "reps")
 
     # Candidates: every class hangs on the smallest one that has the key.
     keyed = reps.select("id", F.explode("keys").alias("key"))
@@ -177,22 +180,32 @@ def jaccard_components(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     dealt = dealt.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
     dealt = dealt.withColumn("side", (F.col("other") < F.col("own")).cast("int")).withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other"))
     task = F.when(F.col("n_blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(buckets))).otherwise(F.xxhash64("cluster", "i", "j"))
-    found = dealt.withColumn("task", task).groupBy("task", "i", "j").applyInPandas(lambda part: compare(part, percent), f"id {kind}, root {kind}, links long")
+    found = dealt.withColumn("task", task).groupBy("task", "i", "j").applyInPandas(lambda part: compare(part, percent), "id long, root long, links long")
     found = materialize(found, "links")
     joined = components(found.select(F.col("root").alias("a"), F.col("id").alias("b")))
     links = found.groupBy("id").agg(F.sum("links").alias("links"))
 
-    named = classes.join(joined.withColumnRenamed("id", "rep"), "rep", "left").join(links.withColumnRenamed("id", "rep"), "rep", "left")
-    named = named.select(*same, "rep", F.coalesce("component", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
+    least = joined.join(classes.select("id", "rep"), "id").groupBy("component").agg(F.min("rep").alias("least"))
+    named = classes.join(joined.join(least, "component"), "id", "left").join(links, "id", "left")
+    named = named.select(*same, "rep", F.coalesce("least", "rep").alias("component_id"), (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"))
     return rows.select("doc_id", *same).join(named, same, "left").select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), F.coalesce("rep", "doc_id").alias("class_id"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_words: int = 5, percent: int = 80) -> DataFrame:
-    """One row of each component: that with the smallest id, all columns as they were; of rows that share an id, one."""
-    found = jaccard_components(df, id_col, text_col, n_words, percent)
-    stay = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    kept = df.join(stay, df[id_col].eqNullSafe(stay["__stay"]), "left_semi")
-    one = Window.partitionBy(id_col).orderBy(F.xxhash64(*[F.col(c) for c in df.columns]))
+    """One row of each component: that with the smallest id, null last, all columns as they were.
+
+    Rows are told apart by id and text, so different texts that share an id, or have
+    none, are judged on their own; of rows with one id and text, one stays.  Rows
+    without words link with nothing, and all stay.
+    """
+    flag = F.concat(F.when(F.col(text_col).isNull(), "0").otherwise("1"), F.when(F.col(id_col).isNull(), "n").otherwise("i"))
+    row = F.concat(F.unhex(F.md5(F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")))), flag.cast("binary"), F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary"))
+    keyed = df.withColumn("__row", row)
+    found = jaccard_components(keyed, "__row", text_col, n_words, percent).select(F.col("doc_id").alias("__row"), "n_shingles", "component_id")
+    ids = keyed.select("__row", F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "__row").alias("place")).distinct()
+    stay = found.join(ids, "__row").groupBy("component_id").agg(F.min("place")["__row"].alias("__row"), (F.max("n_shingles") == 0).alias("__every"))
+    kept = keyed.join(stay.select("__row", "__every"), "__row").withColumn("__own", F.when(F.col("__every"), F.monotonically_increasing_id()))
+    one = Window.partitionBy("__row", "__own").orderBy(F.xxhash64(*[F.col(c) for c in df.columns]))
     return kept.withColumn("__n", F.row_number().over(one)).filter("__n = 1").select(*df.columns)
 
 

@@ -87,3 +87,20 @@ def test_components(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(range(1, 61), 1), 100: 100, 101: 100, 105: 100}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_null_and_repeated_ids_with_different_texts(spark):
+    """Rows are judged by their texts: a shared or missing id neither joins nor drops different ones."""
+    text = [" ".join(f"t{k}w{j}" for j in range(60)) for k in range(6)]
+    near = lambda t: t + " more"
+    rows = [(None, text[0]), (None, text[1]), (None, near(text[1])), (None, near(text[0]) + " of"), (7, text[2]), (7, text[3]), (8, near(text[3])), (9, text[4]), (9, text[4]), (None, near(text[4])), (None, None), (None, ""), (None, ""), (3, near(text[2])), (5, text[5]), (5, near(text[5]))]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = Counter((i, *x) for (i, _), x in zip(rows, brute(rows, 3, 90), strict=True))
+    assert Counter((r["doc_id"], r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard_components(df).collect()) == want
+    kept = Counter((r["doc_id"], r["text"]) for r in keep_one(df).collect())
+    five = [(i, t) for i, t in kept if i == 5]
+    assert len(five) == 1 and five[0][1] in rows[14] + rows[15]
+    pick = lambda k: [(i, t) for i, t in kept if i is None and t and t.startswith(f"t{k}w")]
+    assert len(pick(0)) == len(pick(1)) == 1
+    rest = kept - Counter(five) - Counter(pick(0)) - Counter(pick(1))
+    assert rest == Counter({(3, near(text[2])): 1, (7, text[3]): 1, (9, text[4]): 1, (None, None): 1, (None, ""): 2})
