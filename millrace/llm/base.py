@@ -6,6 +6,7 @@ Arrow batch, so a lost executor only costs the re-run of its tasks.
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 import zlib
@@ -121,13 +122,40 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x
 
 
-_BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
-
-
-def powers(n: int) -> np.ndarray:
-    out = np.full(max(n, 1), _BASE, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+#: Bytes up to which a string is hashed by 8-byte lanes; a longer one is digested on its own.
+LANE_BYTES = 512
+_LANE = np.uint64(_BASE)
+_TAIL = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte strings data[start:end].
+
+    Lanes of eight bytes are folded in one after the other, with a non-linear mix
+    between them, so no pattern of a text makes different strings meet, as it does
+    under a polynomial modulo 2^64.  Strings above LANE_BYTES are digested.
+    """
+    size = (end - start).astype(np.int64)
+    out = mix64(size.astype(np.uint64) * _LANE)
+    if not len(size):
+        return out
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+    long = np.flatnonzero(size > LANE_BYTES)
+    for k in long.tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]], digest_size=8).digest(), "little")
+    live, at, left = np.arange(len(size)), start, size
+    if len(long):
+        keep = size <= LANE_BYTES
+        live, at, left = live[keep], at[keep], left[keep]
+    going = left > 0
+    while going.any():
+        if not going.all():
+            live, at, left = live[going], at[going], left[going]
+        out[live] = mix64((out[live] + (lanes[at] & _TAIL[np.minimum(left, 8)])) * _LANE)
+        at, left = at + 8, left - 8
+        going = left > 0
+    return out
 
 
 class Words:
@@ -151,18 +179,7 @@ class Words:
         self.doc = np.searchsorted(offsets, self.start, "right") - 1
         #: index of each document's first word
         self.first = np.searchsorted(self.start, offsets)
-        self.hash = self._hashes(data, lower) if hashed else None
-
-    def _hashes(self, data: np.ndarray, lower: bool) -> np.ndarray:
-        if not len(self.start):
-            return np.zeros(0, np.uint64)
-        size = self.end - self.start
-        ends = np.cumsum(size)
-        heads = ends - size
-        place = np.arange(ends[-1]) - np.repeat(heads, size)
-        raw = data[place + np.repeat(self.start, size)]
-        code = _BYTE_CODE[_LOWER[raw] if lower else raw]
-        return mix64(np.add.reduceat(code * powers(int(size.max()))[place], heads))
+        self.hash = span_hashes(_LOWER[data] if lower else data, self.start, self.end) if hashed else None
 
 
 def ngram_hashes(words: np.ndarray, first: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

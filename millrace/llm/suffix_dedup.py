@@ -6,8 +6,9 @@ occur, so texts are cut by content: among the k-byte grams of a window the one
 with the smallest hash is its anchor, and equal windows have equal anchors.  Runs
 of windows with one anchor form a segment.  Anchors are counted over the corpus,
 and only segments whose anchor occurs again are dealt, by anchor, to shards; of
-whole texts that are copies, one stands for all, and a chunk sends equal segments
-once.  Of an anchor that is very frequent, windows are counted too, and only the
+whole texts that are copies, told by 128-bit digests, one stands for all, and a
+chunk sends segments of equal bytes once.  The rolling hashes only choose what is
+compared, so texts made to collide under them cost time and change no result.  Of an anchor that is very frequent, windows are counted too, and only the
 parts of its segments that occur again are dealt: what many documents have around
 a common passage stays where it is.  Which anchors are, is told by a sieve of fixed
 size; one that it takes for frequent is split as well, with the same result.  A shard sorts the suffixes of
@@ -26,9 +27,9 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .base import _BASE, _BYTE_CODE, blocks, materialize, mix64, table
+from .base import _BASE, blocks, materialize, mix64, table, utf8_column
 from .counting import RANGE_BYTES, answers, exchange_counts, open_chunk, text_chunks
-from .induced import MEMORY, sort_suffixes
+from .induced import MEMORY, Store, sort_into
 
 #: Bytes of a string that must not occur twice, and of a gram that anchors it.
 WINDOW, GRAM = 200, 40
@@ -37,6 +38,7 @@ HOT_ROWS, SIEVE_BITS = 20_000, 22
 #: Bytes of text in a chunk, of the corpus for each shard of segments, and of text that is hashed at a time.
 CHUNK_BYTES, SHARD_BYTES, STRIP = 4 << 20, 4 << 20, 1 << 20
 _INVERSE = pow(_BASE, -1, 1 << 64)
+_BYTE_CODE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(_BASE))
 
 
 @lru_cache(maxsize=2)
@@ -74,7 +76,7 @@ def sifted(sieve: np.ndarray, bits: int, x: np.ndarray) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot=None, again=None) -> tuple[np.ndarray, ...]:
-    """(document, first window, last window, anchor, content) of each segment, the last two as hashes, and a hash of each document.
+    """(document, first window, last window, hash of the anchor) of each segment.
 
     Windows are given by their first byte.  Among grams with equal hashes the
     leftmost is the anchor.  `again` tells for hashes of windows whether they
@@ -83,18 +85,16 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot=None,
     """
     w = window - gram + 1
     assert 1 <= w <= 256
-    doc, lo_, hi_, key, content = [], [], [], [], []
-    whole = np.zeros(len(off) - 1, np.uint64)
+    doc, lo_, hi_, key = [], [], [], []
     for lo, hi in blocks(off, STRIP):
         d, o = data[off[lo] : off[hi]], off[lo : hi + 1] - off[lo]
         n = len(d)
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(_BYTE_CODE[d] * ladder(_BASE, n), out=total[1:]) if n else None
-        back = ladder(_INVERSE, n + 1)
-        whole[lo:hi] = mix64((total[o[1:]] - total[o[:-1]]) * back[o[:-1]] + np.diff(o).astype(np.uint64))
         fits = np.maximum(np.diff(o) - window + 1, 0)
         if not fits.sum():
             continue
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(_BYTE_CODE[d] * ladder(_BASE, n), out=total[1:])
+        back = ladder(_INVERSE, n + 1)
         h = mix64((total[gram:] - total[:-gram]) * back[: n - gram + 1])
         m = -(-len(h) // w) * w
         cell = np.full(m, ~np.uint64(0))
@@ -124,17 +124,17 @@ def anchors(data: np.ndarray, off: np.ndarray, window: int, gram: int, hot=None,
         lo_.append(s[first] + off[lo])
         hi_.append(s[last] + off[lo])
         key.append(h[at[first]])
-        content.append(mix64((total[s[last] + window] - total[s[first]]) * back[s[first]] + (s[last] - s[first]).astype(np.uint64)))
     if not doc:
         none = np.zeros(0, np.int64)
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), whole
-    return *(np.concatenate(x) for x in (doc, lo_, hi_, key, content)), whole
+        return none, none, none, none.astype(np.uint64)
+    return tuple(np.concatenate(x) for x in (doc, lo_, hi_, key))
 
 
-def document_keys(whole: np.ndarray, off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(documents of a window or more, the key that counts their copies)."""
-    long = np.flatnonzero(np.diff(off) >= window)
-    return long, mix64(whole[long] ^ np.uint64(0xA0761D6478BD642F))
+def copy_keys(offsets: bytes, digests: bytes, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(documents of a window or more, the sorted distinct digests among them, which of those each has)."""
+    long = np.flatnonzero(np.diff(np.frombuffer(offsets, np.int64)) >= window)
+    every, inverse = np.unique(np.frombuffer(digests, "<u8").reshape(-1, 2)[long], axis=0, return_inverse=True)
+    return long, every, inverse.ravel()
 
 
 def slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
@@ -145,26 +145,46 @@ def slices(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(heads.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(raw))]).cast(pa.binary())
 
 
-def repeated(segments: list[bytes], window: int, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def repeated(segments: pa.Array, window: int, memory: int = MEMORY) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(segment, from, to): the bytes of different segments covered by windows that start at two places or more."""
-    size = np.array([len(x) for x in segments], np.int64)
-    heads = np.concatenate([[0], np.cumsum(size + 1)])
-    t = np.ones(heads[-1] + 1, np.int32)  # 1 parts the segments
-    t[-1] = 0
-    inside = np.arange(size.sum()) + np.repeat(heads[:-1] - (np.cumsum(size) - size), size)
-    t[inside] = np.frombuffer(b"".join(segments), np.uint8).astype(np.int32) + 2
-    order, lcp = sort_suffixes(t, 258, window, memory)
-    hit = lcp >= window
-    hit[:-1] |= lcp[1:] >= window
-    at = np.sort(order[hit])
-    owner = np.searchsorted(heads, at, "right") - 1
-    fits = at + window <= heads[owner] + size[owner] if len(at) else np.zeros(0, bool)
-    at, owner = at[fits], owner[fits]
-    if not len(at):
+    data, off = utf8_column(segments)
+    store, n = Store(memory), len(off) - 1
+    heads = off + np.arange(n + 1)  # a separator follows each segment
+    size = int(heads[-1]) + 1
+    if size >= 1 << 32:
+        raise ValueError("a shard of 4 GB or more; choose smaller shards")
+    t, hit = store.array(size, np.uint16), store.array(size, np.uint8)
+    t[:-1] = 1  # parts the segments; the last place holds the only 0
+    for a in range(0, n, store.block):
+        b = min(n, a + store.block)
+        inside = np.arange(off[a], off[b]) + np.repeat(np.arange(a, b), np.diff(off[a : b + 1]))
+        t[inside] = data[off[a] : off[b]].astype(np.uint16) + 2
+    before = -1  # the suffix that came last
+
+    def mark(pos: np.ndarray, lcp: np.ndarray) -> None:
+        nonlocal before
+        again = np.flatnonzero(lcp >= window)
+        hit[pos[again]] = 1
+        hit[np.append(before, pos[:-1])[again]] = 1
+        before = int(pos[-1]) if len(pos) else before
+
+    sort_into(t, 258, window, store, mark)
+    owners, los, his = [], [], []
+    for a in range(0, n, store.block):
+        b = min(n, a + store.block)
+        at = np.flatnonzero(hit[heads[a] : heads[b]]) + heads[a]
+        owner = np.searchsorted(heads[a : b + 1], at, "right") - 1 + a
+        fits = at + window < heads[owner + 1]
+        at, owner = at[fits], owner[fits]
+        if len(at):
+            first = np.flatnonzero(np.append(True, (at[1:] - at[:-1] > window) | (owner[1:] != owner[:-1])))
+            last = np.append(first[1:], len(at)) - 1
+            owners.append(owner[first])
+            los.append(at[first] - heads[owner[first]])
+            his.append(at[last] + window - heads[owner[first]])
+    if not owners:
         return (np.zeros(0, np.int64),) * 3
-    first = np.flatnonzero(np.append(True, (at[1:] - at[:-1] > window) | (owner[1:] != owner[:-1])))
-    last = np.append(first[1:], len(at)) - 1
-    return owner[first], at[first] - heads[owner[first]], at[last] + window - heads[owner[first]]
+    return tuple(np.concatenate(x) for x in (owners, los, his))
 
 
 _SPANS = pa.schema([("chunk", pa.int64()), ("row", pa.int64()), ("lo", pa.int64()), ("hi", pa.int64())])
@@ -213,7 +233,7 @@ def spans_of(t: pa.Table, window: int, memory: int = MEMORY) -> pa.Table:
         sort = np.flatnonzero(~lone)
         owner, lo, hi = twice, np.zeros(len(twice), np.int64), size[twice]
         if len(sort):
-            o, a, b = repeated(kinds.take(pa.array(sort)).to_pylist(), window, memory)
+            o, a, b = repeated(kinds.take(pa.array(sort)), window, memory)
             o = sort[o]
             single = n[o] == 1
             owner, lo, hi = np.concatenate([owner, o[single]]), np.concatenate([lo, a[single]]), np.concatenate([hi, b[single]])
@@ -255,16 +275,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     too, and count as removed.  Repeated rows are copies of each other, so those of a window or
     more go whole.  An empty table gives no rows.
     """
-    held = materialize(text_chunks(df, id_col, text_col, chunk_bytes), "chunks")
+    held = materialize(text_chunks(df, id_col, text_col, chunk_bytes, digests=True), "chunks")
     total = held.agg(F.sum("n_bytes")).first()[0] or 0
     n_ranges, n_shards = max(1, -(-total // range_bytes)), max(1, -(-total // shard_bytes))
 
     def keys_of(offsets: bytes, texts: bytes):
-        data, off = open_chunk(offsets, texts)
-        _, _, _, key, _, whole = anchors(data, off, window, gram)
-        return np.unique(np.concatenate([key, document_keys(whole, off, window)[1]]), return_counts=True)
+        return np.unique(anchors(*open_chunk(offsets, texts), window, gram)[3], return_counts=True)
+
+    def copies_of(offsets: bytes, digests: bytes):
+        _, every, inverse = copy_keys(offsets, digests, window)
+        return every[:, 0], np.bincount(inverse, minlength=len(every)), every[:, 1]
 
-    told = materialize(exchange_counts(held, keys_of, n_ranges, firsts=True, hot=hot_rows or HOT_ROWS), "anchors")
+    told = materialize(exchange_counts(held, keys_of, n_ranges, hot=hot_rows or HOT_ROWS), "anchors")
     bits = SIEVE_BITS
     sieve = sieve_of(told.select(F.explode("hot")), bits)
     hot = None if sieve is None else lambda keys: sifted(sieve, bits, keys)
@@ -279,39 +301,44 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return windows, np.bincount(inverse, np.concatenate([n for _, n in found]), len(windows)).astype(np.int64)
 
     told = told.select("chunk", "cell", "counts", F.lit(0).alias("level"))
+    copy_ranges = max(1, -(-n_ranges // 16))  # a document has one key, and most have more anchors than that
+    copies = exchange_counts(held, copies_of, copy_ranges, firsts=True, given=("offsets", "digests"))
+    told = told.unionByName(copies.select("chunk", "cell", "counts", F.lit(2).alias("level")))
     if hot is not None:
         told = told.unionByName(exchange_counts(held, windows_of, n_ranges).select("chunk", "cell", "counts", F.lit(1).alias("level")))
 
     def segments(left: pa.Table, right: pa.Table) -> pa.Table:
-        chunk, offsets, texts = (left[k][0].as_py() for k in ("chunk", "offsets", "texts"))
+        chunk, offsets, texts, digests = (left[k][0].as_py() for k in ("chunk", "offsets", "texts", "digests"))
         data, off = open_chunk(offsets, texts)
+
+        def told_of(level: int, keys: np.ndarray, ranges: int) -> np.ndarray:
+            mine = right.filter(pc.equal(right["level"], level))
+            return answers(keys, mine["cell"].to_numpy(), mine["counts"].to_pylist(), ranges)
+
         found: list[np.ndarray] = []
         cut_up = anchors(data, off, window, gram, hot, lambda w: found.append(np.unique(w)) or np.ones(len(w), bool))
-        long, copies = document_keys(cut_up[-1], off, window)
-        asked = np.unique(np.concatenate([copies, cut_up[3]]))
+        asked = np.unique(cut_up[3])
+        counts = told_of(0, asked, n_ranges)
         if any(map(len, found)):
-            mine, windows = right.filter(pc.equal(right["level"], 1)), np.unique(np.concatenate(found))
-            twice = windows[answers(windows, mine["cell"].to_numpy(), mine["counts"].to_pylist(), n_ranges) > 1]
+            windows = np.unique(np.concatenate(found))
+            twice = windows[told_of(1, windows, n_ranges) > 1]
             cut_up = anchors(data, off, window, gram, hot, lambda w: among(twice, w))
-        doc, lo, hi, key, content, _ = cut_up
-        keys, index, inverse = np.unique(np.concatenate([copies, key]), return_index=True, return_inverse=True)
-        mine = right.filter(pc.equal(right["level"], 0))
-        told = answers(asked, mine["cell"].to_numpy(), mine["counts"].to_pylist(), n_ranges)[np.searchsorted(asked, keys)]
-        count, first = told >> np.uint64(1), (told & np.uint64(1)) == 1
+        doc, lo, hi, key = cut_up
+        long, every, inverse = copy_keys(offsets, digests, window)
+        told = told_of(2, every[:, 0], copy_ranges)
         here = np.zeros(len(inverse), bool)
-        here[index] = True  # where a key stands first in the chunk
-        many = count[inverse] > 1
-        copied, stands = many[: len(long)], here[: len(long)] & first[inverse[: len(long)]]
+        here[np.unique(inverse, return_index=True)[1]] = True  # where a text stands first in the chunk
+        copied = (told >> np.uint64(1) > 1)[inverse]
         silent = np.zeros(len(off) - 1, bool)
-        silent[long[copied & ~stands]] = True
-        live = many[len(long) :] & ~silent[doc]
-        doc, lo, hi, key, content = doc[live], lo[live], hi[live] + window, key[live], content[live]
+        silent[long[copied & ~(here & ((told & np.uint64(1)) == 1)[inverse])]] = True
+        live = (counts[np.searchsorted(asked, key)] > 1) & ~silent[doc]
+        doc, lo, hi, key = doc[live], lo[live], hi[live] + window, key[live]
         gone = long[copied]
-        # equal segments of the chunk are one row with all their places, and copied documents one row for each shard
-        by = np.argsort(content, kind="stable")
-        heads = np.flatnonzero(np.append(True, content[by[1:]] != content[by[:-1]])) if len(by) else by
-        one, heads = by[heads], np.append(heads, len(by))
-        anchor, kinds = key[one], slices(data, lo[one], hi[one])
+        # segments of the chunk with equal bytes are one row with all their places, and copied documents one row for each shard
+        coded = slices(data, lo, hi).dictionary_encode()
+        by = np.argsort(coded.indices.to_numpy(), kind="stable")
+        heads = np.searchsorted(coded.indices.to_numpy()[by], np.arange(len(coded.dictionary) + 1))
+        anchor, kinds = key[by[heads[:-1]]], coded.dictionary
         shards, copies_at = np.unique(gone % n_shards, return_inverse=True)
         order = np.argsort(copies_at, kind="stable")
         cuts = np.searchsorted(copies_at[order], np.arange(len(shards) + 1))
@@ -325,7 +352,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             "text": pa.chunked_array([pa.nulls(len(shards), pa.binary()), kinds]),
         })
 
-    dealt = held.select("chunk", "offsets", "texts").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(segments, "shard long, anchor long, chunk long, rows array<long>, starts array<long>, text binary")
+    dealt = held.select("chunk", "offsets", "texts", "digests").groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(segments, "shard long, anchor long, chunk long, rows array<long>, starts array<long>, text binary")
     spans = dealt.groupBy("shard").applyInArrow(lambda t: spans_of(t, window, memory), "chunk long, row long, lo long, hi long")
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from .base import _BYTE_CODE, _SPACE, Words, mix64, ngram_hashes, powers
+from .base import _SPACE, Words, mix64, ngram_hashes, span_hashes
 
 #: Byte classes that are counted for each line.
 CLASSES = ("upper", "lower", "digit", "symbol", "shout", "stop", "wide", "points", "space")
@@ -65,11 +65,7 @@ class TextStats:
         live = np.flatnonzero(self.line_words > 0)
         if not len(live):
             return out
-        size = self.line_end[live] - self.line_start[live]
-        heads = np.cumsum(size) - size
-        place = np.arange(size.sum()) - np.repeat(heads, size)
-        code = _BYTE_CODE[data[place + np.repeat(self.line_start[live], size)]]
-        key = mix64(np.add.reduceat(code * powers(int(size.max()))[place], heads)) + self.line_doc[live].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        key = mix64(span_hashes(data, self.line_start[live], self.line_end[live]) + self.line_doc[live].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         order = np.argsort(key, kind="stable")
         out[live[order[1:][key[order[1:]] == key[order[:-1]]]]] = True
         return out

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import hashlib
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -28,15 +29,18 @@ def brute(texts: list[bytes], window: int) -> list[tuple]:
     return out
 
 
-@settings(max_examples=150, deadline=None)
-@given(st.lists(st.integers(1, 3), min_size=1, max_size=50), st.integers(2, 60), st.booleans(), st.booleans())
-def test_suffix_order_and_prefixes(symbols, depth, spill, small_blocks):
-    t = np.array(symbols + [0])
-    block, induced.BLOCK = induced.BLOCK, 3 if small_blocks else induced.BLOCK
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 4), min_size=1, max_size=50), st.integers(1, 3), st.integers(1, 60), st.sampled_from([64, 2000, 1 << 20]), st.sampled_from([0, 1, 2, 5]), st.booleans())
+def test_suffix_order_and_prefixes(symbols, repeats, depth, memory, block, small):
+    """Any budget, block and kind of range gives the order and the prefixes."""
+    t = np.array(symbols * repeats + [0])
+    store, alone = induced.Store(memory), induced.SMALL
+    store.block = block or store.block
+    induced.SMALL = alone if small else 0
     try:
-        order, lcp = induced.sort_suffixes(t, 4, depth, memory=40 if spill else 1 << 20)
+        order, lcp = induced.collect(t, 5, depth, store)
     finally:
-        induced.BLOCK = block
+        induced.SMALL = alone
     keys = [tuple(t[k:])[:depth] for k in order]
     assert sorted(order) == list(range(len(t))) and keys == sorted(keys)
     for k in range(1, len(order)):
@@ -45,20 +49,65 @@ def test_suffix_order_and_prefixes(symbols, depth, spill, small_blocks):
         assert lcp[k] == min(n, depth)
 
 
-def test_queues_spill_and_clean_up():
-    q = induced.Queues(3, memory=100)
-    for k in range(50):
-        q.push(k % 3, np.arange(k, k + 5), np.arange(5, dtype=np.int16))
+def test_queue_spills_and_keeps_order():
+    dtype = np.dtype([("symbol", "<u4"), ("pos", "<u4")])
+    q = induced.Queue(dtype, 100, np.array([0, 4, 9]))
+    rng = np.random.default_rng(0)
+    rows = []
+    for k in range(60):
+        x = np.zeros(5, dtype)
+        x["symbol"], x["pos"] = np.sort(rng.integers(0, 10, 5)), np.arange(5 * k, 5 * k + 5)
+        rows += x.tolist()
+        q.push(x, x["symbol"].copy())
     assert q.spilled > 0
-    assert np.concatenate([p for p, _ in q.pop(1)]).tolist() == [x for k in range(1, 50, 3) for x in range(k, k + 5)]
+    got = [[tuple(v) for part in q.pull(r, 7) for v in part.tolist()] for r in range(3)]
+    assert got == [[v for v in rows if lo <= v[0] <= hi] for lo, hi in ((0, 0), (1, 4), (5, 9))]
     q.close()
 
 
+def test_recursion_and_bounded_memory():
+    """Names are sorted by the same induction, prefixes come back, and memory follows the budget, not the string."""
+    rng = np.random.default_rng(4)
+    peaks = []
+    for n in (60_000, 240_000):
+        words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) for _ in range(800)]
+        raw = b" ".join(words[k] for k in rng.integers(0, 800, n // 6))[:n]
+        t = np.append(np.frombuffer(raw, np.uint8).astype(np.uint16) + 2, 0).astype(np.uint16)
+        depths, level = [], induced.Level.__init__
+
+        def spy(self, t, k, depth, store, depths=depths, level=level):
+            depths.append((len(t), depth))
+            level(self, t, k, depth, store)
+
+        induced.Level.__init__ = spy
+        try:
+            tracemalloc.start()
+            hits = []
+            induced.sort_into(t, 258, 200, induced.Store(400_000), lambda p, x, hits=hits: hits.append(int((x >= 20).sum())))
+            peaks.append(tracemalloc.get_traced_memory()[1])
+        finally:
+            tracemalloc.stop()
+            induced.Level.__init__ = level
+        assert [d for _, d in depths[:3]] == [200, 100, 50] and depths[1][0] * 2 < depths[0][0]
+        assert sum(hits) == n - len({raw[k : k + 20] for k in range(n - 19)}) - 19
+    assert peaks[1] < 1.7 * peaks[0] and peaks[1] < 4 * 400_000
+
+
+def test_texts_that_collide_under_a_polynomial_stay(spark):
+    """Thue-Morse patterns are equal under any polynomial hash modulo 2^64 with an odd base."""
+    bits, filler = [bin(k).count("1") & 1 for k in range(4096)], np.random.default_rng(0).integers(97, 123, 4096)
+    rows = [(i, "".join(pair[x] + chr(f) for x, f in zip(bits, filler, strict=True))) for i, pair in ((1, "ab"), (2, "ba"))] + [(3, "copy " * 50), (4, "copy " * 50)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: tuple(r)[1:5] for r in remove_repeats(df).collect()}
+    want = brute([t.encode() for _, t in rows], 200)
+    assert [got[i] for i, _ in rows] == want and want[0][1] == want[1][1] == 0 and want[2][1] == 250
+
+
 def test_equal_windows_have_equal_anchors():
     rng = np.random.default_rng(1)
     common = rng.integers(97, 123, 300)
     data = np.concatenate([rng.integers(97, 123, 500), common, rng.integers(97, 123, 70), common]).astype(np.uint8)
-    doc, lo, hi, key, _, _ = anchors(data, np.array([0, 870, len(data)]), 200, 40)
+    doc, lo, hi, key = anchors(data, np.array([0, 870, len(data)]), 200, 40)
     assert {int(d) for d in doc} == {0, 1}
     of = lambda s: key[np.flatnonzero((lo <= s) & (s <= hi))[0]]
     assert all(of(500 + k) == of(870 + k) for k in range(100))
@@ -109,7 +158,7 @@ def test_frequent_limit_does_not_grow_with_the_corpus(spark, monkeypatch):
     passage = " ".join(f"shared{k}" for k in range(60))
     rows = [(k, f"{k} {passage} " + "".join(chr(97 + (k * j * j + j) % 26) for j in range(30_000))) for k in range(40)]
     remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), chunk_bytes=200_000).count()
-    assert seen == [3, 0]
+    assert seen == [3, 0, 0]
 
 
 @pytest.mark.parametrize("bits", [3, 22])
