@@ -7,7 +7,7 @@ import pytest
 from brute import words
 
 from millrace.llm.graph import components
-from millrace.llm.jaccard_join import jaccard_components, keep_one, overlaps
+from millrace.llm.jaccard_join import count_bin, fragment_of, jaccard_components, keep_one, overlaps
 
 
 def brute(rows, n: int, percent: int) -> list[tuple]:
@@ -76,10 +76,57 @@ def test_odd_rows(odd, empty, spark):
 
 def test_overlaps_add_up_over_fragments():
     rng = np.random.default_rng(0)
-    sets = [np.unique(rng.integers(0, 300, rng.integers(1, 200))).astype(np.uint64) for _ in range(12)]
-    every = np.arange(12)
-    want = [[len(np.intersect1d(a, b)) for b in sets] for a in sets]
-    assert (overlaps(sets, every, every, fragment=7) == np.array(want) * (1 - np.eye(12, dtype=int)) + np.diag(np.diag(overlaps(sets, every, every, fragment=7)))).all()
+    sets = [np.unique(rng.integers(0, 1 << 63, 300)[rng.integers(0, 300, rng.integers(1, 200))]).astype(np.uint64) for _ in range(12)]
+    pool = rng.integers(0, 1 << 63, 300).astype(np.uint64)
+    sets += [np.unique(pool[rng.integers(0, 300, rng.integers(1, 200))]) for _ in range(20)]
+    a, b = (x.ravel() for x in np.meshgrid(np.arange(32), np.arange(32)))
+    a, b = a[a != b], b[a != b]
+    want = [len(np.intersect1d(sets[x], sets[y])) for x, y in zip(a, b, strict=True)]
+    count = {int(g): int(sum(g in s for s in sets)) for g in np.concatenate(sets)}
+    mass = np.linspace(0, 1, 257)
+    part = [fragment_of(np.array([count[int(g)] for g in s]), s, mass, 5) for s in sets]
+    assert set(np.concatenate(part)) <= set(range(5))
+    summed = sum(overlaps([s[p == f] for s, p in zip(sets, part, strict=True)], a, b, strip=64) for f in range(5))
+    assert (summed == want).all() and (overlaps(sets, a, b) == want).all()
+
+
+def test_fragments_follow_the_order():
+    """A rarer n-gram never lies in a later fragment, and all fragments are used alike."""
+    rng = np.random.default_rng(1)
+    count, grams = rng.geometric(0.3, 20_000) + 1, rng.integers(0, 1 << 63, 20_000).astype(np.uint64) * np.uint64(2)
+    mass = np.append(0, np.cumsum(np.bincount(count_bin(count), minlength=256))) / len(count)
+    part = fragment_of(count, grams, mass, 4)
+    order = np.lexsort((grams, count_bin(count)))
+    assert (np.diff(part[order]) >= 0).all() and np.bincount(part).min() > 4000
+
+
+def test_words_that_collide_under_a_polynomial_do_not_link(spark):
+    bits = [bin(k).count("1") & 1 for k in range(8192)]
+    rows = [(1, "".join("ab"[x] for x in bits)), (2, "".join("ba"[x] for x in bits)), (3, "x y z " + "".join("cd"[x] for x in bits)), (4, "x y z " + "".join("dc"[x] for x in bits))]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4}
+
+
+def test_near_copies_at_the_threshold(spark):
+    """Links start exactly at the threshold: of 100 shingles, 95 shared by both are 90.5 %, 94 are 88.7 %."""
+    base = [f"w{k}" for k in range(102)]
+    changed = lambda n: [*base[: 102 - n], *[f"x{n}y{k}" for k in range(n)]]
+    rows = [(1, " ".join(base)), (2, " ".join(changed(5))), (3, " ".join(changed(6)))]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [(r["n_shingles"], r["component_id"], r["n_links"]) for r in jaccard_components(df).orderBy("doc_id").collect()]
+    assert got == brute(rows, 3, 90) and [c for _, c, _ in got] == [1, 1, 3]
+
+
+def test_long_chain_in_small_blocks(spark):
+    """A cluster far larger than a block: only blocks that share a key are compared, and all links are found."""
+    base = [f"w{k}" for k in range(120)]
+    rows = []
+    for k in range(600):
+        rows.append((k, " ".join(base)))
+        base[(7 * k) % 120] = f"n{k}"
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"]: r for r in jaccard_components(df, block=64, block_bytes=40_000, fragments=3).collect()}
+    assert [(got[i]["n_shingles"], got[i]["component_id"], got[i]["n_links"]) for i, _ in rows] == brute(rows, 3, 90)
 
 
 def test_components(spark):
