@@ -34,12 +34,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .base import Words, blocks, crc_text, materialize, mix64, ngram_hashes, utf8_column
-from .counting import CHUNK_BYTES, RANGE_BYTES, cell_bounds, pack, unpack
+from .counting import RANGE_BYTES, cell_bounds, pack, unpack
 
 #: Longest n-gram, and the strength of the prior for n-grams of two words, of three and so on (the last for all longer ones).
 ORDER, STRENGTH = 4, (300.0, 100.0, 10.0)
-#: Words of a lane, and bits of the hashes of n-grams of two words and more beyond those that number the bytes of the corpus.
-LANE, SPARE_BITS = 512, 18
+#: Words of a lane, and bits of the hashes of n-grams of two words and more beyond those that number the bytes of the corpus:
+#: with 10, one such n-gram in some thousands is counted with another one.  Single words keep all 64.
+LANE, SPARE_BITS = 512, 10
+#: Bytes of text in a chunk, whose n-grams of all orders are held at once.
+CHUNK_BYTES = 6 << 20
 _BEGIN, _END = mix64(np.array([1 << 40, 1 << 41], np.uint64))
 
 
@@ -99,7 +102,7 @@ class Chunk:
                 ends = np.arange(len(value)) - np.repeat(np.cumsum(counts) - counts, counts) + np.repeat(self.first[:-1], counts) + k - 1
             distinct, inverse = np.unique(value, return_inverse=True)
             self.grams.append((distinct, np.bincount(inverse[train[doc]], minlength=len(distinct)).astype(np.uint32)))
-            full = np.full(len(stream), -1, np.int64)
+            full = np.full(len(stream), -1, np.int32)
             full[ends] = inverse
             self.place.append(full[at])
             self.context.append(full[at - 1])
@@ -124,7 +127,7 @@ class Automaton:
         strengths = [strength[min(k, len(strength)) - 1] for k in range(1, order + 1)]
         self.weight = [np.log10((counts[0] + 1.0) / (n + v + 1.0))]
         self.seen = [np.ones(len(counts[0]), bool)]  # the root reads every token
-        number = np.full(base[-1] + 1, -1)  # n-gram -> state
+        number = np.full(base[-1] + 1, -1, np.int32)  # n-gram -> state
         self.fail, self.cost, self.level = [np.array([-1, 0])], [np.array([0.0, np.log10(strengths[0] / (train_docs + strengths[0]))])], [np.array([0, 1])]
         states = 2  # the root and the begin mark
         for k in range(order):
@@ -152,11 +155,11 @@ class Automaton:
         self.fail, self.cost, self.level = (np.concatenate(x) for x in (self.fail, self.cost, self.level))
         self.base, self.order = base, order
         # by arc: where it leads, the longest seen context that ends with its token
-        self.target = np.zeros(base[-1], np.int64)
+        self.target = np.zeros(base[-1], np.int32)
         for k in range(order):
             own = number[base[k] : base[k + 1]] if k < order - 1 else np.full(len(counts[k]), -1)
             if k:
-                short = np.zeros(len(counts[k]), np.int64)
+                short = np.zeros(len(counts[k]), np.int32)
                 here = chunk.place[k] >= 0
                 short[chunk.place[k][here]] = self.target[base[k - 1] + chunk.place[k - 1][here]]
                 own = np.where(own >= 0, own, short)
@@ -165,7 +168,7 @@ class Automaton:
 
     def read(self, chunk: Chunk, lane: int = LANE) -> np.ndarray:
         """Log-probability of each token, by one traversal that carries the state."""
-        arcs = np.stack([np.where(p >= 0, b + p, -1) for p, b in zip(chunk.place, self.base, strict=False)])
+        arcs = np.stack([np.where(p >= 0, np.int32(b) + p, np.int32(-1)) for p, b in zip(chunk.place, self.base, strict=False)])
         size = np.diff(chunk.first) - 1
         lanes = -(-size // lane)
         doc = np.repeat(np.arange(chunk.n_docs), lanes)
@@ -206,7 +209,7 @@ def automaton_scores(chunk: Chunk, counts: list[np.ndarray], train_docs: int, n:
     return base, np.bincount(chunk.doc, auto.read(chunk), chunk.n_docs), known
 
 
-def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_mod: int = 7, held_rest: int = 2, order: int = ORDER, strength: tuple[float, ...] = STRENGTH, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
+def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_mod: int = 7, held_rest: int = 2, order: int = ORDER, strength: tuple[float, ...] = STRENGTH, spare_bits: int = SPARE_BITS, chunk_bytes: int = CHUNK_BYTES, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for each row.
 
     Documents whose crc32(id as text) mod held_mod is held_rest are scored, but
@@ -219,7 +222,7 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     total = held.agg(F.sum("n_bytes")).first()[0] or 0
     n_ranges = max(1, -(-total // range_bytes))
     # hashes of n-grams are cut to what tells those of the corpus apart; words keep all bits, as the base columns are exact
-    drop = max(0, 64 - total.bit_length() - SPARE_BITS)
+    drop = max(0, 64 - total.bit_length() - spare_bits)
 
     def ask(batches):
         for b in batches:
