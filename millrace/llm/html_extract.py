@@ -1,12 +1,16 @@
 """Main text of web pages: parser events, text-to-tag ratios, Gaussian smoothing, threshold clustering.
 
 The standard library's parser streams a page once.  Text between two block-level
-tags is a line; its ratio is its characters over the tags met in it.  The ratios
-of a page are smoothed with a Gaussian, and lines above a threshold taken from
-their spread form the content cluster.  The page's markup then settles the edges:
-menus, forms, notices and the like never count, and where the cluster lies in an
-article (or main) element, that element's lines are the region, so that a short
-paragraph of it is not lost.
+tags is a line; its ratio is its characters over the tags met in it, a part of that
+where an element's name says menu, notice or the like.  The ratios of a page are
+smoothed with a Gaussian, and lines above a threshold taken from their spread form
+the content cluster.  The cluster chooses the region: the articles (or the main
+element) that hold its lines, or else the deepest element that holds most of them;
+the region's lines are the result, so that its short paragraphs are not lost.
+
+Names only weigh.  An element that is named like a notice, or a form, is left out of
+the region unless it holds most of the cluster: then it is a wrapper, and its lines
+count like any other's.
 """
 
 from __future__ import annotations
@@ -19,18 +23,30 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Standard deviation of the smoothing in lines, and the threshold as a part of the spread of the smoothed ratios.
-SIGMA, SPREAD = 1.0, 0.5
+#: Standard deviation of the smoothing in lines, the threshold as a part of the spread of the smoothed ratios,
+#: the weight of lines in elements of a telling name, and the part of the cluster that makes an element its region.
+SIGMA, SPREAD, NAMED, MOST = 1.0, 0.5, 0.25, 0.6
+#: Characters of the cluster from which a form without an article may be the wrapper of a page.
+FORM_TEXT = 500
 
-#: Elements whose text is never content.
-SKIP = frozenset("head nav footer aside form script style noscript template iframe svg button select textarea dialog object canvas audio video map menu".split())
+#: Elements whose text is never content, those that frame a page, and those that hold content.
+HIDDEN = ("head", "script", "style", "noscript", "template", "iframe", "svg", "button", "select", "textarea", "label", "legend", "object", "canvas", "audio", "video", "map")
+FRAME = ("nav", "footer", "aside", "dialog", "menu")
+HOLDERS = ("body", "div", "section", "article", "main", "header", "form", "td")
 #: Elements inside a line; all others end it.
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words in a class, id or role that mark an element as no content.
-NOISE = frozenset(
-    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr notice alert nav navbar navigation menu breadcrumb breadcrumbs sidebar footer masthead comment comments reply replies disqus share sharing social related recommended newsletter subscribe signup login popup modal overlay widget pagination pager toolbar contentinfo complementary search".split()
-)
+NOISE = frozenset((
+    "ad", "ads", "adv", "advert", "adverts", "advertisement", "advertising", "sponsor", "sponsored", "promo",
+    "promotion", "banner", "cookie", "cookies", "consent", "gdpr", "notice", "alert", "nav", "navbar",
+    "navigation", "menu", "breadcrumb", "breadcrumbs", "sidebar", "footer", "masthead", "comment",
+    "comments", "reply", "replies", "disqus", "share", "sharing", "social", "related", "recommended",
+    "newsletter", "subscribe", "signup", "login", "popup", "modal", "overlay", "widget", "pagination",
+    "pager", "toolbar", "contentinfo", "complementary", "search",
+))
+#: Those of them that tell of readers or trade where an article has such a name.
+READERS = frozenset(("comment", "comments", "ad", "ads", "related"))
 _WORDS = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 #: A tag that the end of the page cuts off.
@@ -39,23 +55,25 @@ _CUT = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 _SELF_CLOSING = {"p": frozenset("p div ul ol table section article h1 h2 h3 h4 h5 h6 blockquote pre form hr header footer nav aside main".split()), "li": frozenset(("li",)), "dd": frozenset(("dd", "dt")), "dt": frozenset(("dd", "dt")), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",)), "option": frozenset(("option",))}
 
 
+#: How an element is marked: not, by part of a name, by a whole name, by its kind, as invisible.
+CLEAR, PART, WHOLE, KIND, UNSEEN = range(5)
+
+
 class Lines(HTMLParser):
-    """Collects (text, tags, region, dropped) for each line; region numbers an article or main element, 0 is the page."""
+    """Collects (text, tags, element) for each line, and (tag, parent, mark) for each element that may hold or spoil content; element 0 is the page."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.rows: list[tuple[str, int, int, bool]] = []
-        self.open: list[tuple[str, bool, int]] = []  # element, dropped, region: only of elements that change one of them, or may hold such
-        self.kinds: list[str] = ["page"]
-        self.text: list[str] = []
-        self.tags = 0
-        self.dropped, self.region = False, 0
+        self.rows: list[tuple[str, int, int]] = []
+        self.elements: list[tuple[str, int, int]] = [("page", -1, CLEAR)]
+        self.open: list[tuple[str, int]] = []  # tag, the element around it
+        self.here, self.text, self.tags, self.depth = 0, [], 0, 0
 
     def end_line(self) -> None:
         if self.text:
             line = " ".join("".join(self.text).split())
             if line:
-                self.rows.append((line, self.tags, self.region, self.dropped))
+                self.rows.append((line, self.tags, self.here))
             self.text.clear()
             self.tags = 0
 
@@ -67,37 +85,39 @@ class Lines(HTMLParser):
             self.leave()
         if tag in VOID:
             return
-        dropped, region = self.dropped, self.region
-        if not dropped:
-            if tag in SKIP or tag == "header" and not self.region:
-                dropped = True
-            elif tag in ("article", "main"):
-                self.kinds.append(tag)
-                region = len(self.kinds) - 1
-            if attrs and tag not in ("html", "body"):
-                dropped = dropped or self.noise(attrs, tag)
-        if (dropped, region) != (self.dropped, self.region) or tag in ("div", "section", "article", "main", "header", *SKIP) or self.open and self.open[-1][0] == tag:
-            if (dropped, region) != (self.dropped, self.region):
+        mark = self.mark(tag, attrs)
+        if mark or tag in HOLDERS or tag in _SELF_CLOSING:
+            self.open.append((tag, self.here))
+            if mark or tag in HOLDERS:
                 self.end_line()
-            self.open.append((tag, self.dropped, self.region))
-            self.dropped, self.region = dropped, region
+                self.elements.append((tag, self.here, mark))
+                self.here = len(self.elements) - 1
 
-    @staticmethod
-    def noise(attrs, tag) -> bool:
-        for k, v in attrs:
-            if k == "hidden" or k == "aria-hidden" and v == "true":
-                return True
+    def mark(self, tag, attrs) -> int:
+        if tag in HIDDEN:
+            return UNSEEN
+        out = KIND if tag in FRAME or tag == "header" and not self.inside("article", "main") else PART if tag == "form" else CLEAR
+        for k, v in attrs if tag not in ("html", "body") else ():
+            if k == "hidden" or k == "aria-hidden" and v == "true" or v and k == "style" and _HIDDEN.search(v.lower()):
+                return UNSEEN
             if v and k in ("class", "id", "role"):
-                words = set(_WORDS.findall(v.lower()))
-                if words & NOISE and not (tag in ("article", "main") and not words & {"comment", "comments", "ad", "ads", "related"}):
-                    return True
-            elif v and k == "style" and _HIDDEN.search(v.lower()):
+                for name in v.lower().split():
+                    words = set(_WORDS.findall(name)) & (READERS if tag in ("article", "main") else NOISE)
+                    if words:
+                        out = max(out, WHOLE if name in words else PART)
+        return out
+
+    def inside(self, *tags) -> bool:
+        at = self.here
+        while at > 0:
+            if self.elements[at][0] in tags:
                 return True
+            at = self.elements[at][1]
         return False
 
     def leave(self) -> None:
         self.end_line()
-        _, self.dropped, self.region = self.open.pop()
+        self.here = self.open.pop()[1]
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
@@ -122,6 +142,71 @@ def smoothed(ratio: np.ndarray, sigma: float) -> np.ndarray:
     return np.convolve(ratio, kernel)[reach:-reach] / weight
 
 
+def region(p: Lines, size: np.ndarray, cluster: np.ndarray) -> tuple[set[int], list[int]]:
+    """(elements whose lines are left out, elements that hold the article; none: the cluster itself)."""
+    n = len(p.elements)
+    parent = [e[1] for e in p.elements]
+    mass = np.zeros(n)  # characters of the cluster in each element, with all inside it
+    np.add.at(mass, np.array([r[2] for r in p.rows]), size * cluster)
+    marks = [e[2] for e in p.elements]
+    hidden = [False] * n
+    for k in range(1, n):
+        hidden[k] = hidden[parent[k]] or marks[k] == UNSEEN
+    for k in range(n - 1, 0, -1):
+        if not hidden[k]:
+            mass[parent[k]] += mass[k]
+    total = mass[0]
+
+    def out_of() -> list[bool]:
+        left = [False] * n
+        for k in range(1, n):
+            left[k] = left[parent[k]] or marks[k] != CLEAR
+        return left
+
+    def held(k: int, inside: int) -> bool:
+        while k > inside:
+            k = parent[k]
+        return k == inside
+
+    # A marked element that holds most of the cluster is a wrapper, if by what it holds it may be one.
+    bodies = [k for k in range(n) if p.elements[k][0] in ("article", "main") and marks[k] == CLEAR and not hidden[k]]
+    worst = [CLEAR] * n
+    for k in range(1, n):
+        worst[k] = max(worst[parent[k]], marks[k])
+    loose = sum(s for s, c, r in zip(size, cluster, p.rows, strict=True) if c and worst[r[2]] <= PART)
+    for k in range(1, n):
+        if marks[k] == PART and not hidden[k] and any(b > k and held(b, k) for b in bodies) and all(held(b, k) for b in bodies):
+            marks[k] = CLEAR  # all articles of the page lie in it
+        elif marks[k] in (PART, WHOLE) and not hidden[k] and 2 * mass[k] >= (loose if marks[k] == PART else total) > 0:
+            own = max((mass[b] for b in bodies if b > k and held(b, k)), default=0.0)
+            left = out_of()
+            others = sum(s for s, c, r in zip(size, cluster, p.rows, strict=True) if c and not left[r[2]])
+            article = any(not left[b] and mass[b] > 0 and not held(k, b) for b in bodies)
+            enough = mass[k] >= FORM_TEXT or p.elements[k][0] != "form"
+            if 2 * own >= mass[k] or marks[k] == PART and enough and not article and 4 * others <= mass[k]:
+                marks[k] = CLEAR
+    left = out_of()
+    gone = {k for k in range(n) if left[k] or hidden[k]}
+    clear = np.zeros(n)
+    np.add.at(clear, np.array([r[2] for r in p.rows]), size * cluster * np.array([r[2] not in gone for r in p.rows]))
+    for k in range(n - 1, 0, -1):
+        clear[parent[k]] += clear[k]
+    for kind in ("article", "main"):
+        found = [b for b in bodies if b not in gone and p.elements[b][0] == kind and not any(held(b, a) for a in bodies if a < b and p.elements[a][0] == kind)]
+        words = [sum(s for s, r in zip(size, p.rows, strict=True) if r[2] not in gone and r[2] >= b and held(r[2], b)) for b in found]
+        if found and max(words) > 0:
+            best = found[max(range(len(found)), key=lambda j: (clear[found[j]], words[j], -found[j]))]
+            with_it = [b for b in found if parent[b] == parent[best]]
+            if 3 * sum(clear[b] for b in with_it) >= clear[0]:
+                return gone, with_it
+    at = 0
+    while True:
+        inner = [k for k in range(at + 1, n) if parent[k] == at and k not in gone and clear[k] >= MOST * clear[0] > 0]
+        if not inner:
+            return gone, [at] if at and p.elements[at][0] != "body" else []
+        at = inner[0]
+
+
 def main_text(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> str:
     """The article's text, its lines joined by one space; empty if there is none."""
     p = Lines()
@@ -129,23 +214,28 @@ def main_text(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> str:
     p.close()
     p.end_line()
     rows = p.rows
-    live = [k for k, r in enumerate(rows) if not r[3]]
-    if not live:
+    if not rows:
         return ""
-    size = np.array([0 if r[3] else len(r[0]) for r in rows], float)
-    ratio = smoothed(size / np.array([max(1, r[1]) for r in rows], float), sigma)
-    cluster = ratio >= spread * ratio.std()
-    mass: dict[int, float] = {}
-    for k in live:
-        mass[rows[k][2]] = mass.get(rows[k][2], 0.0) + (size[k] if cluster[k] else 0.1 * size[k])
-    articles = {r: m for r, m in mass.items() if p.kinds[r] == "article"} or {r: m for r, m in mass.items() if p.kinds[r] == "main"}
-    if articles and max(articles.values()) * 2 >= mass.get(0, 0.0):
-        best = max(articles, key=lambda r: (articles[r], -r))
-        return " ".join(rows[k][0] for k in live if rows[k][2] == best)
+    weight = [1.0] * len(p.elements)
+    for k in range(1, len(weight)):
+        _, up, mark = p.elements[k]
+        weight[k] = 0.0 if mark == UNSEEN else min(weight[up], NAMED if mark else 1.0)
+    size = np.array([len(r[0]) if weight[r[2]] else 0 for r in rows], float)
+    heavy = size * np.array([weight[r[2]] for r in rows])
+    ratio = smoothed(heavy / np.array([max(1, r[1]) for r in rows], float), sigma)
+    cluster = (ratio >= spread * ratio.std()) & (size > 0)
+    gone, holds = region(p, size, cluster)
+    live = [k for k, r in enumerate(rows) if r[2] not in gone]
+    if holds:
+        within = set(holds)
+        for k in range(holds[0] + 1, len(p.elements)):
+            if p.elements[k][1] in within:
+                within.add(k)
+        return " ".join(rows[k][0] for k in live if rows[k][2] in within)
     chosen = [k for k in live if cluster[k]]
     if not chosen:
         return ""
-    # the cluster's lines, and short ones between them
+    # no element holds the article alone: the cluster's lines, and short ones between them
     return " ".join(rows[k][0] for k in live if chosen[0] <= k <= chosen[-1] and (cluster[k] or rows[k][1] <= 2))
 
 

@@ -19,6 +19,14 @@ ARTICLE = "<article><h1>Title</h1><p>First para &amp; more of it, long enough to
         (f"<header><h1>Site</h1></header><div class='cookie-notice'>We use cookies, a long text about cookies.</div><main>{ARTICLE}</main><aside>side</aside>", "Title First para & more of it, long enough to count. Ok."),
         (f"{ARTICLE}<section class='comments'><article class='comment'><p>{'A reader says much. ' * 40}</p></article></section>", "Title First para & more of it, long enough to count. Ok."),
         ("<article><p>a<br>b  c</p><script>var t='</p>'</script><form><label>x</label></form><p>d</p>", "a b c d"),
+        (f"<div class='page has-sidebar'>{ARTICLE}<div class='sidebar'><p>{'Side text of some length. ' * 3}</p></div></div>", "Title First para & more of it, long enough to count. Ok."),
+        ("<div id='content' class='no-sidebar'><h1>Head</h1><p>" + "Plain text here. " * 20 + "</p><p>End.</p></div><footer>foot</footer>", "Head " + "Plain text here. " * 20 + "End."),
+        (f"<div class='search-page'><main>{ARTICLE.replace('article', 'div')}</main></div>", "Title First para & more of it, long enough to count. Ok."),
+        (f"<form id='aspnetForm'><nav><a>Home</a></nav>{ARTICLE}<label>Search</label><input></form>", "Title First para & more of it, long enough to count. Ok."),
+        (f"<main>{ARTICLE}<article><p>A second article, short.</p></article></main><div class='ad'>buy</div>", "Title First para & more of it, long enough to count. Ok. A second article, short."),
+        (f"<article><div class='comment-enabled'><h2>In</h2><p>{'Some words of text. ' * 30}</p></div></article>", "In " + ("Some words of text. " * 30).strip()),
+        ("<body><nav><a>one</a><a>two</a></nav><form><p>Write to us about all you like, at length.</p><label>Name</label></form><footer>foot</footer></body>", ""),
+        (f"<div class='post'><p>{'The post itself. ' * 30}</p></div><div class='comments'><p>{'Readers talk a lot here. ' * 80}</p></div>", ("The post itself. " * 30).strip()),
         ("<article><p>cut &am", "cut &am"),
         ("<article><p>cut <b", "cut"),
         ("<div id='menu'><a>a</a></div><div><p>" + "Long text here. " * 20 + "</p></div>", ("Long text here. " * 20).strip()),
@@ -39,6 +47,14 @@ def test_whole_table_against_markup(spark, sf_dir):
         assert got[r["page_id"]]["text"] == want and got[r["page_id"]]["n_chars"] == len(want)
 
 
+@pytest.mark.parametrize("change", [lambda h: h.replace("<article>", "<div>").replace("</article>", "</div>"), lambda h: h.replace("<article>", "<section class='post with-sidebar'>").replace("</article>", "</section>"), lambda h: h.replace("<body>", "<body><div class='layout no-sidebar'><form id='aspnetForm'>")])
+def test_pages_without_the_telling_markup(spark, sf_dir, change):
+    """The cluster finds the same text where no element says that it is the article."""
+    rows = [r["html"] for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()]
+    same = [main_text(change(h)) == main_text(h) for h in rows]
+    assert sum(same) >= 0.97 * len(same)
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<article>" + "<p>very long text " * 20_000, "y"), (3, "u", "<<<>>><!-- <!DOCTYPE", "z")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
