@@ -34,16 +34,22 @@ def features_of(col: pa.Array) -> np.ndarray:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, bound: int, held_mod: int, held_rest: int, id_col: str = "doc_id", text_col: str = "text", label_id_col: str = "doc_id") -> DataFrame:
-    """(y, text) of at most `bound` labelled ids outside the held-out fold, chosen by hash.
+    """(label_id, y, text) of at most `bound` labelled ids outside the held-out fold, chosen by hash.
 
-    A label that occurs more than once for an id counts once, as its mean; null labels do not count.
+    A label that occurs more than once for an id counts once, as its mean; null labels
+    do not count.  Rows that share an id all come out; one_each() bounds the rows.
     """
     ids = labels.select(F.col(label_id_col).alias("label_id"), F.col(label_col).cast("double").alias("y")).filter(F.col("y").isNotNull() & F.col("label_id").isNotNull())
     ids = ids.filter(crc_mod("label_id", held_mod) != held_rest).groupBy("label_id").agg(F.avg("y").alias("y"))
     ids = ids.orderBy(F.xxhash64("label_id"), "label_id").limit(bound)
     # the limit bounds what is broadcast: two numbers for each row
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.join(F.broadcast(ids), rows["doc_id"] == ids["label_id"]).select("y", "text")
+    return rows.join(F.broadcast(ids), rows["doc_id"] == ids["label_id"]).select("label_id", "y", "text")
+
+
+def one_each(described: DataFrame, parts: int) -> DataFrame:
+    """(y, x) from (label_id, y, x): of rows that share an id the one with the smallest x, so there are no more rows than ids."""
+    return described.groupBy("label_id").agg(F.max("y").alias("y"), F.min("x").alias("x")).select("y", "x").coalesce(parts)
 
 
 class Model(NamedTuple):
@@ -84,14 +90,15 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def fit(sample: DataFrame, n_features: int = N_FEATURES, width: float = WIDTH, ridge: float = RIDGE, seed: int = 11, parts: int = SAMPLE_PARTS) -> Model:
-    """Learn from (y, text) rows; their number is bounded by the caller, so is all that reaches the driver."""
+    """Learn from (label_id, y, text) rows; the ids are bounded by the caller, and so is all that reaches the driver."""
 
     def describe(batches):
         for b in batches:
             x = features_of(b.column("text"))
-            yield pa.RecordBatch.from_arrays([b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["y", "x"])
+            yield pa.RecordBatch.from_arrays([b.column("label_id"), b.column("y"), pa.array(list(x), pa.list_(pa.float64()))], names=["label_id", "y", "x"])
 
-    rows = materialize(sample.mapInArrow(describe, "y double, x array<double>").coalesce(parts), "features")
+    kind = sample.schema["label_id"].dataType.simpleString()
+    rows = materialize(one_each(sample.mapInArrow(describe, f"label_id {kind}, y double, x array<double>"), parts), "features")
     n = len(DOC_FEATURES)
     cols = [F.element_at("x", k + 1) for k in range(n)]
     got = rows.agg(F.count("y"), *[F.avg(c) for c in cols], *[F.stddev_pop(c) for c in cols]).first()
