@@ -28,9 +28,9 @@ LEAF_ROWS, FAN_IN = 2000, 1000
 
 
 def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """(doc_id, source, size): number of words of each text, 0 for null and empty texts."""
+    """(doc_id, source, size, text_crc): number of words of each text, 0 for null and empty texts, and a checksum that tells texts of one id apart."""
     picked = df.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("text"))
-    schema = f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, source string, size long"
+    schema = f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, source string, size long, text_crc long"
 
     def run(batches):
         for b in batches:
@@ -39,7 +39,8 @@ def word_counts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", s
             for lo, hi in blocks(off):
                 o = off[lo : hi + 1]
                 size[lo:hi] = np.diff(Words(data[o[0] : o[-1]], o - o[0], hashed=False).first)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(size)], names=["doc_id", "source", "size"])
+            crc = [zlib.crc32(data[x:y]) for x, y in zip(off[:-1].tolist(), off[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("source"), pa.array(size), pa.array(crc, pa.int64())], names=["doc_id", "source", "size", "text_crc"])
 
     return picked.mapInArrow(run, schema)
 
@@ -104,20 +105,23 @@ def mix_sources(
     leaf_rows: int = LEAF_ROWS,
     fan_in: int = FAN_IN,
 ) -> DataFrame:
-    """One row for each input row: doc_id, source, size, source_size, target, copies, taken.
+    """One row for each input row: doc_id, source, size, source_size, target, copies, taken, text_crc.
 
     Null and empty texts have size 0: they take nothing and get no copy.  A null
     source is a source of its own, the last.  Repeated rows each count.  An empty
     table gives an empty result.  Groups and draws depend on doc_id, source and
-    size alone, not on the layout, so reruns agree.
+    text alone, not on the layout, so reruns agree.
     """
-    sized = materialize(word_counts(df, id_col, text_col, source_col), "sizes")
+    sized = word_counts(df, id_col, text_col, source_col)
+    # rows that agree in all are numbered among themselves, so that no leaf holds more of them than others
+    same = sized.groupBy(*sized.columns).agg(F.count(F.lit(1)).alias("n_same"))
+    sized = materialize(same.withColumn("nth", F.explode(F.sequence(F.lit(1).cast("long"), "n_same"))).drop("n_same"), "sizes")
     stats = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     targets = materialize(source_targets(stats, weights, share, most).withColumn("leaves", F.greatest(F.lit(1), F.ceil(F.col("n") / leaf_rows))), "targets")
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     rows = (
         sized.join(targets, sized["source"].eqNullSafe(targets["source"]))
-        .select("doc_id", sized["source"], "size", "source_size", "target", F.least(ratio, F.lit(float(most))).alias("ratio"), F.pmod(F.xxhash64("doc_id"), "leaves").alias("node"))
+        .select("doc_id", sized["source"], "size", "source_size", "target", F.least(ratio, F.lit(float(most))).alias("ratio"), "text_crc", "nth", F.pmod(F.xxhash64("doc_id", "text_crc", "nth"), "leaves").alias("node"))
         .withColumn("base", F.floor("ratio").cast("long"))
         .withColumn("p", F.when(F.col("size") > 0, F.col("ratio") - F.col("base")).otherwise(F.lit(0.0)))
         .withColumn("open", F.lit(False))
@@ -127,7 +131,7 @@ def mix_sources(
 
     def meet(level: int, last: bool):
         def run(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-            part = part.sort_values(["doc_id", "size"], kind="stable").reset_index(drop=True)
+            part = part.sort_values(["doc_id", "size", "text_crc", "nth"], kind="stable").reset_index(drop=True)
             rng = np.random.default_rng([seed, level, int(key[1]), zlib.crc32(repr(key[0]).encode())])
             u, p = rng.random(len(part) + 1), part["p"].to_numpy(float, copy=True)
             held = pivotal(part["size"].to_numpy(float), p, u)
@@ -154,7 +158,7 @@ def mix_sources(
         now = out.filter("open").withColumn("node", F.floor(F.col("node") / fan_in).cast("long"))
         most_leaves, level = -(-most_leaves // fan_in) if most_leaves > fan_in else 1, level + 1
     copies = F.when(F.col("size") > 0, F.col("base") + F.round("p").cast("long")).otherwise(F.lit(0).cast("long"))
-    return done.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
+    return done.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"), "text_crc")
 
 
 def op10_mix(spark, sf_dir: str) -> DataFrame:

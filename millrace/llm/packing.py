@@ -187,7 +187,9 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: st
 
     Null and empty texts hold one end id.  Repeated rows are packed as often as
     they occur.  An empty table gives an empty result.  A very long text gives
-    many rows, dealt over all groups.  Whole windows are sequences of their own.
+    many rows, dealt over all groups, as are the pieces of rows that share an id or a
+    text: groups are dealt by the place in the written table of pieces, which a lost
+    task reads again as it was.  Whole windows are sequences of their own.
     """
     pieces = materialize(token_pieces(df, id_col, text_col, name, window, end_id), "pieces")
     groups = max(1, -(-pieces.count() // group_pieces))
@@ -202,7 +204,7 @@ def pack(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", name: st
         out = pd.DataFrame({"doc_id": part["doc_id"].to_numpy()[rows], "start": part["start"].to_numpy()[rows] + cut, "length": length, "ids_crc32": [zlib.crc32(x) for x in ids], "doc_tokens": part["doc_tokens"].to_numpy()[rows], "sequence_id": (int(key[0]) << 32) + seq, "offset": at})
         return out.assign(ids=ids) if keep_ids else out
 
-    return pieces.withColumn("g", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))).groupBy("g").applyInPandas(run, schema)
+    return pieces.withColumn("g", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(groups))).groupBy("g").applyInPandas(run, schema)
 
 
 def op2_pack(spark, sf_dir: str) -> DataFrame:

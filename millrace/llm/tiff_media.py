@@ -85,11 +85,12 @@ def unpack_lzw(raw: bytes) -> bytes:
     return b"".join(out)
 
 
-def decode(raw: bytes, compression: int) -> bytes:
+def decode(raw: bytes, compression: int, size: int) -> bytes:
+    """The bytes of a strip or tile, of which `size` are needed."""
     if compression == PLAIN:
         return raw
     if compression in (DEFLATE, OLD_DEFLATE):
-        return zlib.decompress(raw)
+        return zlib.decompressobj().decompress(raw, size)
     if compression == PACKBITS:
         return unpack_bits(raw)
     if compression == LZW:
@@ -123,26 +124,41 @@ def directories(raw: bytes) -> Iterator[tuple[str, dict[int, tuple]]]:
         (at,) = struct.unpack_from(order + ptr, raw, at + n * entry)
 
 
+#: Bytes that one stored byte can stand for at most.
+EXPANSION = {PLAIN: 1, PACKBITS: 64, DEFLATE: 1032, OLD_DEFLATE: 1032, LZW: 2731}
+
+
 def read_pages(raw: bytes) -> Iterator[Page]:
+    """The pages of a file; a header that its bytes cannot bear out raises ValueError before anything is allocated."""
     for index, (order, t) in enumerate(directories(raw)):
-        one = lambda tag, default=None: t.get(tag, (default,))[0]
+        one = lambda tag, default=0: (t.get(tag) or (default,))[0]
         width, height, samples, bits = one(WIDTH), one(LENGTH), one(SAMPLES, 1), one(BITS, 1)
-        if bits not in (8, 16):
-            raise ValueError(f"{bits} bits for a sample are not supported")
         compression, planes = one(COMPRESSION, PLAIN), samples if one(PLANAR, 1) == 2 else 1
-        deep = samples // planes
-        if TILE_OFFSETS in t:
-            w, h, offsets, counts = one(TILE_WIDTH), one(TILE_LENGTH), t[TILE_OFFSETS], t[TILE_COUNTS]
+        if bits not in (8, 16) or any(x != bits for x in t.get(BITS, ())):
+            raise ValueError(f"{bits} bits for a sample are not supported")
+        if compression not in EXPANSION:
+            raise ValueError(f"compression {compression} is not supported")
+        tiled = TILE_OFFSETS in t
+        if tiled:
+            w, h, offsets, counts = one(TILE_WIDTH), one(TILE_LENGTH), t[TILE_OFFSETS], t.get(TILE_COUNTS, ())
         else:
-            w, h, offsets, counts = width, min(one(ROWS_PER_STRIP, height), height) or 1, t[STRIP_OFFSETS], t[STRIP_COUNTS]
-        across, down = -(-width // w), -(-height // h)
+            w, h, offsets, counts = width, min(one(ROWS_PER_STRIP, height), height), t.get(STRIP_OFFSETS, ()), t.get(STRIP_COUNTS, ())
+        if min(width, height, samples, w, h) < 1:
+            raise ValueError("a width, height or number of samples of 0")
+        deep, across, down = samples // planes, -(-width // w), -(-height // h)
+        if not len(offsets) == len(counts) == across * down * planes:
+            raise ValueError("strips or tiles do not cover the page")
+        if any(n < 0 or at < 0 or at + n > len(raw) for at, n in zip(offsets, counts, strict=True)):
+            raise ValueError("a strip or tile lies outside the file")
         dtype = np.dtype(np.uint8 if bits == 8 else order + "u2")
+        if max(width * height * samples, w * h * deep * len(offsets) if tiled else 0) * dtype.itemsize > EXPANSION[compression] * sum(counts):
+            raise ValueError("more pixels than the stored bytes can hold")
         pixels = np.zeros((height, width, samples), dtype.newbyteorder("="))
         for k, (at, n) in enumerate(zip(offsets, counts, strict=True)):
             plane, cell = divmod(k, across * down)
             y, x = cell // across * h, cell % across * w
-            rows = min(h, height - y) if TILE_OFFSETS not in t else h
-            got = np.frombuffer(decode(raw[at : at + n], compression), dtype, rows * w * deep).reshape(rows, w, deep)
+            rows = h if tiled else min(h, height - y)
+            got = np.frombuffer(decode(raw[at : at + n], compression, rows * w * deep * dtype.itemsize), dtype, rows * w * deep).reshape(rows, w, deep)
             if one(PREDICTOR, 1) == 2:
                 got = np.add.accumulate(got.astype(pixels.dtype), axis=1, dtype=pixels.dtype)
             pixels[y : y + h, x : x + w, plane if planes > 1 else slice(None)] = (got[: height - y, : width - x, 0] if planes > 1 else got[: height - y, : width - x])
@@ -208,67 +224,102 @@ def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
 
 
-def explode_pages(df: DataFrame, id_col: str = "doc_id", media_col: str = "media") -> DataFrame:
-    """One row for each page: id, page, width, height, samples, bits, compression, pixels, error.
+def explode_pages(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row for each page: id, page, width, height, samples, bits, compression, pixels, error, last, and the columns in keep.
 
-    A null medium has no pages; one that cannot be read gives a row with a null
-    page and the reason, after the pages read before it.  Repeated rows give
-    repeated pages.
+    A null medium has no pages; one that cannot be read, whatever its header says,
+    gives a row with a null page and the reason, after the pages read before it.
+    `last` marks the last row of a medium; its rows follow each other.  Repeated rows
+    give repeated pages.
     """
-    picked = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"))
-    names = ["id", "page", "width", "height", "samples", "bits", "compression", "pixels", "error"]
+    picked = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"), *[F.col(k).alias(f"__{k}") for k in keep])
+    names = ["id", "page", "width", "height", "samples", "bits", "compression", "pixels", "error", "last"]
+    kinds = [pa.int32()] * 6 + [pa.binary(), pa.string(), pa.bool_()]
+    most = 16 << 20  # bytes of pixels in a batch, or one page
 
     def run(batches):
+        def out(b, rows):
+            at = pa.array([k for k, *_ in rows], pa.int64())
+            cols = [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True))[1:], kinds, strict=True)]
+            return pa.RecordBatch.from_arrays([b.column("id").take(at), *cols, *[b.column(f"__{k}").take(at) for k in keep]], names=[*names, *[f"__{k}" for k in keep]])
+
         for b in batches:
-            ids, media = b.column("id"), b.column("media")
+            rows, held = [], 0
             for k in range(b.num_rows):
-                rows, raw = [], media[k].as_py()
+                raw, wait = b.column("media")[k].as_py(), None
                 if raw is None:
                     continue
                 try:
                     for p in read_pages(raw):
-                        rows.append((p.index, p.width, p.height, p.samples, p.bits, p.compression, p.pixels.tobytes(), None))
-                except (ValueError, struct.error, zlib.error, KeyError, IndexError, TypeError) as e:
-                    rows.append((None,) * 7 + (str(e)[:200] or type(e).__name__,))
-                if rows:
-                    kinds = [pa.int32()] * 6 + [pa.binary(), pa.string()]
-                    yield pa.RecordBatch.from_arrays([ids.take(pa.array([k] * len(rows)))] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=names)
-
-    return picked.mapInArrow(run, f"id {picked.schema['id'].dataType.simpleString()}, page int, width int, height int, samples int, bits int, compression int, pixels binary, error string")
+                        if wait is not None:
+                            rows.append((*wait, False))
+                        wait = (k, p.index, p.width, p.height, p.samples, p.bits, p.compression, p.pixels.tobytes(), None)
+                        held += len(wait[7])
+                        if held > most and rows:
+                            yield out(b, rows)
+                            rows, held = [], len(wait[7])
+                except (ValueError, struct.error, zlib.error, KeyError, IndexError, TypeError, ArithmeticError, MemoryError) as e:
+                    if wait is not None:
+                        rows.append((*wait, False))
+                    wait = (k, *(None,) * 7, str(e)[:200] or type(e).__name__)
+                if wait is not None:
+                    rows.append((*wait, True))
+            if rows:
+                yield out(b, rows)
+
+    given = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
+    made = picked.mapInArrow(run, f"id {given['id']}, page int, width int, height int, samples int, bits int, compression int, pixels binary, error string, last boolean" + "".join(f", `__{k}` {given[f'__{k}']}" for k in keep))
+    return made.select(*names, *[F.col(f"__{k}").alias(k) for k in keep])
+
+
+def page_digests(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Digests of what stored files hold, from the rows of explode_pages as they come: one row for each medium.
+
+    A medium's pages follow each other in one partition, so they are hashed as they
+    pass and need not meet again in a shuffle.  One that could not be read has null
+    digests and the reason as its feature.
+    """
+    kinds = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "feature": pa.string()}
 
+    class Sum:
+        def __init__(self):
+            self.sha, self.tail, self.size, self.pages, self.total, self.square, self.wide, self.high = hashlib.sha256(), b"", 0, 0, 0, 0, 0, 0
 
-def page_digests(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", n_bytes_col: str = "n_bytes") -> DataFrame:
-    """Digests of what the stored files hold, read back page by page: one row for each medium.
+        def add(self, data: bytes, width: int, height: int, bits: int) -> None:
+            self.sha.update(data)
+            self.tail = (self.tail + data)[-32:]
+            v = np.frombuffer(data, np.uint8 if bits == 8 else np.uint16).astype(np.int64)
+            self.size, self.pages, self.total, self.square = self.size + len(data), self.pages + 1, self.total + int(v.sum()), self.square + int(v @ v)
+            self.wide, self.high, self.bits = max(self.wide, width), self.high + height, bits
 
-    Pages go through the same reader as explode_pages; a medium is hashed as it
-    is read, so its pages need not meet again in a shuffle.
-    """
-    picked = df.select(F.col(id_col).alias("doc_id"), F.col(n_bytes_col).alias("n_bytes"), F.col(media_col).alias("media"))
-    kinds = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "media_bytes": pa.int64(), "media_sha256": pa.string(), "feature": pa.string()}
-
-    def one(raw: bytes) -> tuple:
-        sha, size, tail, pages, total, square, wide, high = hashlib.sha256(), 0, b"", 0, 0, 0, 0, 0
-        for p in read_pages(raw):
-            data = p.pixels.tobytes()
-            sha.update(data)
-            tail = (tail + data)[-32:]
-            v = p.pixels.ravel().astype(np.int64)
-            size, pages, total, square, wide, high = size + len(data), pages + 1, total + int(v.sum()), square + int(v @ v), max(wide, p.width), high + p.height
-        mean = total / size
-        feature = f"pages={pages};width={wide};height={high};mean={mean:.3f};var={square / size - mean * mean:.3f}"
-        return size, sha.hexdigest(), zlib.crc32(tail), len(raw), hashlib.sha256(raw).hexdigest(), feature
+        def row(self) -> tuple:
+            n = self.size * 8 // self.bits
+            mean = self.total / n
+            return self.size, self.sha.hexdigest(), zlib.crc32(self.tail), f"pages={self.pages};width={self.wide};height={self.high};mean={mean:.3f};var={self.square / n - mean * mean:.3f}"
 
     def run(batches):
+        now = Sum()
         for b in batches:
-            for lo in range(0, b.num_rows, 500):
-                part = b.slice(lo, 500)
-                rows = [one(x) for x in part.column("media").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("n_bytes")] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=["doc_id", "n_bytes", *kinds])
-
-    return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string")
+            ends, rows = [], []
+            cols = [b.column(k).to_pylist() for k in ("width", "height", "bits", "error", "last")]
+            for k, (width, height, bits, error, last) in enumerate(zip(*cols, strict=True)):
+                if error is None:
+                    now.add(b.column("pixels")[k].as_py(), width, height, bits)
+                if last:
+                    ends.append(k)
+                    rows.append(now.row() if error is None else (None, None, None, error))
+                    now = Sum()
+            if rows:
+                at = pa.array(ends, pa.int64())
+                yield pa.RecordBatch.from_arrays([b.column(k).take(at) for k in ("id", *keep)] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=["doc_id", *keep, *kinds])
+
+    given = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
+    return pages.mapInArrow(run, f"doc_id {given['id']}, " + "".join(f"`{k}` {given[k]}, " for k in keep) + "payload_bytes long, payload_sha256 string, tail_crc32 long, feature string")
 
 
 def op9_tiff(spark, sf_dir: str) -> DataFrame:
     from .base import table
 
-    return page_digests(store(table(spark, sf_dir, "documents")))
+    keep = ("n_bytes", "media_bytes", "media_sha256")
+    media = store(table(spark, sf_dir, "documents")).withColumns({"media_bytes": F.octet_length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
+    return page_digests(explode_pages(media, keep=keep), keep)

@@ -57,3 +57,15 @@ def test_cut_characters_go_and_replacement_characters_stay(spark):
     want = {1: "a\ufffdb c\ufffd", 6: "p\ufffd!t", 2: "x\ufffd  end", 3: "y  \ufffdend", 4: "short \ufffd"}
     assert {i: got[i] for i in want} == {i: (t, len(t)) for i, t in want.items()}
     assert not got[5][0]
+
+
+def test_mixture_tells_rows_of_one_id_apart(spark):
+    """Null and shared ids: every text is taken as often as the mix says of it, not of its id."""
+    rows = [(None if k % 3 else 7, " ".join(f"w{k}x{j}" for j in range(5 + k)), "ab"[k % 2]) for k in range(40)] + [(None, None, "a"), (None, "", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    want = sorted((r["size"], r["source"], r["copies"]) for r in mix_sources(df).filter("copies > 0").collect())
+    got = corpus_pipeline.mixture(spark, df, "").collect()
+    count: dict = {}
+    for r in got:
+        count[len(words(r["text"])), r["source"]] = count.get((len(words(r["text"])), r["source"]), 0) + 1
+    assert sorted((*k, n) for k, n in count.items()) == want

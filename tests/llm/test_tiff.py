@@ -126,11 +126,77 @@ def test_digests_and_pages(spark, docs, odd, empty):
     for df in (docs, odd):
         media = T.store(df)
         want = sorted((str(r["doc_id"]), hashlib.sha256(T.pad((r["text"] or "").encode())).hexdigest(), zlib.crc32(T.pad((r["text"] or "").encode())[-32:])) for r in df.collect())
-        rows = T.page_digests(media).collect()
+        rows = T.page_digests(T.explode_pages(media)).collect()
         assert sorted((str(r["doc_id"]), r["payload_sha256"], r["tail_crc32"]) for r in rows) == want
         pages = T.explode_pages(media)
         assert pages.filter("error is not null").count() == 0 and pages.count() >= df.count()
-    assert T.page_digests(T.store(empty)).count() == 0 and T.explode_pages(T.store(empty)).count() == 0
+    assert T.page_digests(T.explode_pages(T.store(empty))).count() == 0 and T.explode_pages(T.store(empty)).count() == 0
     bad = spark.createDataFrame([(1, None), (2, bytearray(b"junk")), (3, bytearray(T.write_tiff(T.pad(b"x"))[:-9]))], "doc_id long, media binary")
     got = {r["id"]: r for r in T.explode_pages(bad).collect()}
     assert set(got) == {2, 3} and all(r["error"] for r in got.values())
+
+
+def patched(raw: bytes, tag: int, value: int, count: int | None = None) -> bytes:
+    """The file with the value (and count) of a tag of its first page overwritten."""
+    out = bytearray(raw)
+    (at,) = struct.unpack_from("<I", raw, 4)
+    (n,) = struct.unpack_from("<H", raw, at)
+    for k in range(n):
+        place = at + 2 + 12 * k
+        if struct.unpack_from("<H", raw, place)[0] == tag:
+            struct.pack_into("<I", out, place + 8, value)
+            if count is not None:
+                struct.pack_into("<I", out, place + 4, count)
+    return bytes(out)
+
+
+def test_malformed_files_give_a_row_with_the_reason(spark):
+    good = T.write_tiff(T.pad(bytes(range(200)) * 10))
+    tiles = tiff([np.zeros((17, 21, 1), np.uint8)], 8, tile=16)
+    two = T.write_tiff(T.pad(b"z" * 576 * 300))
+    (first,) = struct.unpack_from("<I", two, 4)
+    (n,) = struct.unpack_from("<H", two, first)
+    (second,) = struct.unpack_from("<I", two, first + 2 + 12 * n)
+    bad = {
+        "width 0": patched(good, T.WIDTH, 0),
+        "height 0": patched(good, T.LENGTH, 0),
+        "samples 0": patched(good, T.SAMPLES, 0),
+        "wide": patched(good, T.WIDTH, 4_000_000_000),
+        "high": patched(good, T.LENGTH, 4_000_000_000),
+        "rows of 0": patched(good, T.ROWS_PER_STRIP, 0),
+        "tile 0": patched(tiles, T.TILE_WIDTH, 0),
+        "tile huge": patched(patched(tiles, T.TILE_WIDTH, 65_000), T.TILE_LENGTH, 65_000),
+        "offset": patched(good, T.STRIP_OFFSETS, 4_000_000_000),
+        "count": patched(good, T.STRIP_COUNTS, 4_000_000_000),
+        "many values": patched(good, T.STRIP_OFFSETS, 8, 4_000_000_000),
+        "bits": patched(good, T.BITS, 7),
+        "compression": patched(good, T.COMPRESSION, 99),
+        "cut": good[: len(good) // 2],
+        "cut chain": two[: second + 30],
+        "junk strips": good[:8] + b"\xff" * 40 + good[48:],
+        "header alone": good[:8],
+        "nothing": b"",
+    }
+    df = spark.createDataFrame([(k, bytearray(v)) for k, v in bad.items()] + [("good", bytearray(good)), ("none", None)], "doc_id string, media binary")
+    rows = T.explode_pages(df).collect()
+    assert {r["id"] for r in rows if r["error"]} == set(bad) and {r["id"] for r in rows} == set(bad) | {"good"}
+    assert sum(r["last"] for r in rows) == len(bad) + 1
+    done = {r["doc_id"]: r for r in T.page_digests(T.explode_pages(df)).collect()}
+    assert done["good"]["payload_sha256"] == hashlib.sha256(T.pad(bytes(range(200)) * 10)).hexdigest()
+    assert all(done[k]["payload_sha256"] is None and done[k]["feature"] for k in bad)
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_flipped_bytes_never_escape(seed):
+    """Whatever the bytes, a reader gives pages or one of the errors that become a row."""
+    rng = np.random.default_rng(seed)
+    files = [T.write_tiff(T.pad(b"abc" * 500)), tiff([np.zeros((9, 9, 1), np.uint8)], 5, tile=16), tiff([np.ones((9, 9, 3), np.uint16)], 32773, planar=2)]
+    for raw in files:
+        for _ in range(150):
+            out = bytearray(raw)
+            for k in rng.integers(0, len(out), 4):
+                out[k] = rng.integers(0, 256)
+            try:
+                sum(p.pixels.size for p in T.read_pages(bytes(out)))
+            except (ValueError, struct.error, zlib.error, KeyError, IndexError, TypeError, ArithmeticError):
+                pass
