@@ -42,9 +42,16 @@ def repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as its source's target asks for."""
-    copies = mix_sources(docs).filter("copies > 0").groupBy(F.col("doc_id").alias("__id")).agg(F.max("copies").alias("__copies"))
-    out = docs.join(copies, docs["doc_id"].eqNullSafe(copies["__id"]))
+    """Each document as often as its source's target asks for.
+
+    Rows are told apart by id, source and text, so ids may be null or shared; those
+    that agree in all three are taken equally often.
+    """
+    keys = ["doc_id", "source", "text_crc"]
+    copies = mix_sources(docs).filter("copies > 0").groupBy(*keys).agg(F.max("copies").alias("__copies")).withColumnsRenamed({k: f"__{k}" for k in keys})
+    crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary"))
+    same = docs["doc_id"].eqNullSafe(copies["__doc_id"]) & docs["source"].cast("string").eqNullSafe(copies["__source"]) & (crc == copies["__text_crc"])
+    out = docs.join(copies, same)
     return out.withColumn("__copy", F.explode(F.sequence(F.lit(1).cast("long"), "__copies"))).select(*docs.columns)
 
 
