@@ -104,17 +104,25 @@ def _udf(scorer, columns: int):
     def two(a: pd.Series, b: pd.Series) -> pd.Series:
         return run(a, b)
 
+    def three(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        return run(a, b, c)
+
     def five(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series) -> pd.Series:
         return run(a, b, c, d, e)
 
     def six(a: pd.Series, b: pd.Series, c: pd.Series, d: pd.Series, e: pd.Series, f: pd.Series) -> pd.Series:
         return run(a, b, c, d, e, f)
 
-    typed = {2: two, 5: five, 6: six}[columns]
-    return lambda *xs: F.pandas_udf(typed, "double")(*xs)
+    typed = {2: two, 3: three, 5: five, 6: six}
+    return lambda *xs: F.pandas_udf(typed[len(xs)], "double")(*xs)
+
+
+def house_scorer(nicknames: dict[str, list[str]]):
+    """The House score with a table of nicknames: of name, first, middle, last, reference and, if given, an array of other names."""
+    return _udf(lambda *xs: score_house(*xs, nicknames=nicknames), 6)
 
 
-#: Columns in, a score out.
-sim_ratio, senate_score, filing_score = _udf(ratio, 2), _udf(score_senate, 2), _udf(score_filing, 2)
-house_score = _udf(score_house, 5)
+#: Columns in, a score out; the Senate, filing and House scores take an array of other names as a last column.
+sim_ratio, senate_score, filing_score = _udf(ratio, 2), _udf(score_senate, 3), _udf(score_filing, 3)
+house_score = _udf(score_house, 6)
 vote_score, bill_score = _udf(score_vote, 6), _udf(score_bill, 6)

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 #: Words, with inner hyphens and dots; runs are greedy, so they end at word boundaries.
 TOKEN = r"\w+(?:[-\.]\w+)*"
 #: Short words that count although they have fewer than three letters.
-SHORT_WORDS = ("ai", "ml", "us", "uk", "eu", "ev", "m&a")
+SHORT_WORDS = ("ai", "uk", "us", "eu", "ev", "g7", "qe", "m&a", "pe", "vc", "un", "ml")
 #: Synonyms of a term.
 SYNONYMS = {
     "ai": ["artificial intelligence", "machine intelligence"],

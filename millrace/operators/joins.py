@@ -72,20 +72,42 @@ def by_key_else(left: DataFrame, ref: DataFrame, left_key: Column, ref_key: Colu
 
 
 def with_all(left: DataFrame, ref: DataFrame) -> DataFrame:
-    """Each left row with every row of the reference list, which must be short, and is checked to be."""
-    n = ref.limit(SMALL_ROWS + 1).count()
-    if n > SMALL_ROWS:
-        raise ValueError(f"the reference list has more than {SMALL_ROWS} rows")
-    return left.join(F.broadcast(ref), F.lit(True), "cross")
+    """Each left row with every row of the reference list.
+
+    A list of at most SMALL_ROWS rows is broadcast.  A longer one is dealt into blocks
+    of about that many rows by hash, and each left row goes to every block, so that no
+    task holds the whole list.
+    """
+    if ref.limit(SMALL_ROWS + 1).count() <= SMALL_ROWS:
+        return left.join(F.broadcast(ref), F.lit(True), "cross")
+    blocks = -(-ref.count() // SMALL_ROWS)
+    spread = left.withColumn("__block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+    dealt = ref.withColumn("__block", F.pmod(F.xxhash64(*ref.columns), F.lit(blocks)).cast("int"))
+    return spread.join(dealt, "__block").drop("__block")
+
+
+def sharing_a_word(left: DataFrame, ref: DataFrame, left_name: Column, ref_name: Column, left_id: str, ref_id: str) -> DataFrame:
+    """Pairs of a left and a reference row whose names have a word in common, each once.
+
+    For scores that are accepted only with such a word this leaves out no match, and
+    the list may have any length; words of the reference list are counted nowhere, so
+    a word that most names have makes as many pairs as with_all does.
+    """
+    words = lambda c: F.explode(F.array_distinct(F.filter(F.split(F.lower(c), r"[^\p{L}\p{N}]+"), lambda w: F.length(w) > 1)))
+    a = left.select(F.col(left_id).alias("__left"), words(left_name).alias("__word"))
+    b = ref.select(F.col(ref_id).alias("__ref"), words(ref_name).alias("__word"))
+    pairs = a.join(b, "__word").select("__left", "__ref").distinct()
+    return left.join(pairs, left[left_id] == pairs["__left"]).join(ref, F.col("__ref") == ref[ref_id]).drop("__left", "__ref")
 
 
-def best_match(left: DataFrame, ref: DataFrame, score: Column, left_id: str, ref_order: str, accept: float) -> DataFrame:
+def best_match(left: DataFrame, ref: DataFrame, score: Column, left_id: str, ref_order: str, accept: float, names: tuple[Column, Column] | None = None) -> DataFrame:
     """For each left row the reference row of the highest score, the first in ref_order among equals, if it is accepted.
 
-    The reference list must be short, and is checked to be: every left row is
-    held against all of it, and only the best survives the partial aggregation.
+    Every left row is held against the whole list, or, given the two names, against
+    the rows that share a word with it; only the best survives the partial aggregation.
     """
-    pairs = with_all(left, ref).withColumn("score", score).filter(F.col("score") >= accept)
+    pairs = sharing_a_word(left, ref, *names, left_id, ref_order) if names else with_all(left, ref)
+    pairs = pairs.withColumn("score", score).filter(F.col("score") >= accept)
     best = F.max_by(F.struct(*[F.col(c) for c in pairs.columns]), F.struct("score", -F.col(ref_order)))
     return pairs.groupBy(F.col(left_id).alias("__id")).agg(best.alias("b")).select("b.*")
 

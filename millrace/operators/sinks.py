@@ -37,6 +37,18 @@ def write_sorted_text(df: DataFrame, col: str, path: str) -> None:
     df.select(F.col(col).cast("string").alias("value")).filter("value is not null").distinct().orderBy(F.lower("value"), "value").write.mode("overwrite").text(path)
 
 
+def gather(spark, folders: list[str], into: str) -> None:
+    """The files of written folders in one folder, each named after the folder that it was in."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = path(into).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.mkdirs(path(into))
+    for folder in folders:
+        for f in fs.listStatus(path(folder)):
+            name = f.getPath().getName()
+            if not name.startswith(("_", ".")):
+                fs.rename(f.getPath(), path(f"{into}/{folder.rsplit('/', 1)[-1]}-{name}"))
+
+
 def split_stubs(df: DataFrame, keys: list[str], most: int = ITEM_BYTES) -> tuple[DataFrame, DataFrame]:
     """(rows for the table: whole, or only keys where too large; the too large rows whole)."""
     sized = df.withColumn("is_oversized", F.octet_length(F.to_json(F.struct(*df.columns))) > most)

@@ -137,11 +137,12 @@ def qry_bill(spark, sf_dir):
     return search.lookup(b, "has_roll_call", 1, "n", tie="conv_id").select("conv_id", "has_roll_call", "n")
 
 
-@query("SELECT conv_id, substr(string_agg(substr(text, 1, 40), ' | ' ORDER BY turn), 1, 100) AS joined FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) WHERE n <= 3 GROUP BY conv_id")
+@query("SELECT conv_id, substr(string_agg(text, ' | ' ORDER BY turn), 1, 100) AS joined FROM (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS n FROM conversations) WHERE n <= 3 GROUP BY conv_id")
 def agg_concat_topn(spark, sf_dir):
     """The first three texts joined and cut."""
-    g = turns(spark, sf_dir).groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", F.substring("text", 1, 40).alias("t")))).alias("x"))
-    return g.select("conv_id", F.substring(F.array_join(F.transform(F.slice("x", 1, 3), lambda x: x["t"]), " | "), 1, 100).alias("joined"))
+    first = turns(spark, sf_dir).withColumn("n", F.row_number().over(Window.partitionBy("conv_id").orderBy("turn"))).filter("n <= 3")
+    g = first.groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("x"))
+    return g.select("conv_id", F.substring(F.array_join(F.transform("x", lambda x: x["text"]), " | "), 1, 100).alias("joined"))
 
 
 NAMES = "(VALUES (1, 'Hon. Smith, Jane Ann'), (2, 'Rep. John Doe [D-NY-12]'), (3, 'Sen. Roe, Rick (Senator)'), (4, 'Madonna')) n(id, name)"

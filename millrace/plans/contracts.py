@@ -264,13 +264,11 @@ def qry_award(spark, sf_dir):
     return search.lookup(o.filter(search.predicate(c_mktsegment="BUILDING")), "fiscal_year", 1997, "o_totalprice", (100000, 300000), limit=50, tie="o_orderkey").select("o_orderkey", "o_totalprice")
 
 
-@query("SELECT o_orderkey, o_orderdate, CASE WHEN length(o_orderpriority) <= 8 THEN o_orderpriority END AS o_orderpriority, length(o_orderpriority) > 8 AS is_oversized FROM orders")
+@query("SELECT o_orderkey, CASE WHEN NOT big THEN o_orderpriority END AS o_orderpriority, big AS is_oversized, CASE WHEN big THEN o_orderpriority END AS kept_whole FROM (SELECT *, length('{\"o_orderkey\":' || o_orderkey || ',\"o_orderpriority\":\"' || o_orderpriority || '\"}') > 48 AS big FROM orders)")
 def snk_stub(spark, sf_dir):
-    """Whole rows, and only the keys of those above the limit."""
-    stub, _ = sinks.split_stubs(awards(spark, sf_dir).select("o_orderkey", "o_orderpriority"), ["o_orderkey"], most=len('{"o_orderkey":,"o_orderpriority":""}') + 8)
-    o = awards(spark, sf_dir).select("o_orderkey", "o_orderdate", F.length("o_orderpriority").alias("n"), F.col("o_orderpriority").alias("p"))
-    out = stub.drop("o_orderpriority", "is_oversized").join(o, "o_orderkey")
-    return out.select("o_orderkey", "o_orderdate", F.when(F.col("n") <= 8, F.col("p")).alias("o_orderpriority"), (F.col("n") > 8).alias("is_oversized"))
+    """Whole rows, only the keys of those above the limit, and those whole beside them."""
+    stub, whole = sinks.split_stubs(awards(spark, sf_dir).select("o_orderkey", "o_orderpriority"), ["o_orderkey"], most=48)
+    return stub.join(whole.withColumnRenamed("o_orderpriority", "kept_whole"), "o_orderkey", "left").select("o_orderkey", "o_orderpriority", "is_oversized", "kept_whole")
 
 
 @query("SELECT CASE WHEN o_totalprice > 100000 AND o_orderstatus IN ('F', 'O') THEN 'ok' ELSE 'bad' END AS side, count(*) AS n, sum(CASE WHEN o_totalprice > 100000 THEN 0 ELSE 1 END)::BIGINT AS low FROM orders GROUP BY 1")

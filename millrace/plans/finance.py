@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import numbers, similarity, strings
 from ..operators import joins, ordered, search
 from ..session import table
+from ..sources import readers
 from .registry import query
 
 DEC = "decimal(18,2)"
@@ -103,8 +104,9 @@ def bitmask_decode(spark, sf_dir):
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, coalesce(p_name, '') AS explanation FROM lineitem LEFT JOIN (SELECT * FROM part WHERE p_size > 25) ON l_partkey = p_partkey")
 def join_footnote(spark, sf_dir):
     """A cell's footnote text, empty where there is none."""
-    notes = table(spark, sf_dir, "part").filter("p_size > 25").select(F.col("p_partkey").alias("l_partkey"), "p_name")
-    return table(spark, sf_dir, "lineitem").join(notes, "l_partkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.coalesce("p_name", F.lit("")).alias("explanation"))
+    notes = table(spark, sf_dir, "part").filter("p_size > 25").select(F.col("p_partkey").alias("l_partkey"), F.array("p_name").alias("notes"))
+    cell = readers.footnoted(F.concat(F.col("l_quantity").cast("string"), F.lit(" (1)")), F.col("notes"))
+    return table(spark, sf_dir, "lineitem").join(notes, "l_partkey", "left").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cell["footnote"]["explanation"].alias("explanation"))
 
 
 @query("SELECT p_partkey, p_name FROM part WHERE length(p_name) >= 5 AND regexp_matches(p_name, '^[A-Za-z][A-Za-z0-9 #''.-]*$') AND NOT regexp_matches(lower(p_name), '\\b(total|page|none)\\b')")
@@ -133,14 +135,15 @@ def qry_secf(spark, sf_dir):
     return o.filter(search.predicate(form="P", entity=3) & (F.col("o_orderdate") >= F.expr("timestamp_ntz'1997-06-01'"))).select("o_orderkey", "form", "o_orderdate")
 
 
-@query("SELECT l_suppkey AS trade, max_by(l_orderkey, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) AS orderkey FROM lineitem GROUP BY l_suppkey")
+@query("SELECT l_suppkey AS trade, CASE WHEN l_suppkey % 3 = 0 THEN -1 ELSE max_by(l_orderkey, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) END AS orderkey FROM lineitem GROUP BY l_suppkey UNION ALL SELECT -5, -1")
 def ups_trade(spark, sf_dir):
-    """The last write of a key wins."""
+    """The last write of a key wins over the stored row; stored rows without a write stay."""
     from ..operators import merges
 
     t = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("trade"), F.col("l_orderkey").alias("orderkey"), "l_shipdate", "l_linenumber", "l_partkey")
-    empty = t.filter("false")
-    out = merges.last_write(empty, t, ["trade"], [F.col(c).desc() for c in ("l_shipdate", "orderkey", "l_linenumber", "l_partkey")])
+    stored = t.dropDuplicates(["trade"]).withColumn("orderkey", F.lit(-1).cast("bigint"))
+    stored = stored.unionByName(stored.orderBy("trade").limit(1).withColumn("trade", F.lit(-5).cast("bigint")))
+    out = merges.last_write(stored, t.filter("trade % 3 <> 0"), ["trade"], [F.col(c).desc() for c in ("l_shipdate", "orderkey", "l_linenumber", "l_partkey")])
     return out.select("trade", "orderkey")
 
 

@@ -26,15 +26,16 @@ def src_csv_prime(spark, sf_dir):
 
 @query("SELECT CASE WHEN l_linenumber = 1 THEN 'prime' ELSE 'sub' END AS kind, count(*) AS n FROM lineitem GROUP BY 1")
 def src_csv_sub(spark, sf_dir):
-    """Files dealt to awards and sub-awards by their folder's files' names."""
+    """Files of one folder dealt to awards and sub-awards by their names."""
     base = scratch(spark, "routed")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", (F.col("l_linenumber") != 1).alias("sub"))
     cols = ["l_orderkey", "l_partkey"]
-    li.filter("not sub").select(*cols).write.option("header", True).csv(f"{base}/prime")
-    li.filter("sub").select(*cols).write.option("header", True).csv(f"{base}/sub")
-    prime, _ = readers.read_awards(spark, f"{base}/prime", cols)
+    li.filter("not sub").select(*cols).write.option("header", True).csv(f"{base}/PrimeAwards")
+    li.filter("sub").select(*cols).write.option("header", True).csv(f"{base}/Contracts_SubAwards")
+    sinks.gather(spark, [f"{base}/PrimeAwards", f"{base}/Contracts_SubAwards"], f"{base}/landed")
+    prime, sub = readers.read_awards(spark, f"{base}/landed", cols)
     n = lambda df, k: df.groupBy(F.lit(k).alias("kind")).agg(F.count(F.lit(1)).alias("n"))
-    return n(prime, "prime").unionByName(n(readers.read_csv(spark, f"{base}/sub", cols), "sub"))
+    return n(prime, "prime").unionByName(n(sub, "sub"))
 
 
 @query("SELECT c_custkey AS id, c_name AS name, upper(left(c_mktsegment, 1)) AS party, CASE WHEN c_custkey % 3 = 0 THEN 'Senator' ELSE 'Representative' END AS position, 'B' || c_custkey AS bioguide_id FROM customer")
@@ -81,8 +82,7 @@ def src_json_api(spark, sf_dir):
     path = scratch(spark, "pages")
     s = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") % 10).alias("page"), F.struct(F.col("s_suppkey").alias("id"), F.to_json(F.struct(F.col("s_name").alias("S"))).alias("name")).alias("item"))
     s.groupBy("page").agg(F.collect_list("item").alias("results")).select(F.to_json(F.struct("results")).alias("value")).write.text(path)
-    doc = spark.read.schema("results array<struct<id:bigint,name:string>>").json(path).select(F.explode("results").alias("r"))
-    return doc.select("r.id", readers.untag(F.col("r.name")).alias("name"))
+    return readers.read_pages(spark, path, "id:bigint,name:string").select("id", readers.untag(F.col("name")).alias("name"))
 
 
 @query("SELECT '118-HR-' || conv_id AS bill_id, CAST(118 AS INTEGER) AS congress, CAST(conv_id AS INTEGER) AS bill_number, 'Title & ' || conv_id AS title, CAST(count(*) AS INTEGER) AS cosponsors FROM conversations GROUP BY conv_id")

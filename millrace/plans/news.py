@@ -17,7 +17,7 @@ from .registry import query
 LOWER = "translate(lower(text), '–—“”‘’', '--\"\"''''')"
 RAW = f"regexp_extract_all({LOWER}, '\\w+(?:[-\\.]\\w+)*')"
 TOKENS = f"flatten(list_transform({RAW}, lambda w: CASE WHEN contains(w, '-') THEN list_concat(string_split(w, '-'), [w]) ELSE [w] END))"
-KEPT = f"list_filter({TOKENS}, lambda w: length(w) >= 3 OR w IN ('ai', 'ml', 'us', 'uk', 'eu', 'ev', 'm&a'))"
+KEPT = f"list_filter({TOKENS}, lambda w: length(w) >= 3 OR w IN {text.SHORT_WORDS})"
 
 def articles(spark, sf_dir) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "text", "n_chars")
@@ -68,7 +68,9 @@ r AS (SELECT doc_id, w, row_number() OVER (PARTITION BY doc_id ORDER BY i) AS n
 
 
 def uniques(spark, sf_dir) -> DataFrame:
-    return articles(spark, sf_dir).withColumn("t", text.unique_tokens(text.keep_tokens(text.tokens(text.normal("text"))))).filter(F.size("t") > 0)
+    t = text.unique_tokens(text.keep_tokens(text.tokens(text.normal("text"))))
+    # one generated row each: no filter passes below it, so the words are taken once
+    return articles(spark, sf_dir).select("doc_id", F.explode(F.array(t)).alias("t")).filter(F.size("t") > 0)
 
 
 @query(UNIQ + "SELECT doc_id, CAST(len(t) AS INTEGER) AS n, md5(array_to_string(t, ' ')) AS digest FROM u")

@@ -48,8 +48,10 @@ def stm_queue(spark, sf_dir):
     """A queue drained in batches of some files, each handled by a function."""
     where = scratch(spark, "queue")
     save = lambda b, n: b.filter("value > 100").write.mode("overwrite").parquet(f"{where}/done/batch={n}")
-    flows.each_batch(flows.read_stream(spark, sf_dir, "events.parquet", flows.TRIGGERS["bulk"][1]), where, save)
-    return spark.read.parquet(f"{where}/done").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
+    table(spark, sf_dir, "events").repartition(12, "event_id").write.parquet(f"{where}/queue")  # many files, several batches
+    stream = flows.read_stream(spark, f"{where}/queue", "*.parquet", 5)
+    flows.each_batch(stream, where, save)
+    return flows.read_batches(spark, stream.schema, f"{where}/done").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT user_id, ts FROM events WHERE ts > TIMESTAMP '2024-01-20'")

@@ -63,8 +63,8 @@ def read_history(spark: SparkSession, path) -> DataFrame:
 
 
 def read_pages(spark: SparkSession, path, item: str) -> DataFrame:
-    """Items of landed API pages `{"results": [...]}`; item is the DDL of one."""
-    return spark.read.schema(f"results array<struct<{item}>>").option("multiLine", True).json(path).select(F.explode("results").alias("r")).select("r.*")
+    """Items of landed API pages `{"results": [...]}`, one on a line; item is the DDL of one."""
+    return spark.read.schema(f"results array<struct<{item}>>").json(path).select(F.explode("results").alias("r")).select("r.*")
 
 
 def untag(c: Column) -> Column:

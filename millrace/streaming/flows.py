@@ -47,15 +47,27 @@ def dedup(stream: DataFrame, keys: list[str], time: str, late: str, where: str)
 
 def latest_state(stream: DataFrame, aggregate: Callable[[DataFrame], DataFrame], where: str) -> DataFrame:
     """A running aggregate; each batch leaves a table of its own, so an interrupted one leaves the last whole."""
-    seen: list[int] = []
 
     def save(batch: DataFrame, n: int) -> None:
         batch.write.mode("overwrite").parquet(f"{where}/at/{n}")
-        seen.append(n)
 
     out = aggregate(stream)
     each_batch(out, where, save, "complete")
-    return out.sparkSession.read.schema(out.schema).parquet(f"{where}/at/{seen[-1]}")
+    spark = out.sparkSession
+    done = [int(f.getPath().getName()) for f in listed(spark, f"{where}/at") if listed(spark, f"{f.getPath().toString()}/_SUCCESS")]
+    return spark.read.schema(out.schema).parquet(f"{where}/at/{max(done)}") if done else spark.createDataFrame([], out.schema)
+
+
+def listed(spark, where: str) -> list:
+    """What lies under a path; nothing if it is not there."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return list(fs.listStatus(path)) if fs.exists(path) else []
+
+
+def read_batches(spark, schema, where: str) -> DataFrame:
+    """The tables that batches have left under a folder as one; empty if there was no batch."""
+    return spark.read.schema(schema).parquet(f"{where}/*") if listed(spark, where) else spark.createDataFrame([], schema)
 
 
 def windowed(stream: DataFrame, keys: list[str], time: str, size: str, slide: str | None, late: str, where: str, **aggs) -> DataFrame:
@@ -82,8 +94,7 @@ def split_bad(stream: DataFrame, checks: dict, where: str) -> tuple[DataFrame, D
     each_batch(stream, where, save)
     spark = stream.sparkSession
     good, bad = sinks.quarantine(spark.createDataFrame([], stream.schema), checks)
-    read = lambda df, side: spark.read.schema(df.schema).parquet(f"{where}/{side}/*")
-    return read(good, "good"), read(bad, "bad")
+    return read_batches(spark, good.schema, f"{where}/good"), read_batches(spark, bad.schema, f"{where}/bad")
 
 
 def redrive(bad: DataFrame, tries: str, most: int = 3) -> tuple[DataFrame, DataFrame]:

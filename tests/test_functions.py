@@ -168,3 +168,48 @@ def test_zip_and_constants(spark, tmp_path):
     assert readers.code_list(spark, {1: "one"}).first()["code"] == "1"
     assert one(spark, dates.congress_range(F.lit(2021), F.lit(2024))) == [117, 118]
     assert one(spark, dates.on_date(F.lit("1/2/2024"), "2024-01-02")) and not one(spark, dates.on_date(F.lit("soon"), "2024-01-02"))
+
+
+def test_other_names_and_nicknames_reach_the_scores(spark):
+    from pyspark.sql import functions as F
+
+    from millrace.functions import similarity
+
+    rows = [("Bob Roe", "Robert", "", "Roe", "Robert Roe", ["R. Roe", "Bobby Roe"]), ("Bobby Roe", "Robert", "", "Roe", "Robert Roe", ["R. Roe", "Bobby Roe"]), ("Ann Poe", "Robert", "", "Roe", "Robert Roe", [])]
+    df = spark.createDataFrame(rows, "name string, first string, middle string, last string, ref string, alts array<string>")
+    house = similarity.house_scorer({"robert": ["bob", "rob"]})
+    got = df.select(house("name", "first", "middle", "last", "ref", "alts").alias("house"), similarity.house_score("name", "first", "middle", "last", "ref").alias("plain"), similarity.senate_score("name", "ref", "alts").alias("senate"), similarity.filing_score("name", "ref", "alts").alias("filing")).collect()
+    assert got[0]["house"] == 1.0 > got[0]["plain"] and got[1]["house"] == got[1]["senate"] == 1.0 and got[1]["filing"] == 0.95
+    assert all(got[2][c] < 0.85 for c in ("house", "senate", "filing"))
+    assert df.select(F.round(similarity.sim_ratio("name", "ref"), 3)).count() == 3
+
+
+def test_fuzzy_join_beyond_a_short_list(spark, monkeypatch):
+    """A list longer than may be broadcast gives the same matches, dealt in blocks, and by shared words."""
+    from pyspark.sql import functions as F
+
+    from millrace.functions import similarity
+    from millrace.operators import joins
+
+    ref = spark.range(300).select(F.col("id").alias("ref_id"), F.concat(F.lit("Ann Number"), F.col("id").cast("string"), F.lit(" Roe")).alias("ref_name"))
+    left = spark.range(12).select(F.col("id").alias("k"), F.concat(F.lit("Ann Number"), (F.col("id") * 7).cast("string"), F.lit(" Roes")).alias("name"))
+    best = lambda **kw: {r["k"]: r["ref_id"] for r in joins.best_match(left, ref, similarity.senate_score("name", "ref_name"), "k", "ref_id", 0.85, **kw).collect()}
+    want = best()
+    assert want == {k: 7 * k for k in range(12)} == best(names=(F.col("name"), F.col("ref_name")))
+    monkeypatch.setattr(joins, "SMALL_ROWS", 40)
+    assert best() == want and joins.with_all(left, ref).count() == 12 * 300
+
+
+def test_running_state_outlives_a_drain_with_nothing_new(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from millrace.streaming import flows
+
+    spark.range(20).select((F.col("id") % 3).alias("k")).write.parquet(str(tmp_path / "in"))
+    count = lambda s: s.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+    stream = lambda: flows.read_stream(spark, str(tmp_path / "in"), "*.parquet", 1)
+    first = sorted(map(tuple, flows.latest_state(stream(), count, str(tmp_path / "state")).collect()))
+    assert first == [(0, 7), (1, 7), (2, 6)]
+    assert sorted(map(tuple, flows.latest_state(stream(), count, str(tmp_path / "state")).collect())) == first
+    good, bad = flows.split_bad(stream().filter("k > 9"), {"k": F.col("k") > 0}, str(tmp_path / "split"))
+    assert good.count() == bad.count() == 0
