@@ -13,7 +13,6 @@ two, which need no padding.
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from functools import lru_cache
 
@@ -28,19 +27,14 @@ from .base import materialize
 WINDOW, END_ID = 1024, 0
 #: Remainders that are packed together in one task.
 GROUP_PIECES = 4000
-#: Entries of a worker's table of words already encoded; it starts anew when full.
-CACHE_WORDS = 300_000
-
-_ODD = re.compile(r" \s")
 
 
 class ByteBpe:
     """Ids of a byte-level BPE vocabulary, as the `tokenizers` library gives them for the same vocabulary.
 
-    A space before a word always starts a token, unless white space follows it,
-    so texts are cut there and each distinct word is encoded once.  Texts with
-    runs of white space, or with the vocabulary's own special string, take the
-    plain path.
+    The vocabulary's own special string becomes its own id; all else is encoded a
+    text at a time.  A table of words already met costs more than it saves where
+    most words are rare.
     """
 
     special = "<|endoftext|>"
@@ -53,29 +47,13 @@ class ByteBpe:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encode = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.special_id = len(ranks)
-        self.known: dict[str, tuple[int, ...]] = {}
 
     def ids(self, text: str) -> list[int]:
-        if not text:
-            return []
-        if self.special in text:
-            out: list[int] = []
-            for k, part in enumerate(text.split(self.special)):
-                out += ([self.special_id] if k else []) + self.ids(part)
-            return out
-        if _ODD.search(text):
-            return self.encode(text)
-        known, encode = self.known, self.encode
-        head, *rest = text.split(" ")
-        out = encode(head)
-        for w in rest:
-            try:
-                out += known[w]
-            except KeyError:
-                if len(known) >= CACHE_WORDS:
-                    known.clear()
-                known[w] = got = tuple(encode(" " + w))
-                out += got
+        head, *rest = text.split(self.special)
+        out = self.encode(head)
+        for part in rest:
+            out.append(self.special_id)
+            out += self.encode(part)
         return out
 
 
