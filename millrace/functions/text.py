@@ -42,8 +42,13 @@ SYNONYMS = {
     "covid": ["covid-19", "coronavirus"],
     "coronavirus": ["covid", "covid-19"],
 }
-#: Words after a company's name that are no part of it.
-COMPANY_SUFFIXES = "inc. inc corp. corp corporation llc ltd. ltd limited co. co company group holdings technologies systems solutions motors airlines bank financial capital".split()
+#: Words after a company's name that are no part of it; a dot after them goes with the punctuation.
+COMPANY_SUFFIXES = ("inc", "corp", "corporation", "llc", "ltd", "limited", "co", "company", "group", "holdings", "technologies", "systems", "solutions", "motors", "airlines", "bank", "financial", "capital")
+#: Words that are no keywords.
+COMMON_WORDS = (
+    "the", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "a", "an", "is", "are", "was", "were", "be", "been", "being", "have", "has",
+    "had", "do", "does", "did", "will", "would", "could", "should", "may", "might", "can", "this", "that", "these", "those", "i", "you", "he", "she", "it", "we", "they",
+)
 #: Tickers of fewer than three letters that count.
 SHORT_TICKERS = ("BA", "GE", "GM", "AT", "T")
 
@@ -111,11 +116,28 @@ def synonym_closure(xs, table: dict[str, list[str]] = SYNONYMS) -> Column:
 
 
 def company_name(x) -> Column:
-    """A company's name without suffixes and punctuation."""
-    t = F.lower(F.trim(_c(x)))
-    for s in COMPANY_SUFFIXES:
-        t = F.trim(F.regexp_replace(t, r"\b" + s.replace(".", r"\.") + r"\b", ""))
-    return F.trim(F.regexp_replace(F.regexp_replace(t, r"[^\w\s]", " "), r"\s+", " "))
+    """A company's name in lower case, its suffixes, punctuation and white space made single spaces."""
+    return F.trim(F.regexp_replace(F.lower(_c(x)), r"(?:\b(?:" + "|".join(COMPANY_SUFFIXES) + r")\b|[^\w\s]|\s)+", " "))
+
+
+def company_in(x, name) -> Column:
+    """What a lower-case text holds of a lower-case name: the whole, else a first word of 4 to 15 letters, else null; names of up to three letters are not looked for."""
+    t, whole = _c(x), _c(name)
+    first = F.substring_index(whole, " ", 1)
+    return F.when(F.length(whole) <= 3, None).when(F.contains(t, whole), whole).when(F.length(first).between(4, 15) & F.contains(t, first), first)
+
+
+def key_terms(xs) -> Column:
+    """Distinct words of two letters or more of the phrases, and the phrases of up to 25 characters."""
+    words = F.flatten(F.transform(_c(xs), lambda p: F.transform(F.split(p, r"[ \t\n\r\f]+"), lambda w: F.regexp_replace(F.lower(w), r"\W", ""))))
+    return F.array_distinct(F.concat(F.filter(words, lambda w: F.length(w) >= 2), F.filter(_c(xs), lambda p: F.length(p) <= 25)))
+
+
+def without_common(xs, tickers=None) -> Column:
+    """Terms of 3 to 50 characters that are no common words, and tickers (an array in lower case) of two."""
+    plain = lambda w: (F.length(w) > 2) & ~w.isin(*COMMON_WORDS)
+    listed = (lambda w: F.array_contains(_c(tickers), w) & (F.length(w) >= 2)) if tickers is not None else lambda w: F.lit(False)
+    return F.filter(_c(xs), lambda w: (plain(w) | listed(w)) & (F.length(w) <= 50))
 
 
 def ticker_candidates(x) -> Column:
@@ -124,7 +146,7 @@ def ticker_candidates(x) -> Column:
     return F.filter(found, lambda w: (F.length(w) >= 3) | w.isin(*SHORT_TICKERS))
 
 
-def ranked_keywords(xs, tickers, companies, most: int = 20) -> Column:
-    """Tickers, companies and words of up to three letters first, in their order, then the rest."""
-    first = lambda w: F.array_contains(_c(tickers), w) | F.array_contains(_c(companies), w) | (F.length(w) <= 3)
+def ranked_keywords(xs, tickers, companies, most: int = 20, short: int = 10) -> Column:
+    """Tickers, companies and words of up to `short` letters first, in their order, then the rest."""
+    first = lambda w: F.array_contains(_c(tickers), w) | F.array_contains(_c(companies), w) | (F.length(w) <= short)
     return F.slice(F.concat(F.filter(_c(xs), first), F.filter(_c(xs), lambda w: ~first(w))), 1, most)

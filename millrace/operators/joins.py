@@ -42,13 +42,15 @@ def attach_list(parent: DataFrame, child: DataFrame, parent_key: str, child_key:
     return parent.join(lists, parent[parent_key] == F.col("__k"), "left").drop("__k").withColumn(count, F.coalesce(count, F.lit(0)))
 
 
-def orphans(child: DataFrame, batch: DataFrame, store: DataFrame, child_key: str, parent_key: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Children of a parent in the batch, of one in the store only, and of none."""
-    same = lambda p: child[child_key] == p[parent_key]
-    here = child.join(batch, same(batch), "left_semi")
-    rest = child.join(batch, same(batch), "left_anti")
-    match = rest[child_key] == store[parent_key]
-    return here, rest.join(store, match, "left_semi"), rest.join(store, match, "left_anti")
+def routed(child: DataFrame, batch: DataFrame, store: DataFrame, child_key: str, parent_key: str, route: str = "route") -> DataFrame:
+    """The children with their route: the parent is in the 'batch', in the 'store' only, or nowhere ('orphan', null keys too).
+
+    One join on the parents' keys, each with where it is.
+    """
+    place = lambda p, n: p.select(F.col(parent_key).alias("__k"), F.lit(n).alias("__place"))
+    parents = place(batch, 0).unionByName(place(store, 1)).groupBy("__k").agg(F.min("__place").alias("__place"))
+    out = child.join(parents, child[child_key] == F.col("__k"), "left")
+    return out.withColumn(route, F.when(F.col("__place") == 0, "batch").when(F.col("__place") == 1, "store").otherwise("orphan")).drop("__k", "__place")
 
 
 def link_children(df: DataFrame, key: str, parent: str) -> DataFrame:

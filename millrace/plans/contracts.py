@@ -55,12 +55,8 @@ FROM lineitem LEFT JOIN (SELECT * FROM orders) ON o_orderkey = l_orderkey GROUP
 def join_orphan(spark, sf_dir):
     """Sub-awards whose award is in the batch, in the store, or nowhere."""
     o = awards(spark, sf_dir).select("o_orderkey")
-    parts = joins.orphans(lines(spark, sf_dir).select("l_orderkey"), o.filter("o_orderkey % 3 = 0"), o.filter("o_orderkey % 3 = 1"), "l_orderkey", "o_orderkey")
-    out = None
-    for name, p in zip(("batch", "store", "orphan"), parts, strict=True):
-        p = p.groupBy(F.lit(name).alias("route")).agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("parents"))
-        out = p if out is None else out.unionByName(p)
-    return out
+    out = joins.routed(lines(spark, sf_dir).select("l_orderkey"), o.filter("o_orderkey % 3 = 0"), o.filter("o_orderkey % 3 = 1"), "l_orderkey", "o_orderkey")
+    return out.groupBy("route").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("l_orderkey").alias("parents"))
 
 
 IDV = "SELECT 'CONT_IDV_' || o_orderkey || '_' || o_orderstatus AS id, CASE WHEN o_orderkey % 10 <> 0 THEN 'CONT_IDV_' || (o_orderkey - o_orderkey % 10) || '_' || o_orderstatus END AS parent FROM orders"

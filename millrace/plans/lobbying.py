@@ -49,8 +49,10 @@ EDGES = f"""(SELECT DISTINCT doc_id, parameter_type, trim(v) AS parameter_value,
   UNION ALL SELECT doc_id, n_chars, 'name', unnest({WORDS}) FROM documents) WHERE v IS NOT NULL AND trim(v) <> '') e"""
 
 
-def edges(spark, sf_dir) -> DataFrame:
-    return search.edges(filings(spark, sf_dir), "doc_id", ["n_chars"], lang=F.col("lang"), source=F.col("source"), name=F.col("words"))
+def edges(spark, sf_dir, *kinds: str) -> DataFrame:
+    """Edges of the parameters asked for, or of all; only their columns are read."""
+    every = {"lang": F.col("lang"), "source": F.col("source"), "name": F.col("words")}
+    return search.edges(filings(spark, sf_dir), "doc_id", ["n_chars"], **{k: c for k, c in every.items() if not kinds or k in kinds})
 
 
 @query(f"SELECT parameter_type, parameter_value, count(*) AS filings, max(n_chars) AS longest FROM {EDGES} GROUP BY 1, 2")
@@ -62,8 +64,8 @@ def qry_lda_param(spark, sf_dir):
 @query("SELECT doc_id FROM documents WHERE lang = 'en' AND source IN ('src1', 'src2', 'src3') AND n_chars > 500")
 def join_intersect(spark, sf_dir):
     """Filings that all parameters name: a chain of semi-joins over the edges."""
-    e = edges(spark, sf_dir)
-    return joins.intersect_all([e.filter("parameter_type = 'lang' and parameter_value = 'en'"), e.filter("parameter_type = 'source' and parameter_value in ('src1', 'src2', 'src3')"), e.filter("n_chars > 500")], "doc_id")
+    lang, source = edges(spark, sf_dir, "lang"), edges(spark, sf_dir, "source")
+    return joins.intersect_all([lang.filter("parameter_value = 'en'"), source.filter("parameter_value in ('src1', 'src2', 'src3')"), lang.filter("n_chars > 500")], "doc_id")
 
 
 @query("SELECT doc_id, source, n_chars FROM documents WHERE source = 'src5' AND n_chars BETWEEN 300 AND 3000")
@@ -80,7 +82,7 @@ def qry_lda_form(spark, sf_dir):
 @query(f"SELECT parameter_value AS value FROM (SELECT DISTINCT parameter_value FROM {EDGES} WHERE parameter_type = 'name' AND lower(parameter_value) LIKE 'th%') ORDER BY lower(value), value LIMIT 20")
 def qry_autocomplete(spark, sf_dir):
     """The first twenty names with a prefix: a top-k report."""
-    return search.autocomplete(edges(spark, sf_dir).filter("parameter_type = 'name'"), "parameter_value", "th", 20)
+    return search.autocomplete(edges(spark, sf_dir, "name"), "parameter_value", "th", 20)
 
 
 @query("SELECT DISTINCT source AS value, lower(source) AS key FROM documents ORDER BY 2, 1")

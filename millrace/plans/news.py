@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import strings, text
 from ..operators import search
+from ..operators.joins import small
 from ..session import table
 from ..sources import readers
 from .registry import query
@@ -105,34 +106,47 @@ def txt_company(spark, sf_dir):
     return table(spark, sf_dir, "customer").select("c_custkey", text.company_name(raw).alias("name"))
 
 
-@query("WITH w AS (SELECT DISTINCT doc_id, unnest(string_split_regex(text, '[^A-Za-z0-9_]+')) AS t FROM documents) SELECT doc_id, lower(t) AS ticker FROM w WHERE regexp_matches(t, '^[A-Z]{1,5}$') AND (length(t) >= 3 OR t IN ('BA', 'GE', 'GM', 'AT', 'T'))")
+TICKERS = "SELECT DISTINCT CASE n_nationkey % 6 WHEN 0 THEN 'THE' WHEN 1 THEN 'WAS' WHEN 2 THEN 'A' WHEN 3 THEN 'AT' WHEN 4 THEN 'T' ELSE n_name END AS ticker FROM nation"
+COMPANIES = "SELECT DISTINCT CASE n_nationkey % 4 WHEN 0 THEN 'thinger' WHEN 1 THEN 'with ' || lower(n_name) WHEN 2 THEN 'of the' ELSE 'the ' || lower(n_name) END AS name FROM nation"
+
+
+def _listed(spark, sf_dir, sql: str) -> DataFrame:
+    """A short list made of the nations; checked before it is broadcast."""
+    return small(spark.sql(sql.replace("FROM nation", "FROM {nation}"), nation=table(spark, sf_dir, "nation")))
+
+
+@query(f"WITH w AS (SELECT DISTINCT doc_id, unnest(string_split_regex(text, '[^A-Za-z0-9_]+')) AS t FROM documents) SELECT doc_id, lower(t) AS ticker FROM w WHERE regexp_matches(t, '^[A-Z]{{1,5}}$') AND (length(t) >= 3 OR t IN ('BA', 'GE', 'GM', 'AT', 'T')) AND t IN ({TICKERS})")
 def txt_tickers(spark, sf_dir):
-    """Words of capitals that may be tickers."""
-    return articles(spark, sf_dir).select("doc_id", F.explode(F.transform(text.ticker_candidates("text"), F.lower)).alias("ticker"))
+    """Words of capitals that are in the list of tickers."""
+    found = articles(spark, sf_dir).select("doc_id", F.explode(text.ticker_candidates("text")).alias("ticker"))
+    return found.join(_listed(spark, sf_dir, TICKERS), "ticker", "left_semi").select("doc_id", F.lower("ticker").alias("ticker"))
 
 
-@query("SELECT doc_id, r_name AS company FROM documents, (SELECT lower(left(n_name, 2)) || 'r' AS r_name FROM nation UNION SELECT 'thinger') WHERE contains(lower(text), r_name)")
+@query(f"""WITH c AS (SELECT name, split_part(name, ' ', 1) AS head FROM ({COMPANIES}) WHERE length(name) > 3)
+SELECT DISTINCT doc_id, CASE WHEN contains(lower(text), name) THEN name ELSE head END AS company FROM documents, c WHERE contains(lower(text), name) OR length(head) BETWEEN 4 AND 15 AND contains(lower(text), head)""")
 def txt_companies(spark, sf_dir):
-    """Names of a short list that a text holds; the list is checked before it is broadcast."""
-    from ..operators.joins import small
-
-    names = table(spark, sf_dir, "nation").select(F.concat(F.lower(F.left("n_name", F.lit(2))), F.lit("r")).alias("company")).union(spark.range(1).select(F.lit("thinger"))).distinct()
-    return articles(spark, sf_dir).join(small(names), F.contains(F.lower("text"), F.col("company"))).select("doc_id", "company")
+    """Names of a short list that a text holds, whole or by their first word."""
+    a = articles(spark, sf_dir).select("doc_id", F.lower("text").alias("low"))
+    held = text.company_in("low", "name")
+    return a.join(_listed(spark, sf_dir, COMPANIES), held.isNotNull()).select("doc_id", held.alias("company")).distinct()
 
 
-@query(UNIQ + "SELECT doc_id, md5(array_to_string(list_concat(list_filter(t, lambda w: w = 'the' OR w = 'ing' OR length(w) <= 3), list_filter(t, lambda w: NOT (w = 'the' OR w = 'ing' OR length(w) <= 3)))[1:20], ' ')) AS digest FROM u")
+@query(UNIQ + "SELECT doc_id, md5(array_to_string(list_concat(list_filter(t, lambda w: w = 'the' OR w = 'ing' OR length(w) <= 10), list_filter(t, lambda w: NOT (w = 'the' OR w = 'ing' OR length(w) <= 10)))[1:20], ' ')) AS digest FROM u")
 def topk_keywords(spark, sf_dir):
     """Tickers, companies and short words first, twenty at most."""
     k = text.ranked_keywords("t", F.array(F.lit("the")), F.array(F.lit("ing")))
     return uniques(spark, sf_dir).select("doc_id", _digest(k).alias("digest"))
 
 
-@query("SELECT doc_id, count(*) AS n_terms FROM (SELECT DISTINCT doc_id, unnest(string_split_regex(lower(text), '[.,;:!?\n|]+')) AS p FROM documents) WHERE length(trim(p, ' ')) BETWEEN 4 AND 40 GROUP BY doc_id")
+@query(f"""WITH p AS (SELECT DISTINCT doc_id, trim(p, ' ') AS p FROM (SELECT doc_id, unnest(string_split_regex(lower(text), '[.,;:!?\n|]+')) AS p FROM documents) WHERE length(trim(p, ' ')) BETWEEN 4 AND 40),
+w AS (SELECT doc_id, unnest(string_split_regex(p, '[ \t\r\f]+')) AS w FROM p), k AS (SELECT doc_id, regexp_replace(w, '\\W', '', 'g') AS k FROM w UNION SELECT doc_id, p FROM p WHERE length(p) <= 25)
+SELECT doc_id, count(*) AS n_terms, md5(string_agg(k, '|' ORDER BY k)) AS digest FROM k WHERE length(k) BETWEEN 3 AND 50 AND k NOT IN {text.COMMON_WORDS} GROUP BY doc_id""")
 def txt_keyterms(spark, sf_dir):
-    """Phrases between punctuation, of a certain length."""
-    p = F.array_distinct(F.split(F.lower("text"), "[.,;:!?\n|]+"))
-    k = F.size(F.filter(p, lambda x: F.length(F.trim(x)).between(4, 40)))
-    return articles(spark, sf_dir).select("doc_id", k.cast("bigint").alias("n_terms")).filter("n_terms > 0")
+    """Terms of the phrases between punctuation, common words left out."""
+    p = F.filter(F.transform(F.split(F.lower("text"), "[.,;:!?\n|]+"), lambda x: F.trim(x)), lambda x: F.length(x).between(4, 40))
+    # one generated row each, so that the terms are taken once
+    t = articles(spark, sf_dir).select("doc_id", F.explode(F.array(text.without_common(text.key_terms(p)))).alias("t")).filter(F.size("t") > 0)
+    return t.select("doc_id", F.size("t").cast("bigint").alias("n_terms"), _digest(F.array_sort("t"), "|").alias("digest"))
 
 
 @query("SELECT min(doc_id) AS doc_id, md5(text) AS article FROM documents GROUP BY text")

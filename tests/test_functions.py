@@ -74,6 +74,16 @@ def test_text(spark):
     assert one(spark, text.phrases(F.array(F.lit("a")))) == []
     assert one(spark, text.with_possessives(F.lit("walmart's sale"))) == "walmart's sale walmart sale walmart's walmart sale"
     assert one(spark, text.company_name(F.lit("Acme, Inc."))) == "acme"
+    assert one(spark, text.company_name(F.lit("  Bank of Co-op Motors Co. (Holdings) "))) == "of op"
+    assert one(spark, text.company_name(F.lit("Incorp Group LLC"))) == "incorp"
+    held = lambda name: one(spark, text.company_in(F.lit("we asked general engines and it"), F.lit(name)))
+    assert [held(x) for x in ("general engines", "general motors", "and it", "it", "and co", "tesla")] == ["general engines", "general", "and it", None, None, None]
+    terms = one(spark, text.key_terms(F.array(F.lit("The rate's a rise"), F.lit("x" * 26))))
+    assert terms == ["the", "rates", "rise", "x" * 26, "The rate's a rise"]
+    short = F.array(*map(F.lit, ["the", "at", "ge", "rise", "y" * 51]))
+    assert one(spark, text.without_common(short)) == ["rise"] and one(spark, text.without_common(short, F.array(F.lit("ge")))) == ["ge", "rise"]
+    listed = F.array(*map(F.lit, ["international", "rate", "acme holdings x"]))
+    assert one(spark, text.ranked_keywords(listed, F.array(F.lit("t")), F.array(F.lit("acme holdings x")))) == ["rate", "acme holdings x", "international"]
     assert one(spark, strings.pick_format(F.array(F.lit("a.PDF"), F.lit("b.htm")))) == "b.htm"
 
 
