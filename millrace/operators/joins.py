@@ -105,12 +105,13 @@ def sharing_a_word(left: DataFrame, ref: DataFrame, left_name: Column, ref_name:
 def best_match(left: DataFrame, ref: DataFrame, score: Column, left_id: str, ref_order: str, accept: float, names: tuple[Column, Column] | None = None) -> DataFrame:
     """For each left row the reference row of the highest score, the first in ref_order among equals, if it is accepted.
 
-    Every left row is held against the whole list, or, given the two names, against
-    the rows that share a word with it; only the best survives the partial aggregation.
+    For scores of any kind: every left row is held against the whole list, or, given the
+    two names, against the rows that share a word with it; only the best survives the
+    partial aggregation.  Names are matched by fuzzy.nearest, which scores few pairs.
     """
     pairs = sharing_a_word(left, ref, *names, left_id, ref_order) if names else with_all(left, ref)
     pairs = pairs.withColumn("score", score).filter(F.col("score") >= accept)
-    best = F.max_by(F.struct(*[F.col(c) for c in pairs.columns]), F.struct("score", -F.col(ref_order)))
+    best = F.min_by(F.struct(*[F.col(c) for c in pairs.columns]), F.struct(-F.col("score"), F.col(ref_order)))
     return pairs.groupBy(F.col(left_id).alias("__id")).agg(best.alias("b")).select("b.*")
 
 
