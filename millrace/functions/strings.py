@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import markup
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -104,12 +106,8 @@ def amount_range(x) -> Column:
 
 
 def clean_html(x) -> Column:
-    """Markup off, the common entities decoded, white space squeezed."""
-    t = F.regexp_replace(_c(x), r"(?is)<(script|style)\b.*?</\1\s*>", " ")
-    t = F.regexp_replace(t, r"<[^>]*>", " ")
-    for a, b in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"), ("&amp;", "&")):
-        t = F.replace(t, F.lit(a), F.lit(b))
-    return F.trim(F.regexp_replace(t, r"\s+", " "))
+    """Markup off, character references decoded, white space squeezed."""
+    return markup.text_of(_c(x))
 
 
 def pick_format(urls, order=("htm", "html", "xml", "pdf")) -> Column:

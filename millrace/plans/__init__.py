@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ("stocks", "contracts", "bills", "lobbying", "finance", "news", "landing", "streams", "extensions")
+MODULES = ("stocks", "contracts", "bills", "lobbying", "finance", "news", "landing", "reports", "streams", "extensions")
 
 
 def load():

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sinks
 from ..session import scratch, table
-from ..sources import readers
+from ..sources import readers, trade_reports
 from .registry import query
 
 
@@ -101,7 +101,7 @@ def src_text_trades(spark, sf_dir):
     """Trades in a report's text."""
     body = F.concat(F.lit("ID Owner Asset Transaction\nSP Acme"), F.col("s_suppkey").cast("string"), F.lit(" (ABC)\n[ST] P 01/02/2024 01/05/2024 $1,001 - $15,000\nF S: New\nS O: Trust\n"))
     s = table(spark, sf_dir, "supplier").select("s_suppkey", F.replace(body, F.lit(" (ABC)\n[ST]"), F.lit(" (ABC) [ST]")).alias("text"))
-    return readers.text_trades(s, "s_suppkey", "text").select("id", "n", "asset", "symbol", "kind", "amount", "owner")
+    return trade_reports.trade_reports(s, "s_suppkey", "text").select("id", "n", "asset", "symbol", "kind", "amount", "owner")
 
 
 @query("SELECT code, name, n FROM (SELECT CAST(r_regionkey AS VARCHAR) AS code, r_name AS name FROM region) JOIN (SELECT CAST(n_regionkey AS VARCHAR) AS k, count(*) AS n FROM nation GROUP BY 1) ON code = k")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import io
-import re
 import zipfile
 from collections.abc import Iterator
 
@@ -12,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import markup
 from ..functions.strings import norm
 
 
@@ -93,11 +93,8 @@ def parse_bills(df: DataFrame, xml: str = "xml", dated: tuple[str, str] | None =
 
 
 def html_rows(c: Column) -> Column:
-    """array<array<string>>: cells of the first table body's rows, without markup."""
-    body = F.coalesce(F.nullif(F.regexp_extract(c, r"(?is)<tbody[^>]*>(.*?)</tbody>", 1), F.lit("")), c)
-    cell = lambda t: F.trim(F.regexp_replace(F.regexp_replace(t, "<[^>]*>", " "), r"\s+", " "))
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr[^>]*>(.*?)</tr>"), F.lit(1))
-    return F.transform(rows, lambda r: F.transform(F.regexp_extract_all(r, F.lit(r"(?is)<t[dh][^>]*>(.*?)</t[dh]>"), F.lit(1)), cell))
+    """array<array<string>>: texts of the cells of all table bodies' rows, entities decoded; without a body, of all rows."""
+    return markup.rows_of(c)
 
 
 def html_field(c: Column, patterns: list[str]) -> Column:
@@ -139,49 +136,6 @@ def read_zip(spark: SparkSession, path, suffix: str) -> DataFrame:
     return zip_members(spark.read.format("binaryFile").load(path), "path", "content", suffix)
 
 
-_CODE, _DATE = re.compile(r"\[([A-Z]{2,3})\]"), re.compile(r"\b(\d{1,2}/\d{1,2}/\d{2,4})\b")
-_MONEY = re.compile(r"\$[\d,]+(?:\.\d+)?(?:\s*-\s*\$[\d,]+(?:\.\d+)?)?")
-_META = re.compile(r"^\s*(F\s*S|S\s*O|D|L|C)\s*:")
-_OWNER = re.compile(r"^(SP|JT|DC)\b")
-
-
-def trades_of(text: str) -> list[dict]:
-    """Trades of a report's text: a trade begins on a line with an asset code and a date or amount; lines follow until metadata or the next one."""
-    lines = [x.strip() for x in (text or "").splitlines() if x.strip()]
-    starts = [k for k, x in enumerate(lines) if _CODE.search(x) and (_DATE.search(x) or "$" in x or _OWNER.match(x)) and not _META.match(x)]
-    out = []
-    for k, at in enumerate(starts):
-        end = starts[k + 1] if k + 1 < len(starts) else len(lines)
-        stop = next((j for j in range(at + 1, end) if _META.match(lines[j])), end)
-        head = []
-        for j in range(at - 1, max(-1, at - 4), -1):
-            if _META.match(lines[j]) or _DATE.search(lines[j]) or "$" in lines[j] or (k and j < starts[k - 1] + 1) or re.search(r"owner|asset|transaction", lines[j], re.I):
-                break
-            head.insert(0, lines[j])
-        body = " ".join(head + lines[at:stop])
-        dates, money = _DATE.findall(body), _MONEY.search(body)
-        kind = re.search(r"\]\s*(?:\([^)]*\)\s*)?([PSE])\b(?:\s*\(partial\))?", body)
-        owner = _OWNER.match(lines[at])
-        name = re.sub(r"^(SP|JT|DC)\s+", "", body[: body.index("[")]).strip()
-        ticker = re.search(r"\(([A-Z]{1,5})\)", name)
-        if dates and kind and money and (name or ticker):
-            out.append({"owner": owner[1] if owner else "SELF", "asset": re.sub(r"\s*\([A-Z]{1,5}\)\s*$", "", name), "symbol": ticker[1] if ticker else "OTHER", "code": _CODE.search(body)[1], "kind": kind[1], "traded": dates[0], "filed": dates[1] if len(dates) > 1 else dates[-1], "amount": money[0]})
-    return out
-
-
-def text_trades(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One row for each trade found in free text; the line rules keep state, so they run as an Arrow-fed function."""
-    kind = df.schema[id_col].dataType.simpleString()
-    names = ["owner", "asset", "symbol", "code", "kind", "traded", "filed", "amount"]
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            rows = [(i, n, *[t[c] for c in names]) for i, text in zip(part["id"], part["text"], strict=True) for n, t in enumerate(trades_of(text))]
-            yield pd.DataFrame(rows, columns=["id", "n", *names])
-
-    return df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInPandas(run, f"id {kind}, n int, " + ", ".join(f"{c} string" for c in names))
-
-
 def code_list(spark: SparkSession, codes: dict) -> DataFrame:
     """A constant list of codes and names."""
     return spark.createDataFrame([(str(k), v) for k, v in codes.items()], "code string, name string")

@@ -151,9 +151,6 @@ def test_readers(spark):
     assert one(spark, readers.untag(F.lit('{"N":"62"}'))) == "62" and one(spark, readers.untag(F.lit("x"))) == "x"
     cell = one(spark, readers.footnoted(F.lit("100 (2)"), F.create_map(F.lit(1), F.lit("a"))))
     assert cell["value"] == "100" and cell["footnote"]["explanation"] == ""
-    trades = readers.trades_of("Owner Asset\nSP Acme Corp\n(ABC) [ST] P 01/02/2024 01/05/2024 $1,001 - $15,000\nF S: New\nJT Big [OP] S (partial) 02/03/2024 02/04/2024 $500\nS O: x\n")
-    assert [(t["owner"], t["symbol"], t["kind"], t["amount"]) for t in trades] == [("SELF", "ABC", "P", "$1,001 - $15,000"), ("JT", "OTHER", "S", "$500")]
-    assert readers.trades_of("") == []
 
 
 def test_metrics_need_two_points(spark):
