@@ -100,7 +100,8 @@ def op8_chat(spark, sf_dir: str) -> DataFrame:
     probe = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(PROBE_TEXT).alias("text"))
     out = format_chats(rows.unionByName(probe))
     turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == F.lit("assistant")), lambda t: t["text"]), "")
+    # what lies under the mask of the rendered text, each span unescaped as the parser does it
+    loss = F.array_join(F.transform("loss_spans", lambda s: unescape(F.substr(F.col("formatted"), s["start"].cast("int"), s["length"].cast("int")))), "")
     return out.select(
         "conv_id",
         F.size("turns").cast("long").alias("n_turns"),

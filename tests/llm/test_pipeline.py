@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from brute import words
+from pyspark.sql import functions as F
 
 from millrace.llm.base import materialize
 from millrace.llm.mixing import mix_sources
@@ -47,6 +48,19 @@ def test_run_and_odd_rows(spark, tmp_path, odd, empty, labels):
         assert out.count() >= 0
 
 
+CLASHES = "predicted score held_out doc copies taken target size source_size component_id class_id n_links n_shingles keys shingles kept n_removed n_spans chunk cell rep id root links start length offset sequence_id doc_tokens text_crc nth node open base p g n x y label_id hash".split()
+
+
+def test_no_column_name_clashes(spark, sf_dir, docs):
+    """Every stage keeps columns that are named like those of the operators, with their values."""
+    now = docs.limit(60).select("*", *[F.lit(f"own {c}").alias(c) for c in CLASHES])
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        now = materialize(stage(spark, now, sf_dir), "stage")
+        assert now.columns == [*docs.columns, *CLASHES]
+        assert all(r[c] == f"own {c}" for r in now.collect() for c in CLASHES)
+    assert corpus_pipeline.STAGES[-1][1](spark, now, sf_dir).count() >= now.count() > 0
+
+
 def test_cut_characters_go_and_replacement_characters_stay(spark):
     """Only what a cut leaves of a character goes, and no two such rests make a new one."""
     common = "".join(f"{k:04d}" for k in range(60))
