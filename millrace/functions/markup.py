@@ -6,12 +6,17 @@ length of a document sets no limit.
 
 from __future__ import annotations
 
+import json
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+#: The named references of HTML 4 and &apos;, as JSON.
+NAMED = json.dumps({k: chr(v) for k, v in name2codepoint.items()} | {"apos": "'"})
+
+
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
@@ -29,7 +34,7 @@ def _character(code: Column) -> Column:
 
 def decode_entities(x: str | Column) -> Column:
     """Text with its character references decoded: decimal, hexadecimal and the named ones of HTML 4; others stay as they are."""
-    names = F.create_map(*[y for k, v in sorted(name2codepoint.items()) for y in (F.lit(k), F.lit(chr(v)))], F.lit("apos"), F.lit("'"))
+    names = F.from_json(F.lit(NAMED), "map<string,string>")  # one literal, folded once, not an expression for each name
     pieces = F.regexp_extract_all(_c(x), F.lit(r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,30});|[^&]+|&"), F.lit(0))
 
     def one(p: Column) -> Column:
