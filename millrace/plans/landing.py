@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators import sinks
 from ..session import scratch, table
-from ..sources import readers, trade_reports
+from ..sources import bill_status, readers, trade_reports
 from .registry import query
 
 
@@ -92,7 +92,7 @@ def src_xml(spark, sf_dir):
     people = F.array_join(F.transform(F.sequence(F.lit(1), "n"), lambda k: F.concat(F.lit("<item><bioguideId>B"), k.cast("string"), F.lit("</bioguideId></item>"))), "")
     tag = F.when(F.col("conv_id") % 2 == 0, "number").otherwise("billNumber")
     xml = F.concat(F.lit('<billStatus xmlns:dc="http://x/"><bill><congress>118</congress><type>hr</type><'), tag, F.lit(">"), F.col("conv_id").cast("string"), F.lit("</"), tag, F.lit("><dc:title>Title &amp; "), F.col("conv_id").cast("string"), F.lit("</dc:title><introducedDate>2024-01-02</introducedDate><cosponsors>"), people, F.lit("</cosponsors></bill></billStatus>"))
-    b = readers.parse_bills(t.select(xml.alias("xml")), dated=("2024-01-01", "2024-12-31"))
+    b = bill_status.parse_bills(t.select(xml.alias("xml")), dated=("2024-01-01", "2024-12-31"))
     return b.select("bill_id", "congress", "bill_number", "title", F.size("cosponsors").alias("cosponsors"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import markup
 from ..session import table
-from ..sources import insider_forms, trade_reports
+from ..sources import bill_status, insider_forms, trade_reports
 from .registry import query
 
 
@@ -171,3 +171,58 @@ def txt_entities(spark, sf_dir):
     """Character references of every kind, by column functions."""
     raw = _t("&eacute;&#8364;&#x1F600; &lt;", F.col("c_custkey"), "&gt; &quot;q&quot; &bogus; & &#", F.col("c_custkey") % 26 + 65, "; A&amp;B")
     return table(spark, sf_dir, "customer").select("c_custkey", markup.decode_entities(raw).alias("text"))
+
+
+# ---------------------------------------------------------------- bill status documents
+
+
+def _bill_xml(spark, sf_dir) -> DataFrame:
+    """A status document for each customer, its orders the actions; every other one in the older form, with a namespace."""
+    k, old = F.col("c_custkey"), F.col("c_custkey") % 2 == 1
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderpriority")
+    vote = _t("<recordedVotes><recordedVote><chamber>House</chamber><rollNumber>", F.col("o_orderkey") % 5, "</rollNumber><sessionNumber>1</sessionNumber></recordedVote></recordedVotes>")
+    action = _t("<item><actionDate>", F.col("day"), "</actionDate><text> Act ", F.col("o_orderpriority"), " </text><type>F</type><links><link><name>l</name><url>u", F.col("o_orderkey"), "</url></link></links>", vote, "</item>")
+    acts = o.select("c_custkey", F.struct("day", "o_orderkey", F.concat(action, action).alias("x")).alias("a")).groupBy("c_custkey").agg(F.array_sort(F.collect_list("a")).alias("acts"))
+    c = table(spark, sf_dir, "customer").join(acts, "c_custkey", "left")
+    person = _t("<item><identifiers><bioguideId>b", k, "</bioguideId></identifiers><firstName>Ann</firstName><lastName>Roe ", k % 7, "</lastName><party>D</party></item>")
+    titles = _t("<titles><item><titleType>Official Title as Introduced</titleType><title>To do ", k, "</title></item>", F.when(k % 3 == 0, _t("<item><titleType>Display Title</titleType><title> Act &amp; ", k, " </title></item>")).otherwise(""), "<item><titleType> </titleType></item></titles>")
+    subjects = F.when(old, _t("<subjects><billSubjects><otherSubjects><item><name>Roads</name><parentSubject><name>Transport</name></parentSubject></item><item><name>Rail ", k, "</name></item></otherSubjects><primarySubjects><name>Taxes</name></primarySubjects></billSubjects><policyArea><name>Area ", k % 4, "</name></policyArea></subjects>")).otherwise(_t("<subjects><legislativeSubjects><item><name>Law ", k, "</name></item><item><name/></item></legislativeSubjects><policyArea><name>Area ", k % 4, "</name></policyArea></subjects>"))
+    summaries = F.when(old, _t("<summaries><billSummaries><item><versionCode>00</versionCode><text>Sum ", k, "</text></item><item><versionCode>1</versionCode></item></billSummaries></summaries>")).otherwise(_t("<summaries><summary><versionCode>07</versionCode><cdata><text>Cdata ", k, "</text></cdata></summary></summaries>"))
+    inner = _t("<item><name>Panel ", k, "</name><systemCode>hs00</systemCode><activities><item><name>Referred</name><date>2024-01-0", k % 9 + 1, "</date></item></activities><subcommittees><item><name>Sub</name></item></subcommittees></item>")
+    committees = F.when(old, _t("<committees><billCommittees>", inner, "</billCommittees></committees>")).otherwise(_t("<committees>", inner, inner, "</committees>"))
+    amendments = _t("<amendments><amendment><number>", k, "</number><type>", F.when(k % 4 < 2, "SAMDT").otherwise("HAMDT"), "</type><sponsors><item><name>Ann</name></item><item><name>Bob</name></item></sponsors><actions><count>x</count><actions><item><text>t</text></item></actions></actions></amendment></amendments>")
+    rest = _t("<textVersions><item><type>Introduced</type><formats><item><url> u", k, " </url></item></formats></item></textVersions><calendarNumbers><item><calendar>Union</calendar><number>", k, "</number></item></calendarNumbers><cboCostEstimates><item><rptTitle>cost</rptTitle></item></cboCostEstimates><committeeReports><committeeReport><citation>H. Rept. ", k, "</citation></committeeReport></committeeReports>", F.when(k % 5 == 0, _t("<laws><item><number>118-", k, "</number><type>Public Law</type></item></laws>")).otherwise("<laws></laws>"), "<notes><", F.when(old, "Item").otherwise("item"), "><text>note</text></", F.when(old, "Item").otherwise("item"), "></notes><relatedBills><item><number>", k + 1, "</number><relationshipDetails><item><type>Related</type></item></relationshipDetails></item></relatedBills>")
+    tag = F.when(old, "billNumber").otherwise("number")
+    xml = _t("<?xml version=\"1.0\"?><billStatus", F.when(old, ' xmlns:dc="http://purl.org/" xmlns="http://x/"').otherwise(""), "><version>3</version><bill><", tag, ">", k, "</", tag, "><congress>118</congress><type>hr</type><introducedDate>2024-0", k % 9 + 1, "-02</introducedDate>", F.when(old, "<lastAction><text>last</text></lastAction>").otherwise("<latestAction><text>latest</text></latestAction>"), titles, "<sponsors>", person, "</sponsors><cosponsors>", person, person, "</cosponsors><actions>", F.coalesce(F.array_join(F.transform("acts", lambda a: a["x"]), ""), F.lit("")), "</actions><recordedVotes><recordedVote><chamber>House</chamber><rollNumber>3</rollNumber><sessionNumber>1</sessionNumber></recordedVote></recordedVotes>", subjects, summaries, committees, amendments, rest, "</bill></billStatus>")
+    return c.select("c_custkey", xml.alias("xml"))
+
+
+@query("""
+WITH acts AS (SELECT DISTINCT o_custkey, strftime(o_orderdate, '%Y-%m-%d') || ' Act ' || o_orderpriority AS act FROM orders),
+lists AS (SELECT o_custkey, string_agg(act, ';' ORDER BY act) AS actions FROM acts GROUP BY o_custkey),
+votes AS (SELECT o_custkey, string_agg(roll, ',' ORDER BY roll) AS votes FROM (SELECT DISTINCT o_custkey, CAST(o_orderkey % 5 AS VARCHAR) AS roll FROM orders UNION SELECT c_custkey, '3' FROM customer) GROUP BY o_custkey)
+SELECT '118-HR-' || c_custkey AS bill_id, CASE WHEN c_custkey % 3 = 0 THEN 'Act & ' || c_custkey ELSE 'To do ' || c_custkey END AS title, CAST(CASE WHEN c_custkey % 3 = 0 THEN 2 ELSE 1 END AS INTEGER) AS n_titles,
+  'Area ' || c_custkey % 4 AS policy_area, CASE WHEN c_custkey % 2 = 1 THEN 'last' ELSE 'latest' END AS latest, 'B' || c_custkey || ' Ann Roe ' || c_custkey % 7 AS sponsor, actions, votes,
+  CASE WHEN c_custkey % 2 = 1 THEN 'Roads<Transport;Rail ' || c_custkey || ';Taxes!' ELSE 'Law ' || c_custkey || ';Area ' || c_custkey % 4 || '!' END AS subjects,
+  CASE WHEN c_custkey % 2 = 1 THEN '00:Sum ' ELSE '07:Cdata ' END || c_custkey AS summaries, CAST(CASE WHEN c_custkey % 2 = 1 THEN 1 ELSE 2 END AS INTEGER) AS n_committees,
+  'Panel ' || c_custkey || ' Referred 2024-01-0' || c_custkey % 9 + 1 || ' Sub' AS committee, 'https://www.congress.gov/amendment/118th-congress/' || CASE WHEN c_custkey % 4 < 2 THEN 'senate' ELSE 'house' END || '-amendment/' || c_custkey || ' Ann,Bob' AS amendment,
+  'u' || c_custkey || ' Union ' || c_custkey || ' cost H. Rept. ' || c_custkey AS others, CASE WHEN c_custkey % 5 = 0 THEN '118-' || c_custkey END AS law, 'note' AS note, c_custkey + 1 || ' Related' AS related
+FROM customer LEFT JOIN lists l ON l.o_custkey = c_custkey LEFT JOIN votes v ON v.o_custkey = c_custkey WHERE c_custkey % 9 > 0
+""")
+def src_bill_status(spark, sf_dir):
+    """All collections of status documents in both forms, within a window of introduction dates."""
+    b = bill_status.parse_bills(_bill_xml(spark, sf_dir), dated=("2024-01-03", "2024-12-31"))
+    join = lambda a, f: F.array_join(F.transform(a, f), ";")
+    first = lambda c: F.get(c, 0)
+    committee, amendment = first("committees"), first("amendments")
+    return b.select(
+        "bill_id", "title", F.size("titles").alias("n_titles"), "policy_area", F.col("latest_action.text").alias("latest"), F.concat_ws(" ", first("sponsors")["bioguideId"], first("sponsors")["fullName"]).alias("sponsor"),
+        F.array_join(F.array_sort(F.transform("actions", lambda a: F.concat_ws(" ", a["actionDate"], a["text"]))), ";").alias("actions"),
+        F.array_join(F.array_sort(F.transform("recorded_votes", lambda v: v["rollNumber"])), ",").alias("votes"),
+        join("subjects", lambda s: F.concat(s["name"], F.when(s["primary"], "!").otherwise(""), F.coalesce(F.concat(F.lit("<"), s["parent"]), F.lit("")))).alias("subjects"),
+        join("summaries", lambda s: F.concat_ws(":", s["versionCode"], s["text"])).alias("summaries"), F.size("committees").alias("n_committees"),
+        F.concat_ws(" ", committee["name"], first(committee["activities"])["name"], first(committee["activities"])["date"], first(committee["subcommittees"])["name"]).alias("committee"),
+        F.concat_ws(" ", amendment["url"], F.array_join(amendment["sponsors"], ",")).alias("amendment"),
+        F.concat_ws(" ", first("text_versions")["url"], first("calendar_numbers")["calendar"], first("calendar_numbers")["number"], first("cost_estimates")["rptTitle"], first("committee_reports")).alias("others"),
+        first("laws")["number"].alias("law"), first("notes")["text"].alias("note"), F.concat_ws(" ", first("related_bills")["number"], first(first("related_bills")["relationshipDetails"])["type"]).alias("related"),
+    )

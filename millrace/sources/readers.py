@@ -73,25 +73,6 @@ def untag(c: Column) -> Column:
     return F.coalesce(v, F.when(~F.startswith(F.ltrim(c), F.lit("{")), F.trim(c, F.lit('"'))))
 
 
-BILL = "number string, billNumber string, type string, billType string, congress int, title string, introducedDate string, policyArea struct<name:string>, sponsors struct<item:array<struct<bioguideId:string,fullName:string,party:string>>>, cosponsors struct<item:array<struct<bioguideId:string,fullName:string,party:string>>>, actions struct<item:array<struct<actionDate:string,text:string,type:string,recordedVotes:struct<recordedVote:array<struct<rollNumber:string,chamber:string,sessionNumber:string>>>>>>"
-
-
-def parse_bills(df: DataFrame, xml: str = "xml", dated: tuple[str, str] | None = None) -> DataFrame:
-    """Bill records of status documents; namespaces and prefixes go, alternative tags fill each other.
-
-    With a window the introduction date is read first, so other documents are not parsed.
-    """
-    bare = F.regexp_replace(F.regexp_replace(F.col(xml), r'\sxmlns(:\w+)?="[^"]*"', ""), r"(</?)\w+:", "$1")
-    df = df.withColumn("__x", bare)
-    if dated:
-        d = F.try_to_date(F.regexp_extract("__x", r"<introducedDate>\s*([0-9-]{10})", 1), "yyyy-MM-dd")
-        df = df.filter(d.isNull() | d.between(F.lit(dated[0]).cast("date"), F.lit(dated[1]).cast("date")))
-    body = F.regexp_extract("__x", r"(?s)(<bill>.*</bill>)", 1)
-    b = df.withColumn("b", F.from_xml(body, BILL, {"mode": "PERMISSIVE", "attributePrefix": "_"}))
-    number, kind = F.coalesce("b.number", "b.billNumber"), F.upper(F.coalesce("b.type", "b.billType"))
-    return b.select(F.concat_ws("-", F.col("b.congress").cast("string"), kind, number).alias("bill_id"), F.col("b.congress").alias("congress"), kind.alias("bill_type"), number.try_cast("int").alias("bill_number"), F.trim("b.title").alias("title"), F.try_to_date("b.introducedDate", "yyyy-MM-dd").alias("introduced"), F.col("b.policyArea.name").alias("policy_area"), F.col("b.sponsors.item").alias("sponsors"), F.col("b.cosponsors.item").alias("cosponsors"), F.col("b.actions.item").alias("actions"))
-
-
 def html_rows(c: Column) -> Column:
     """array<array<string>>: texts of the cells of all table bodies' rows, entities decoded; without a body, of all rows."""
     return markup.rows_of(c)

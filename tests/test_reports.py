@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions import markup
-from millrace.sources import insider_forms, readers, trade_reports
+from millrace.sources import bill_status, insider_forms, readers, trade_reports
 
 HEAD = "ID OwnerAsset Transaction Type Date Notification DateAmount Cap. Gains > $200?\n"
 SIGNED = "Digitally Signed: Hon. Jane Doe , 03/09/2024\n"
@@ -102,3 +102,38 @@ def test_insider_tables_of_odd_pages(spark):
     got = insider_forms.read_table(df, "html", "form", "I", ("k",)).orderBy("k", "n").collect()
     assert [(r["k"], r["n"], r["security"]["value"], r["security"]["footnote"]["explanation"]) for r in got] == [(1, 0, "A", "last"), (1, 2, "A", "last")]
     assert insider_forms.read_table(df, "html", "form", "II", ("k",)).count() == 0
+
+
+def bill(inner: str, ns: str = "") -> str:
+    return f"<?xml version='1.0'?><billStatus {ns}><bill><congress>118</congress><type>S</type><number>7</number>{inner}</bill></billStatus>"
+
+
+BILLS = {
+    "plain": bill("<title> T </title><introducedDate>2024-03-01</introducedDate>"),
+    "prefixed": bill("<x:title>P</x:title>", 'xmlns:x="http://x/" xmlns="http://y/"'),
+    "late": bill("<introducedDate>2025-03-01</introducedDate>"),
+    "undated": bill("<introducedDate>soon</introducedDate>"),
+    "empty parts": bill("<titles/><actions><item></item><item><text> </text></item></actions><laws><item><number></number></item></laws>"),
+    "twice": bill("<actions><item><actionDate>d</actionDate><text>a</text><recordedVotes><recordedVote><rollNumber>1</rollNumber></recordedVote></recordedVotes></item><item><text>a</text></item><item><actionDate>d</actionDate><text> a </text><recordedVotes><recordedVote><rollNumber>2</rollNumber></recordedVote><recordedVote><rollNumber>1</rollNumber></recordedVote></recordedVotes></item></actions>"),
+    "one sponsor's name": bill("<sponsors><item><bioguideId>b1</bioguideId><fullName>Full Name</fullName></item></sponsors><amendments><amendment><number>3</number><congress>117</congress><sponsors><name>Solo</name></sponsors><actions><count>4</count></actions></amendment></amendments>"),
+    "no xml": "<billStatus><bill><title>cut",
+    "no bill": "<other/>",
+    "nothing": None,
+}
+
+
+def test_bill_status(spark):
+    df = spark.createDataFrame([(k, x, "mine") for k, x in BILLS.items()], "k string, xml string, b string")
+    got = {r["k"]: r for r in bill_status.parse_bills(df, dated=("2024-01-01", "2024-12-31"), keep=("k",)).collect()}
+    assert set(got) == set(BILLS) - {"late"}
+    assert got["plain"]["title"] == "T" and got["plain"]["bill_id"] == "118-S-7" and got["plain"]["introduced"] == D(2024, 3, 1)
+    assert got["prefixed"]["title"] == "P" and got["undated"]["introduced"] is None
+    assert all(got["empty parts"][c] is None for c in ("titles", "actions", "laws", "summaries", "committees"))
+    acts = got["twice"]["actions"]
+    assert [(a["actionDate"], a["text"], [v["rollNumber"] for v in a["recordedVotes"]]) for a in acts] == [("d", "a", ["1", "2", "1"]), (None, "a", [])]
+    assert [v["rollNumber"] for v in got["twice"]["recorded_votes"]] == ["1", "2"]
+    one = got["one sponsor's name"]
+    assert one["sponsors"][0]["bioguideId"] == "B1" and one["sponsors"][0]["fullName"] == "Full Name"
+    assert (one["amendments"][0]["congress"], one["amendments"][0]["sponsors"], one["amendments"][0]["actionsCount"]) == (117, ["Solo"], 4)
+    for k in ("no bill", "nothing"):
+        assert got[k]["title"] is None and got[k]["actions"] is None and got[k]["congress"] is None
