@@ -74,6 +74,11 @@ def grid(x: Column) -> Column:
     return F.transform(elements(x, "tr"), lambda r: elements(r, "t[dh]"))
 
 
+def texts(x: Column) -> Column:
+    """array<array<string>>: texts of the cells by row."""
+    return F.transform(grid(x), lambda r: F.transform(r, text_of))
+
+
 def bodies(x: Column) -> Column:
     """Raw rows of all table bodies; without any, of the whole."""
     found = elements(x, "tbody")

@@ -12,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.markup import let
-
 
 def texts(*names: str) -> dict:
     return dict.fromkeys(names)
@@ -78,15 +76,18 @@ def schema_of(tree) -> T.DataType:
     return T.StructType([T.StructField(k, schema_of(v)) for k, v in tree.items()])
 
 
-def tidy(c: Column, tree) -> Column:
-    """Texts trimmed, empty ones null; elements and lists of which nothing is left are null."""
+def tidy(c: str, tree, depth: int = 0) -> str:
+    """SQL of a value with its texts trimmed and empty ones null; elements and lists of which nothing is left are null.
+
+    Text, as the parser reads a large expression much sooner than it is built call by call.
+    """
+    let, x = (lambda value, then: f"element_at(transform(array({value}), w{depth} -> CASE WHEN {then} THEN w{depth} END), 1)"), f"x{depth}"
     if tree is None:
-        return F.nullif(F.trim(c), F.lit(""))
+        return f"nullif(trim({c}), '')"
     if isinstance(tree, list):
-        kept = F.filter(F.transform(c, lambda x: tidy(x, tree[0])), lambda x: x.isNotNull())
-        return F.when(F.size(kept) > 0, kept)
-    whole = F.struct(*[tidy(c[k], v).alias(k) for k, v in tree.items()])
-    return let(whole, lambda w: F.when(F.coalesce(*[F.when(w[k].isNotNull(), True) for k in tree]), w))
+        return let(f"filter(transform({c}, {x} -> {tidy(x, tree[0], depth + 1)}), {x} -> {x} IS NOT NULL)", f"size(w{depth}) > 0")
+    parts = ", ".join(f"'{k}', {tidy(f'{c}.{k}', v, depth + 1)}" for k, v in tree.items())
+    return let(f"named_struct({parts})", " OR ".join(f"w{depth}.{k} IS NOT NULL" for k in tree))
 
 
 def _first_of(a: Column, same) -> Column:
@@ -156,7 +157,7 @@ def parse_bills(df: DataFrame, xml: str = "xml", dated: tuple[str, str] | None =
     body = F.concat(F.lit("<bill"), F.element_at(F.split(F.substring_index("__x", "</bill>", 1), r"<bill(?=[\s>])", 2), -1), F.lit("</bill>"))
     # Each top element is tidied where it is used; only those asked for are read.
     df = df.withColumn("b", F.from_xml(F.when(F.col("__x").rlike(r"<bill[\s>]"), body), schema_of(TREE), {"mode": "PERMISSIVE", "attributePrefix": "_"}))
-    t = {k: tidy(F.col(f"b.{k}"), v) for k, v in TREE.items()}
+    t = {k: F.expr(tidy(f"b.{k}", v)) for k, v in TREE.items()}
     congress = t["congress"].try_cast("int")
     kind = F.upper(F.coalesce(t["type"], t["billType"]))
     number = F.coalesce(t["number"], t["billNumber"])

@@ -89,7 +89,7 @@ def address(html: Column) -> Column:
 def _checked(rows: Column, row: int, pair: int, label: str) -> Column:
     """Whether the box of a pair (box, text) of a row is checked and its text names the label."""
     r = F.get(rows, row)
-    return F.coalesce(F.contains(markup.text_of(F.get(r, pair)), F.lit("X")) & F.lower(markup.text_of(F.get(r, pair + 1))).rlike(label), F.lit(False))
+    return F.coalesce(F.contains(F.get(r, pair), F.lit("X")) & F.lower(F.get(r, pair + 1)).rlike(label), F.lit(False))
 
 
 def relationship(html: Column) -> Column:
@@ -99,18 +99,18 @@ def relationship(html: Column) -> Column:
         boxes = [(0, "director", DIRECTOR), (0, r"10%.*owner", OWNER), (1, "officer", OFFICER), (1, "other", OTHER)]
         bit = lambda row, label, value: F.when(_checked(rows, row, 0, label) | _checked(rows, row, 2, label), value).otherwise(0)
         mask = sum((bit(*b) for b in boxes[1:]), bit(*boxes[0]))
-        words = lambda at, pair, label: F.when(_checked(rows, 1, pair, label), _filled(markup.text_of(F.get(F.get(rows, 2), at))))
+        words = lambda at, pair, label: F.when(_checked(rows, 1, pair, label), _filled(F.get(F.get(rows, 2), at)))
         return F.struct(F.when(mask > 0, mask.cast("int")).alias("mask"), words(1, 0, "officer").alias("officer_text"), words(3, 2, "other").alias("other_text"))
 
     table = F.try_element_at(markup.elements(markup.after(html, r"Relationship of Reporting Person\(s\) to Issuer"), "table"), F.lit(1))
-    return markup.let(markup.grid(table), read)
+    return markup.let(markup.texts(table), read)
 
 
 def filing_type(html: Column, literal: bool = False) -> Column:
     """individual or joint/group, by the first checked line; with `literal` any line that says `one reporting person` is individual, also `more than one`."""
     table = F.try_element_at(markup.elements(markup.after(html, "Individual or Joint/Group Filing"), "table"), F.lit(1))
-    lines = F.filter(markup.grid(table), lambda r: F.contains(markup.text_of(F.get(r, 0)), F.lit("X")) & (markup.text_of(F.get(r, 1)) != ""))
-    said = F.lower(markup.text_of(F.get(F.get(lines, 0), 1)))
+    lines = F.filter(markup.texts(table), lambda r: F.contains(F.get(r, 0), F.lit("X")) & (F.get(r, 1) != ""))
+    said = F.lower(F.get(F.get(lines, 0), 1))
     one, many = F.when(said.rlike("one reporting person|individual"), "individual"), F.when(said.rlike("more than one|joint|group"), "joint/group")
     return F.coalesce(one, many) if literal else F.coalesce(many, one)
 
