@@ -4,13 +4,15 @@ The standard library's parser streams a page once.  Text between two block-level
 tags is a line; its ratio is its characters over the tags met in it, a part of that
 where an element's name says menu, notice or the like.  The ratios of a page are
 smoothed with a Gaussian, and lines above a threshold taken from their spread form
-the content cluster.  The cluster chooses the region: the articles (or the main
-element) that hold its lines, or else the deepest element that holds most of them;
-the region's lines are the result, so that its short paragraphs are not lost.
-
-Names only weigh.  An element that is named like a notice, or a form, is left out of
-the region unless it holds most of the cluster: then it is a wrapper, and its lines
-count like any other's.
+the content cluster.  Where elements say that they are articles (or the main part),
+they are the region; else the deepest element that holds most of the cluster is.  The
+region's lines are the result, so that its short paragraphs are not lost.
+
+A name marks an element if all of it says so: each of its words is one of menus,
+notices or the like, or of layout (`cookie-notice`, `share-buttons`), so that
+`share-price` and `has-sidebar` do not.  A marked element is left out unless it is a
+wrapper, which holds all articles of the page, or a body that holds most of the
+cluster.  A form is one if nothing in it can be filled in, or if it frames a page.
 """
 
 from __future__ import annotations
@@ -26,8 +28,6 @@ from pyspark.sql import functions as F
 #: Standard deviation of the smoothing in lines, the threshold as a part of the spread of the smoothed ratios,
 #: the weight of lines in elements of a telling name, and the part of the cluster that makes an element its region.
 SIGMA, SPREAD, NAMED, MOST = 1.0, 0.5, 0.25, 0.6
-#: Characters of the cluster from which a form without an article may be the wrapper of a page.
-FORM_TEXT = 500
 
 #: Elements whose text is never content, those that frame a page, and those that hold content.
 HIDDEN = ("head", "script", "style", "noscript", "template", "iframe", "svg", "button", "select", "textarea", "label", "legend", "object", "canvas", "audio", "video", "map")
@@ -45,8 +45,18 @@ NOISE = frozenset((
     "newsletter", "subscribe", "signup", "login", "popup", "modal", "overlay", "widget", "pagination",
     "pager", "toolbar", "contentinfo", "complementary", "search",
 ))
-#: Those of them that tell of readers or trade where an article has such a name.
+#: Words of layout, which say nothing beside one of those.
+LAYOUT = frozenset((
+    "area", "bar", "block", "body", "bottom", "box", "button", "buttons", "card", "cards", "col", "column",
+    "container", "content", "form", "group", "header", "icon", "icons", "inner", "item", "items", "left",
+    "link", "links", "list", "main", "module", "outer", "panel", "posts", "primary", "right", "row",
+    "secondary", "section", "site", "slot", "stories", "text", "title", "top", "unit", "wrap", "wrapper",
+))
+#: Those that tell of readers or trade where an article has such a name.
 READERS = frozenset(("comment", "comments", "ad", "ads", "related"))
+#: What is filled in, and what frames a page but no form.
+FIELDS, FRAMES = ("select", "textarea", "label"), ("nav", "header", "footer", "aside", "article", "main", "h1")
+UNFILLED = ("hidden", "submit", "button", "reset", "image")
 _WORDS = re.compile(r"[a-z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
 #: A tag that the end of the page cuts off.
@@ -55,8 +65,8 @@ _CUT = re.compile(r"<[A-Za-z/!?][^<>]*\Z")
 _SELF_CLOSING = {"p": frozenset("p div ul ol table section article h1 h2 h3 h4 h5 h6 blockquote pre form hr header footer nav aside main".split()), "li": frozenset(("li",)), "dd": frozenset(("dd", "dt")), "dt": frozenset(("dd", "dt")), "td": frozenset(("td", "th", "tr")), "th": frozenset(("td", "th", "tr")), "tr": frozenset(("tr",)), "option": frozenset(("option",))}
 
 
-#: How an element is marked: not, by part of a name, by a whole name, by its kind, as invisible.
-CLEAR, PART, WHOLE, KIND, UNSEEN = range(5)
+#: How an element is marked: not, as a form, by its name, by its kind, as invisible.
+CLEAR, FORM, NAME, KIND, UNSEEN = range(5)
 
 
 class Lines(HTMLParser):
@@ -68,6 +78,9 @@ class Lines(HTMLParser):
         self.elements: list[tuple[str, int, int]] = [("page", -1, CLEAR)]
         self.open: list[tuple[str, int]] = []  # tag, the element around it
         self.here, self.text, self.tags, self.depth = 0, [], 0, 0
+        self.forms: dict[int, list[bool]] = {}  # whether a form has something to fill in, whether it frames a page
+        self.button: list[str] | None = None  # words of a button inside a sentence, which count if the sentence goes on
+        self.pressed = False
 
     def end_line(self) -> None:
         if self.text:
@@ -76,13 +89,22 @@ class Lines(HTMLParser):
                 self.rows.append((line, self.tags, self.here))
             self.text.clear()
             self.tags = 0
+        self.button, self.pressed = None, False
 
     def handle_starttag(self, tag, attrs):
+        if tag == "button" and "".join(self.text).strip() and not self.around("form"):
+            self.button, self.pressed = [], True
+            self.tags += 1
+            return
         if tag not in INLINE:
             self.end_line()
         self.tags += 1
         while self.open and tag in _SELF_CLOSING.get(self.open[-1][0], ()):
             self.leave()
+        fills = tag in FIELDS or tag == "input" and (dict(attrs).get("type") or "").lower() not in UNFILLED
+        if fills or tag in FRAMES:
+            for form in self.around("form"):
+                self.forms[form][0 if fills else 1] = True
         if tag in VOID:
             return
         mark = self.mark(tag, attrs)
@@ -92,34 +114,40 @@ class Lines(HTMLParser):
                 self.end_line()
                 self.elements.append((tag, self.here, mark))
                 self.here = len(self.elements) - 1
+                if tag == "form":
+                    self.forms[self.here] = [False, False]
 
     def mark(self, tag, attrs) -> int:
         if tag in HIDDEN:
             return UNSEEN
-        out = KIND if tag in FRAME or tag == "header" and not self.inside("article", "main") else PART if tag == "form" else CLEAR
+        out = KIND if tag in FRAME or tag == "header" and not self.around("article", "main") else FORM if tag == "form" else CLEAR
         for k, v in attrs if tag not in ("html", "body") else ():
             if k == "hidden" or k == "aria-hidden" and v == "true" or v and k == "style" and _HIDDEN.search(v.lower()):
                 return UNSEEN
             if v and k in ("class", "id", "role"):
                 for name in v.lower().split():
-                    words = set(_WORDS.findall(name)) & (READERS if tag in ("article", "main") else NOISE)
-                    if words:
-                        out = max(out, WHOLE if name in words else PART)
+                    words = set(_WORDS.findall(name))
+                    if words & (READERS if tag in ("article", "main") else NOISE) and words <= NOISE | LAYOUT:
+                        out = max(out, NAME)
         return out
 
-    def inside(self, *tags) -> bool:
-        at = self.here
+    def around(self, *tags) -> list[int]:
+        """The open elements of these tags."""
+        at, out = self.here, []
         while at > 0:
             if self.elements[at][0] in tags:
-                return True
+                out.append(at)
             at = self.elements[at][1]
-        return False
+        return out
 
     def leave(self) -> None:
         self.end_line()
         self.here = self.open.pop()[1]
 
     def handle_endtag(self, tag):
+        if tag == "button" and self.pressed:
+            self.pressed = False
+            return
         if tag not in INLINE:
             self.end_line()
         self.tags += 1
@@ -132,6 +160,12 @@ class Lines(HTMLParser):
                 break
 
     def handle_data(self, data):
+        if self.pressed:
+            self.button.append(data)
+            return
+        if self.button and data.strip():
+            self.text += self.button
+            self.button = None
         self.text.append(data)
 
 
@@ -146,8 +180,10 @@ def region(p: Lines, size: np.ndarray, cluster: np.ndarray) -> tuple[set[int], l
     """(elements whose lines are left out, elements that hold the article; none: the cluster itself)."""
     n = len(p.elements)
     parent = [e[1] for e in p.elements]
-    mass = np.zeros(n)  # characters of the cluster in each element, with all inside it
-    np.add.at(mass, np.array([r[2] for r in p.rows]), size * cluster)
+    mass, words = np.zeros(n), np.zeros(n)  # characters of the cluster, and of all lines, in each element with all inside it
+    at = np.array([r[2] for r in p.rows])
+    np.add.at(mass, at, size * cluster)
+    np.add.at(words, at, size)
     marks = [e[2] for e in p.elements]
     hidden = [False] * n
     for k in range(1, n):
@@ -155,56 +191,49 @@ def region(p: Lines, size: np.ndarray, cluster: np.ndarray) -> tuple[set[int], l
     for k in range(n - 1, 0, -1):
         if not hidden[k]:
             mass[parent[k]] += mass[k]
-    total = mass[0]
-
-    def out_of() -> list[bool]:
-        left = [False] * n
-        for k in range(1, n):
-            left[k] = left[parent[k]] or marks[k] != CLEAR
-        return left
+            words[parent[k]] += words[k]
 
     def held(k: int, inside: int) -> bool:
         while k > inside:
             k = parent[k]
         return k == inside
 
-    # A marked element that holds most of the cluster is a wrapper, if by what it holds it may be one.
+    def out_of() -> list[bool]:
+        left = [False] * n
+        for k in range(1, n):
+            left[k] = hidden[k] or left[parent[k]] or marks[k] != CLEAR
+        return left
+
     bodies = [k for k in range(n) if p.elements[k][0] in ("article", "main") and marks[k] == CLEAR and not hidden[k]]
-    worst = [CLEAR] * n
-    for k in range(1, n):
-        worst[k] = max(worst[parent[k]], marks[k])
-    loose = sum(s for s, c, r in zip(size, cluster, p.rows, strict=True) if c and worst[r[2]] <= PART)
+    if any(p.elements[b][0] == "article" for b in bodies):
+        bodies = [b for b in bodies if p.elements[b][0] == "article"]
     for k in range(1, n):
-        if marks[k] == PART and not hidden[k] and any(b > k and held(b, k) for b in bodies) and all(held(b, k) for b in bodies):
-            marks[k] = CLEAR  # all articles of the page lie in it
-        elif marks[k] in (PART, WHOLE) and not hidden[k] and 2 * mass[k] >= (loose if marks[k] == PART else total) > 0:
-            own = max((mass[b] for b in bodies if b > k and held(b, k)), default=0.0)
+        if marks[k] not in (FORM, NAME) or hidden[k]:
+            continue
+        inside = [b for b in bodies if b > k and held(b, k)]
+        if inside and (len(inside) == len(bodies) if marks[k] == FORM else 2 * max(mass[b] for b in inside) >= mass[k] and 2 * mass[k] >= mass[0]):
+            marks[k] = CLEAR  # a wrapper
+        elif marks[k] == FORM and not bodies and (not p.forms[k][0] or p.forms[k][1]):
             left = out_of()
             others = sum(s for s, c, r in zip(size, cluster, p.rows, strict=True) if c and not left[r[2]])
-            article = any(not left[b] and mass[b] > 0 and not held(k, b) for b in bodies)
-            enough = mass[k] >= FORM_TEXT or p.elements[k][0] != "form"
-            if 2 * own >= mass[k] or marks[k] == PART and enough and not article and 4 * others <= mass[k]:
+            if 4 * others <= mass[k] > 0:
                 marks[k] = CLEAR
-    left = out_of()
-    gone = {k for k in range(n) if left[k] or hidden[k]}
+    gone = {k for k, out in enumerate(out_of()) if out}
+    mains = [k for k in range(n) if p.elements[k][0] == "main" and marks[k] == CLEAR]
+    for holders in (bodies, mains):
+        found = [b for b in holders if b not in gone and words[b] > 0]
+        if found:
+            return gone, [b for b in found if not any(a != b and held(b, a) for a in found)]
     clear = np.zeros(n)
-    np.add.at(clear, np.array([r[2] for r in p.rows]), size * cluster * np.array([r[2] not in gone for r in p.rows]))
+    np.add.at(clear, at, size * cluster * np.array([r[2] not in gone for r in p.rows]))
     for k in range(n - 1, 0, -1):
         clear[parent[k]] += clear[k]
-    for kind in ("article", "main"):
-        found = [b for b in bodies if b not in gone and p.elements[b][0] == kind and not any(held(b, a) for a in bodies if a < b and p.elements[a][0] == kind)]
-        words = [sum(s for s, r in zip(size, p.rows, strict=True) if r[2] not in gone and r[2] >= b and held(r[2], b)) for b in found]
-        if found and max(words) > 0:
-            best = found[max(range(len(found)), key=lambda j: (clear[found[j]], words[j], -found[j]))]
-            with_it = [b for b in found if parent[b] == parent[best]]
-            if 3 * sum(clear[b] for b in with_it) >= clear[0]:
-                return gone, with_it
-    at = 0
+    top = 0
     while True:
-        inner = [k for k in range(at + 1, n) if parent[k] == at and k not in gone and clear[k] >= MOST * clear[0] > 0]
+        inner = [k for k in range(top + 1, n) if parent[k] == top and k not in gone and clear[k] >= MOST * clear[0] > 0]
         if not inner:
-            return gone, [at] if at and p.elements[at][0] != "body" else []
-        at = inner[0]
+            return gone, [top] if top and p.elements[top][0] != "body" else []
+        top = inner[0]
 
 
 def main_text(html: str, sigma: float = SIGMA, spread: float = SPREAD) -> str:

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import html
+import random
 import re
 
 import pytest
@@ -31,6 +32,14 @@ ARTICLE = "<article><h1>Title</h1><p>First para &amp; more of it, long enough to
         ("<article><p>cut <b", "cut"),
         ("<div id='menu'><a>a</a></div><div><p>" + "Long text here. " * 20 + "</p></div>", ("Long text here. " * 20).strip()),
         ("<article><ul><li>one</li><li>two</li></ul><p hidden>no</p><div style='display:none'>no</div>&nbsp;end</article>", "one two end"),
+        (f"<article>{'<p>A line of the article.</p>' * 4}</article><section><h2>What others wrote</h2><p>{'Much longer words of readers. ' * 60}</p></section>", " ".join(["A line of the article."] * 4)),
+        ("<article><p>One.</p><p class='share-price'>Shares at 12.</p><div class='search-and-rescue'>They searched.</div><section id='related-work'>Earlier work.</section><div class='share-buttons'>Tweet</div><div class='ad-box'>Buy this now.</div></article>", "One. Shares at 12. They searched. Earlier work."),
+        ("<div><article><p>First of two.</p></article></div><section><div><article><p>Second of two.</p></article></div></section>", "First of two. Second of two."),
+        ("<article><p>Press <button>the red one</button> to stop.</p><p>Done. <button>Share</button></p><button>Send</button></article>", "Press the red one to stop. Done."),
+        ("<form class='page'><p>" + "w" * 50 + "</p></form>", "w" * 50),
+        ("<form class='page'><p>" + "w" * 5000 + "</p></form>", "w" * 5000),
+        ("<form><input type='hidden'><h1>Title of it</h1><p>Text of it.</p><label>Search</label><input></form>", "Title of it Text of it."),
+        ("<div class='layout has-sidebar'><div class='sidebar-widget'>side</div><p>" + "Words of it. " * 20 + "</p></div>", ("Words of it. " * 20).strip()),
     ],
 )
 def test_pages(page, text):
@@ -55,6 +64,40 @@ def test_pages_without_the_telling_markup(spark, sf_dir, change):
     assert sum(same) >= 0.97 * len(same)
 
 
+def made_page(rnd: random.Random) -> tuple[str, str]:
+    """A page of random parts, and its article's blocks by one space: the generator knows what is what."""
+    words = lambda n: " ".join(rnd.choice("alpha beta gamma delta eps zeta eta".split()) for _ in range(n))
+    sentence = lambda: words(rnd.randrange(1, 30)) + "."
+    junk = ["<nav><ul><li><a>Home</a></li><li><a>{0}</a></li></ul></nav>", "<div class='cookie-notice'>{0}</div>", "<aside><p>{0}</p></aside>", "<form><label>{0}</label><input><button>Go</button></form>", "<div id='ad-box'>{0}</div>", "<script>{0}</script>", "<footer>{0}</footer>", "<ul class='share-buttons'><li>{0}</li></ul>", "<div hidden>{0}</div>", "<!-- {0} -->"]
+    noise = lambda: rnd.choice(junk).format(words(rnd.randrange(1, 60)))
+    truth, inside = [], []
+    for _ in range(rnd.randrange(1, 9)):
+        if rnd.random() < 0.2:
+            inside.append(noise())
+            continue
+        text = sentence()
+        name = rnd.choice(["", " class='share-price'", " class='search-and-rescue'", " id='related-work'", " class='lead has-ad'", " class='no-comments'"])
+        shape = rnd.choice(["<p{1}>{0}</p>", "<div{1}><p>{0}</p></div>", "<h2{1}>{0}</h2>", "<ul><li{1}>{0}</li></ul>", "<section{1}><p>{0}", "<blockquote{1}>{0}</blockquote>"])
+        inside.append(shape.format(text.replace(" ", rnd.choice([" ", "\n  ", " <b>", " &nbsp;"]), 1), name) + ("</section>" if "<section" in shape else ""))
+        truth.append(text)
+    if not truth:
+        truth, inside = ["only."], [*inside, "<p>only.</p>"]
+    article = "<article>" + "".join(inside) + "</article>"
+    for _ in range(rnd.randrange(3)):
+        article = rnd.choice(["<div class='layout with-sidebar'>{}</div>", "<main>{}</main>", "<form id='aspnetForm'>{}</form>", "<section>{}</section>"]).format(article)
+    readers = f"<section class='comments'><article class='comment'><p>{words(200)}</p></article></section>" if rnd.random() < 0.4 else ""
+    page = "".join(noise() for _ in range(rnd.randrange(4))) + article + readers + "".join(noise() for _ in range(rnd.randrange(3)))
+    return f"<html><head><title>t</title></head><body>{page}</body></html>", " ".join(truth)
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_made_pages(seed):
+    rnd = random.Random(seed)
+    for _ in range(120):
+        page, want = made_page(rnd)
+        assert main_text(page) == want, page
+
+
 def test_odd_rows(spark):
     rows = [(1, "u", None, "x"), (1, "u", None, "x"), (None, None, "<article>" + "<p>very long text " * 20_000, "y"), (3, "u", "<<<>>><!-- <!DOCTYPE", "z")]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
