@@ -60,10 +60,47 @@ def link_children(df: DataFrame, key: str, parent: str) -> DataFrame:
     return out.withColumn("n_children", F.coalesce(F.size("children"), F.lit(0)).cast("bigint")).withColumn("n_children", F.greatest("n_children", F.lit(0)))
 
 
-def in_range(df: DataFrame, ranges: DataFrame, value: Column, low: str, high: str) -> DataFrame:
-    """Left join with a short list of ranges, both ends included, a null high end open."""
-    r = small(ranges)
-    return df.join(r, (value >= r[low]) & (value <= F.coalesce(r[high], F.lit(9.2e18))), "left")
+def in_range(df: DataFrame, ranges: DataFrame, value: Column, low: str, high: str, gap_first: bool = False, levels: int = 40) -> DataFrame:
+    """Left join with ranges, both ends included, a null high end open; every range that holds a value.
+
+    A range is cut into at most 2 * levels blocks [k 2^l, (k + 1) 2^l) of whole
+    numbers, a value lies in one block of each level in use, and the two meet on
+    (level, block): an equi-join of any length, with no product.  With gap_first a
+    value that no range holds takes the range of the least low end, as do values up
+    to zero.  Null values match nothing.  Whole parts reach to 2^levels either way;
+    ends beyond lie in blocks of their own.
+    """
+    edge, cols = 1 << levels, ranges.columns
+    left = df.withColumn("__v", value)
+    whole = lambda c: F.when(c.isNotNull(), F.floor(F.least(F.greatest(c, F.lit(-edge)), F.lit(edge))).cast("long"))
+    r = ranges.withColumn("__lo", whole(ranges[low])).withColumn("__hi", F.coalesce(whole(ranges[high]), F.lit(edge))).filter("__lo <= __hi")
+    blocks = F.udtf(RangeBlocks, returnType="level int, block long")
+    r = r.lateralJoin(blocks(F.col("__lo").outer(), F.col("__hi").outer()))
+    used = r.select("level").distinct().agg(F.array_sort(F.collect_list("level")).alias("levels"))  # one row of at most levels + 2 numbers
+    keys = left.select("__v").distinct().filter("__v IS NOT NULL").crossJoin(F.broadcast(used)).withColumn("level", F.explode("levels"))
+    keys = keys.select("__v", "level", F.call_function("shiftright", whole(F.col("__v")), F.col("level")).alias("block"))
+    held = (F.col("__v") >= F.col(low)) & (F.col(high).isNull() | (F.col("__v") <= F.col(high)))
+    got = keys.join(r.select(*cols, "level", "block"), ["level", "block"]).filter(held).select(F.col("__v").alias("__k"), F.struct(*cols).alias("__r"))
+    out = left.join(got, F.col("__v") == F.col("__k"), "left")
+    if gap_first:
+        first = ranges.agg(F.min_by(F.struct(*cols), F.col(low)).alias("__first"))
+        out = out.crossJoin(F.broadcast(first)).withColumn("__r", F.when((F.col("__v") > 0) & F.col("__r").isNotNull(), F.col("__r")).when(F.col("__v").isNotNull(), F.col("__first")))
+    return out.select(*df.columns, *[F.col("__r")[c].alias(c) for c in cols])
+
+
+class RangeBlocks:
+    """Cuts [lo, hi] into the largest aligned blocks of whole numbers."""
+
+    def eval(self, lo: int, hi: int):
+        level, hi = 0, hi + 1
+        while lo < hi:
+            if lo & 1:
+                yield level, lo
+                lo += 1
+            if hi & 1:
+                hi -= 1
+                yield level, hi
+            lo, hi, level = lo >> 1, hi >> 1, level + 1
 
 
 def by_key_else(left: DataFrame, ref: DataFrame, left_key: Column, ref_key: Column, fuzzy, id_col: str) -> DataFrame:

@@ -69,3 +69,35 @@ def obligations(total: str, dollars: str, combined: str, is_parent: str) -> Colu
     """The stored total, else the dollars, else for a parent the combined amount; 0 counts as none."""
     some = lambda c: F.nullif(F.col(c), F.lit(0).cast("decimal(20,2)"))
     return F.coalesce(some(total), some(dollars), F.when(F.col(is_parent), some(combined)))
+
+
+#: The kinds of vote and the lists of bills and rolls that older records hold them in; the first two lists also had other names.
+VOTE_LISTS = {"Yea": ("bill_yea", "roll_yea"), "Nay": ("bill_nea", "roll_nea"), "Present": ("bill_present", "roll_present"), "Not Voting": ("bill_not_voting", "roll_not_voting")}
+
+
+def entries_of_lists(df: DataFrame, key: str, lists: dict[str, tuple[str, str]] = VOTE_LISTS) -> DataFrame:
+    """(key, bill_id, roll_id, vote_type, place) of records that hold eight parallel lists: one entry for each roll, its bill by place or ''.
+
+    Null lists hold nothing; bills beyond the rolls are dropped, as they have no roll.
+    """
+    parts = []
+    for k, (kind, (bills, rolls)) in enumerate(lists.items()):
+        pair = lambda r, j, bills=bills, kind=kind, k=k: F.struct(F.coalesce(F.get(F.col(bills), j), F.lit("")).alias("bill_id"), r.alias("roll_id"), F.lit(kind).alias("vote_type"), (j + F.lit(k * (1 << 24))).cast("long").alias("place"))
+        parts.append(F.transform(F.coalesce(F.col(rolls), F.array().cast("array<string>")), _two(pair)))
+    return df.select(key, F.inline(F.concat(*parts)))
+
+
+def _two(f):
+    return lambda x, i: f(x, i)
+
+
+def merge_entries(store: DataFrame, batch: DataFrame, key: str) -> DataFrame:
+    """One entry for each (key, roll): the first of the store, else of the batch; one with a bill before all without.
+
+    Both have key, bill_id, roll_id, vote_type and place; entries without a roll go.
+    """
+    both = store.withColumn("__side", F.lit(0)).unionByName(batch.withColumn("__side", F.lit(1)), allowMissingColumns=True)
+    both = both.withColumn("roll_id", F.trim("roll_id")).filter("roll_id <> ''")
+    order = F.struct(F.coalesce(F.trim("bill_id"), F.lit("")) == "", "__side", "place", "bill_id", "vote_type")
+    first = both.groupBy(key, "roll_id").agg(F.min_by(F.struct("bill_id", "vote_type"), order).alias("e"))
+    return first.select(key, "roll_id", F.coalesce("e.bill_id", F.lit("")).alias("bill_id"), "e.vote_type")

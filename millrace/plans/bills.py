@@ -99,6 +99,25 @@ def ups_vote(spark, sf_dir):
     return ordered.pick(both, ["member", "roll"], [F.col("role"), F.col("bill")]).select("member", "roll", "bill")
 
 
+@query("""
+WITH old AS (SELECT conv_id % 20 AS member, 'R' || turn AS roll_id, CASE WHEN conv_id % 3 = 0 THEN '' ELSE 'B' || conv_id END AS bill_id, CASE role WHEN 'user' THEN 'Yea' WHEN 'assistant' THEN 'Nay' ELSE 'Present' END AS vote_type,
+  0 AS side, CASE role WHEN 'user' THEN 0 WHEN 'assistant' THEN 1 ELSE 2 END AS kind, conv_id, turn FROM conversations WHERE conv_id % 2 = 0 AND role IS NOT NULL),
+new AS (SELECT conv_id % 20 AS member, 'R' || turn AS roll_id, CASE WHEN conv_id % 5 = 0 THEN '' ELSE 'N' || conv_id END AS bill_id, 'Not Voting' AS vote_type, 1 AS side, 0 AS kind, conv_id, turn FROM conversations WHERE conv_id % 2 = 1)
+SELECT member, roll_id, bill_id, vote_type FROM (SELECT *, row_number() OVER (PARTITION BY member, roll_id ORDER BY CASE WHEN bill_id = '' THEN 1 ELSE 0 END, side, kind, conv_id, turn) AS n FROM (FROM old UNION ALL FROM new)) WHERE n = 1
+""")
+def ups_vote_lists(spark, sf_dir):
+    """The store's eight lists as entries, merged with a batch's entries: one for each member and roll."""
+    t = turns(spark, sf_dir).filter("role is not null").select((F.col("conv_id") % 20).alias("member"), "conv_id", "turn", "role")
+    entry = F.struct("conv_id", "turn", F.when(F.col("conv_id") % 3 == 0, "").otherwise(F.concat(F.lit("B"), F.col("conv_id"))).alias("bill"), F.concat(F.lit("R"), F.col("turn")).alias("roll"))
+    kind = F.when(F.col("role") == "user", "yea").when(F.col("role") == "assistant", "nea").otherwise("present")
+    lists = t.filter("conv_id % 2 = 0").groupBy("member").agg(*[F.array_sort(F.collect_list(F.when(kind == k, entry))).alias(k) for k in ("yea", "nea", "present")])
+    none = F.lit(None).cast("array<string>")
+    cols = [F.transform(k, lambda e: e["bill"]).alias(f"bill_{k}") for k in ("yea", "nea", "present")] + [F.transform(k, lambda e: e["roll"]).alias(f"roll_{k}") for k in ("yea", "nea", "present")]
+    store = merges.entries_of_lists(lists.select("member", *cols, none.alias("bill_not_voting"), none.alias("roll_not_voting")), "member")
+    new = turns(spark, sf_dir).filter("conv_id % 2 = 1").select((F.col("conv_id") % 20).alias("member"), F.when(F.col("conv_id") % 5 == 0, "").otherwise(F.concat(F.lit("N"), F.col("conv_id"))).alias("bill_id"), F.concat(F.lit("R"), F.col("turn")).alias("roll_id"), F.lit("Not Voting").alias("vote_type"), (F.col("conv_id") * 1000 + F.col("turn")).alias("place"))
+    return merges.merge_entries(store, new, "member").select("member", "roll_id", "bill_id", "vote_type")
+
+
 @query("SELECT DISTINCT turn AS roll FROM conversations WHERE turn NOT IN (SELECT turn FROM conversations WHERE role = 'system')")
 def ups_roll(spark, sf_dir):
     """Rolls that are written once: distinct, and none that is there."""

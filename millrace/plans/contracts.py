@@ -236,6 +236,26 @@ def join_range_table(spark, sf_dir):
     return out.select("p_partkey", "p_size", F.col("lo").alias("range_min"))
 
 
+@query("""
+WITH r AS (SELECT l_suppkey, l_orderkey * 8 AS lo, CASE WHEN l_orderkey % 50 > 0 THEN l_orderkey * 8 + CAST(l_quantity AS BIGINT) END AS hi FROM (SELECT l_orderkey, min(l_suppkey) AS l_suppkey, max(l_quantity) AS l_quantity FROM lineitem GROUP BY l_orderkey HAVING l_orderkey % 50 > 0 OR l_orderkey % 1000 = 0))
+SELECT p_partkey, CAST(count(lo) AS BIGINT) AS n, coalesce(sum(lo), 0)::BIGINT AS total FROM part LEFT JOIN r ON p_partkey * 9.5 >= lo AND (hi IS NULL OR p_partkey * 9.5 <= hi) GROUP BY p_partkey
+""")
+def join_range_many(spark, sf_dir):
+    """As many ranges as orders, overlapping, some open: values and ranges meet on aligned blocks."""
+    li = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.max("l_quantity").cast("bigint").alias("q")).filter("l_orderkey % 50 > 0 OR l_orderkey % 1000 = 0")
+    ranges = li.select((F.col("l_orderkey") * 8).alias("lo"), F.when(F.col("l_orderkey") % 50 > 0, F.col("l_orderkey") * 8 + F.col("q")).alias("hi"))
+    p = table(spark, sf_dir, "part").select("p_partkey")
+    held = joins.in_range(p, ranges, F.col("p_partkey") * 9.5, "lo", "hi")
+    return held.groupBy("p_partkey").agg(F.count("lo").alias("n"), F.coalesce(F.sum("lo"), F.lit(0)).cast("bigint").alias("total"))
+
+
+@query("SELECT p_partkey, CASE WHEN p_size >= 41 THEN 41 WHEN p_size BETWEEN 25 AND 40 THEN 25 WHEN p_size BETWEEN 11 AND 20 THEN 11 ELSE 1 END AS range_min FROM part")
+def join_range_first(spark, sf_dir):
+    """What falls into a gap is in the first range."""
+    ranges = spark.createDataFrame([(1, 10), (11, 20), (25, 40), (41, None)], "lo int, hi int")
+    return joins.in_range(table(spark, sf_dir, "part").select("p_partkey", "p_size"), ranges, F.col("p_size"), "lo", "hi", gap_first=True).select("p_partkey", F.col("lo").alias("range_min"))
+
+
 @query("SELECT o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS d FROM orders WHERE o_orderkey % 7 = 0 OR CAST(o_orderdate AS DATE) BETWEEN DATE '1997-01-01' AND DATE '1997-12-31'")
 def flt_date_range(spark, sf_dir):
     """Inclusive by date; what is no date passes."""

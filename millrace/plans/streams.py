@@ -23,8 +23,19 @@ def stm_dedup(spark, sf_dir):
 @query("SELECT event_type, string_agg(DISTINCT CAST(user_id % 40 AS VARCHAR), ',' ORDER BY CAST(user_id % 40 AS VARCHAR)) AS members FROM events GROUP BY event_type")
 def stm_setstate(spark, sf_dir):
     """A running set of distinct values for each kind."""
-    sets = lambda s: s.groupBy("event_type").agg(F.array_join(F.array_sort(F.collect_set((F.col("user_id") % 40).cast("string"))), ",").alias("members"))
-    return flows.latest_state(events(spark, sf_dir), sets, scratch(spark, "sets"))
+    where = scratch(spark, "sets")
+    table(spark, sf_dir, "events").select("event_type", (F.col("user_id") % 40).cast("string").alias("member")).repartition(6, "member").write.parquet(f"{where}/queue")
+    first = flows.running_sets(flows.read_stream(spark, f"{where}/queue", "*.parquet", 2), "event_type", "member", where)
+    return first.groupBy("event_type").agg(F.array_join(F.array_sort(F.collect_list("member")), ",").alias("members"))
+
+
+@query("SELECT user_id % 100 AS k, count(*) AS n, CAST(sum(CAST(trunc(value * 100) AS BIGINT)) AS BIGINT) AS cents FROM events GROUP BY 1")
+def stm_running(spark, sf_dir):
+    """A running aggregate: batches write the keys they change, and are merged now and then."""
+    where = scratch(spark, "running")
+    table(spark, sf_dir, "events").select((F.col("user_id") % 100).alias("k"), (F.col("value") * 100).cast("bigint").alias("v")).repartition(8).write.parquet(f"{where}/queue")
+    total = lambda s: s.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("cents"))
+    return flows.latest_state(flows.read_stream(spark, f"{where}/queue", "*.parquet", 1), total, where, ["k"], compact=3)
 
 
 @query("SELECT user_id AS symbol, count(*) AS points, max(ts) AS last_ts FROM events WHERE value > 0 GROUP BY user_id")
@@ -90,5 +101,6 @@ def ext_stream_sessions(spark, sf_dir):
 def stm_fill(spark, sf_dir):
     """Admission by count: a batch takes up to fifty files, whatever has arrived."""
     where = scratch(spark, "fill")
-    s = flows.read_stream(spark, sf_dir, "events.parquet", flows.TRIGGERS["orphans"][1])
+    table(spark, sf_dir, "events").repartition(120, "event_id").write.option("maxRecordsPerFile", 10_000).parquet(f"{where}/queue")
+    s = flows.read_stream(spark, f"{where}/queue", "*.parquet", flows.TRIGGERS["orphans"][1])
     return flows.to_table(s.select("event_type", "user_id"), where).groupBy("event_type").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("user_id").alias("users"))

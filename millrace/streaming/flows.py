@@ -45,17 +45,65 @@ def dedup(stream: DataFrame, keys: list[str], time: str, late: str, where: str)
     return to_table(stream.withWatermark(time, late).dropDuplicatesWithinWatermark(keys), where)
 
 
-def latest_state(stream: DataFrame, aggregate: Callable[[DataFrame], DataFrame], where: str) -> DataFrame:
-    """A running aggregate; each batch leaves a table of its own, so an interrupted one leaves the last whole."""
+def running_sets(stream: DataFrame, kind: str, value: str, where: str) -> DataFrame:
+    """The distinct (kind, value) of a stream, each written by the batch that first sees it.
 
-    def save(batch: DataFrame, n: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{where}/at/{n}")
+    The state is one entry for each pair, spread over all tasks, so a kind of many
+    values is not held by one; a set is grouped when it is read.
+    """
+    return to_table(stream.select(kind, value).dropDuplicates([kind, value]), where)
+
+
+#: Batches after which the tables that they left are merged into one.
+COMPACT = 20
 
+
+def latest_state(stream: DataFrame, aggregate: Callable[[DataFrame], DataFrame], where: str, keys: list[str] | None = None, compact: int = COMPACT) -> DataFrame:
+    """A running aggregate by its keys (default: its first column): each batch leaves the rows that it changed, and the newest row of a key counts.
+
+    A batch that was written is not written again; every `compact` batches the
+    tables are merged into that of the batch, and the older ones go.
+    """
     out = aggregate(stream)
-    each_batch(out, where, save, "complete")
-    spark = out.sparkSession
-    done = [int(f.getPath().getName()) for f in listed(spark, f"{where}/at") if listed(spark, f"{f.getPath().toString()}/_SUCCESS")]
-    return spark.read.schema(out.schema).parquet(f"{where}/at/{max(done)}") if done else spark.createDataFrame([], out.schema)
+    keys, spark = keys or out.columns[:1], out.sparkSession
+    schema = out.schema
+
+    def newest(df: DataFrame) -> DataFrame:
+        rest = [c for c in schema.names if c not in keys]
+        picked = df.groupBy(*keys).agg(F.max_by(F.struct(*rest), "batch").alias("s")) if rest else df.select(*keys).distinct()
+        return picked.select(*keys, *[F.col("s")[c].alias(c) for c in rest]).select(*schema.names)
+
+    def written() -> list[int]:
+        dirs = [f.getPath() for f in listed(spark, f"{where}/at")]
+        return sorted(int(d.getName().split("=")[1]) for d in dirs if listed(spark, f"{d.toString()}/_SUCCESS"))
+
+    def read(batches: list[int]) -> DataFrame:
+        parts = [spark.read.schema(schema).parquet(f"{where}/at/batch={n}").withColumn("batch", F.lit(n)) for n in batches]
+        whole = parts[0]
+        for part in parts[1:]:
+            whole = whole.unionByName(part)
+        return whole
+
+    def save(batch: DataFrame, n: int) -> None:
+        done = written()
+        if n in done:
+            return
+        old = [k for k in done if k < n]
+        if len(old) < compact:
+            batch.write.mode("overwrite").parquet(f"{where}/at/batch={n}")
+            return
+        newest(read(old).unionByName(batch.withColumn("batch", F.lit(n)))).write.mode("overwrite").parquet(f"{where}/at/batch={n}")
+        for k in old:  # the merged table stands by now
+            removed(spark, f"{where}/at/batch={k}")
+
+    each_batch(out, where, save, "update")
+    done = written()
+    return newest(read(done)) if done else spark.createDataFrame([], schema)
+
+
+def removed(spark, where: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(where)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def listed(spark, where: str) -> list:
