@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, strings
-from ..operators import joins, merges, ordered, search, sinks
+from ..operators import flatten, joins, merges, ordered, search, sinks
 from ..session import table
 from .registry import query
 
@@ -200,6 +200,26 @@ def prj_flatten(spark, sf_dir):
     return e.select("event_id", F.col("props.k").alias("props_k"), F.col("event_type").alias("record_type"))
 
 
+@query("""
+SELECT 'A' || o_orderkey AS award_id, CASE o_orderkey % 3 WHEN 0 THEN 'B' WHEN 1 THEN '04' ELSE 'X' END AS award_type, 'text' AS award_type_description, CAST(o_totalprice AS DECIMAL(18,2)) AS total_obligated_amount,
+  'Top ' || o_custkey AS awarding_agency_name, CASE WHEN o_orderkey % 2 = 0 THEN '0' || o_custkey % 90 END AS awarding_agency_code, 'Sub' AS awarding_sub_agency_name,
+  CASE WHEN o_orderkey % 4 > 0 THEN 'ACME ' || o_custkey END AS recipient_name, CASE WHEN o_orderkey % 4 > 0 THEN 'NY' END AS recipient_location_state,
+  strftime(o_orderdate, '%Y-%m-%d') || 'T00:00' AS period_start_date, CASE WHEN o_orderkey % 5 > 0 THEN '2030-01-01' ELSE '2031-01-01' END AS period_end_date,
+  CASE WHEN o_orderkey % 4 > 0 THEN 'acme ' || o_custkey ELSE 'unknown' END AS recipient_name_normalized, CAST(year(o_orderdate) + CASE WHEN month(o_orderdate) >= 10 THEN 1 ELSE 0 END AS INTEGER) AS fiscal_year,
+  CASE o_orderkey % 3 WHEN 0 THEN 'contract' WHEN 1 THEN 'assistance' ELSE 'other' END AS category
+FROM orders
+""")
+def prj_flatten_award(spark, sf_dir):
+    """A landed award of three levels by a walk over its schema and a table of names."""
+    o, k = awards(spark, sf_dir), F.col("o_orderkey")
+    top = F.struct(F.concat(F.lit(" Top "), F.col("o_custkey")).alias("name"), F.when(k % 2 == 0, F.concat(F.lit("0"), F.col("o_custkey") % 90)).otherwise(" ").alias("toptier_code"))
+    agency = F.struct(top.alias("toptier_agency"), F.struct(F.lit("Sub").alias("name")).alias("subtier_agency"), F.lit(7).alias("id"))
+    recipient = F.when(k % 4 > 0, F.struct(F.concat(F.lit("Acme "), F.col("o_custkey")).alias("recipient_name"), F.struct(F.lit("NY").alias("state_code"), F.lit("Main").alias("street")).alias("location")))
+    period = F.struct(F.concat(F.date_format("o_orderdate", "yyyy-MM-dd"), F.lit("T00:00")).alias("start_date"), F.when(k % 5 > 0, "2030-01-01").alias("end_date"), F.lit("2031-01-01").alias("current_end_date"))
+    raw = o.select(F.concat(F.lit("A"), k).alias("generated_unique_award_id"), F.when(k % 3 == 0, "B").when(k % 3 == 1, "04").otherwise("X").alias("type"), F.lit("text").alias("type_description"), F.col("o_totalprice").cast("decimal(18,2)").alias("total_obligation"), agency.alias("awarding_agency"), recipient.alias("recipient"), period.alias("period_of_performance"), F.array(F.struct(k.alias("x"))).alias("transactions"))
+    return flatten.award_of(raw)
+
+
 @query("SELECT c_custkey, upper(trim(c_name)) AS display, lower(trim(c_name)) AS index_name FROM customer")
 def str_norm_recipient(spark, sf_dir):
     display, name = strings.recipient(F.concat(F.lit("  "), "c_name", F.lit(" ")))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strings, text
-from ..operators import search
+from ..operators import dictionary, search
 from ..operators.joins import small
 from ..session import table
 from ..sources import readers
@@ -127,8 +127,14 @@ SELECT DISTINCT doc_id, CASE WHEN contains(lower(text), name) THEN name ELSE hea
 def txt_companies(spark, sf_dir):
     """Names of a short list that a text holds, whole or by their first word."""
     a = articles(spark, sf_dir).select("doc_id", F.lower("text").alias("low"))
-    held = text.company_in("low", "name")
-    return a.join(_listed(spark, sf_dir, COMPANIES), held.isNotNull()).select("doc_id", held.alias("company")).distinct()
+    names = _listed(spark, sf_dir, COMPANIES).filter(F.length("name") > 3).withColumn("head", F.substring_index("name", " ", 1))
+    looked = names.select(F.col("name").alias("entry")).unionByName(names.filter(F.length("head").between(4, 15)).select(F.col("head").alias("entry")))
+    found = dictionary.occurrences(a, "low", looked, "entry", ("doc_id",))
+    whole = found.join(names, F.col("entry") == F.col("name")).select("doc_id", "name", F.col("name").alias("company"), F.lit(0).alias("rank"))
+    first = found.join(names, F.col("entry") == F.col("head")).filter(F.length("head").between(4, 15)).select("doc_id", "name", F.col("head").alias("company"), F.lit(1).alias("rank"))
+    # of each name the whole, else its first word
+    best = whole.unionByName(first).groupBy("doc_id", "name").agg(F.min_by("company", "rank").alias("company"))
+    return best.select("doc_id", "company").distinct()
 
 
 @query(UNIQ + "SELECT doc_id, md5(array_to_string(list_concat(list_filter(t, lambda w: w = 'the' OR w = 'ing' OR length(w) <= 10), list_filter(t, lambda w: NOT (w = 'the' OR w = 'ing' OR length(w) <= 10)))[1:20], ' ')) AS digest FROM u")
