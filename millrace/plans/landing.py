@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..operators import sinks
 from ..session import scratch, table
-from ..sources import bill_status, readers, trade_reports
+from ..sources import bill_status, page_chains, readers, trade_reports
+from ..streaming import flows
 from .registry import query
 
 
@@ -156,3 +157,29 @@ def snk_txt(spark, sf_dir):
     path = scratch(spark, "txt")
     sinks.write_sorted_text(table(spark, sf_dir, "documents"), "source", path)
     return spark.read.text(path)
+
+
+def _land_chains(spark, sf_dir, path: str) -> None:
+    """Suppliers as paged answers, a chain for each seventh of them; written by the tasks."""
+
+    def land(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        items = [{"id": int(i), "info": {"name": n, "tags": [str(i % 3), "t"] if i % 2 else None}} for i, n in sorted(zip(part["s_suppkey"], part["s_name"], strict=True))]
+        page_chains.write_chain(path, f"chain-{int(key[0]):03d}", items, 4)
+        return pd.DataFrame({"chain": [int(key[0])]})
+
+    table(spark, sf_dir, "supplier").groupBy((F.col("s_suppkey") % 7).alias("chain")).applyInPandas(land, "chain long").write.format("noop").mode("overwrite").save()
+
+
+PAGED_ITEM = "id long, info struct<name: string, tags: array<string>>"
+
+
+@query("SELECT s_suppkey AS id, s_name AS name, CASE WHEN s_suppkey % 2 = 1 THEN s_suppkey % 3 || ',t' END AS tags, 'batch' AS side FROM supplier UNION ALL SELECT s_suppkey, s_name, CASE WHEN s_suppkey % 2 = 1 THEN s_suppkey % 3 || ',t' END, 'stream' FROM supplier")
+def src_page_chains(spark, sf_dir):
+    """Chains of landed pages by a data source, at once and as a stream."""
+    path, where = scratch(spark, "chains"), scratch(spark, "chained")
+    page_chains.register(spark)
+    _land_chains(spark, sf_dir, path)
+    whole = spark.read.format("page_chains").schema(PAGED_ITEM).load(path)
+    drained = flows.to_table(spark.readStream.format("page_chains").schema(PAGED_ITEM).load(path), where)
+    cols = lambda df, side: df.select("id", F.col("info.name").alias("name"), F.array_join("info.tags", ",").alias("tags"), F.lit(side).alias("side"))
+    return cols(whole, "batch").unionByName(cols(drained, "stream"))
