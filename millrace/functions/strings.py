@@ -67,6 +67,19 @@ def clean_name(x) -> Column:
     return F.trim(F.regexp_replace(t, r"\s+", " "))
 
 
+#: Words of headers and labels that stand where a name should, and noise of text recognition.
+NO_NAMES = ("report", "type", "date", "owner", "ticker", "asset", "security", "transaction", "amount", "comment", "filer", "name", "senator", "representative", "the honorable", "periodic", "filing", "form")
+NAME_NOISE = (r"^[Yy]r\s+[Dd]ay", r"^[A-Z]{1,2}\s+[A-Z]{1,2}$", r"^\d+$", r"^[^\w\s]+$")
+
+
+def valid_name(x) -> Column:
+    """Whether a text may be a person's name: three characters, a letter, no header's word alone or in front, no noise; null is none."""
+    t = F.trim(_c(x))
+    headed = F.lower(t).rlike("^(?:" + "|".join(NO_NAMES) + r")(?: |$)")
+    noisy = t.rlike("|".join(f"(?:{p})" for p in NAME_NOISE))
+    return F.coalesce((F.length(t) >= 3) & t.rlike("[A-Za-z]") & ~headed & ~noisy, F.lit(False))
+
+
 def flip_name(x) -> Column:
     """`Last, First` as `First Last`; other names as they are."""
     p = F.split(_c(x), ",")

@@ -6,11 +6,13 @@ and a role is a party or a vote.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import dates, strings
-from ..operators import joins, merges, ordered, search
+from ..operators import forms, joins, merges, ordered, search
 from ..session import table
 from .registry import query
 
@@ -196,3 +198,22 @@ def dt_ymdint(spark, sf_dir):
     k = F.col("o_orderkey") % 5
     raw = F.when(k == 0, d("yyyy-MM-dd")).when(k == 1, d("M/d/yyyy")).when(k == 2, d("M/d/yy")).when(k == 3, d("yyyyMMdd")).otherwise("soon")
     return table(spark, sf_dir, "orders").select("o_orderkey", dates.ymd_int(raw, F.lit("2025-01-01")).alias("ymd"))
+
+
+BILLS = "SELECT conv_id, upper(left(min(role), 1)) AS sponsor_party, 'Rep ' || conv_id % 9 AS sponsor_full_name, 100 + conv_id % 4 AS congress, CASE conv_id % 3 WHEN 0 THEN 'HR' WHEN 1 THEN 'S' ELSE 'HRES' END AS bill_type, 'Act ' || conv_id % 6 AS bill_title, conv_id % 25 AS bill_number, CASE WHEN count(DISTINCT role) > 2 THEN 1 END AS bipartisan, 'd' || conv_id % 5 AS latest_action_date, CASE WHEN conv_id % 2 = 0 THEN 'Area ' || conv_id % 3 END AS policy_area, CASE WHEN count(*) > 3 THEN 1 END AS has_roll_call, 'day ' || conv_id % 30 AS introduced_date FROM {conversations} GROUP BY conv_id"
+BILL_ASKED = {"sponsor_party": "A", "sponsor_name": "Rep 2", "congress_type": 102, "type": "HR", "title": "Act 4", "number": 7, "bipartisan": 1, "latest_action": "d3", "policy_area": "Area 1", "has_roll_call": 1, "introduced": "day 8"}
+BILL_ENDS = {"congress_type": ("HR", "HRES")}
+
+
+def _bill_sql(k: str, v) -> str:
+    hash_key, range_key = forms.BILL_INDEXES[k]
+    lo, hi = BILL_ENDS.get(k, ("day 1", "day 3"))
+    return f"SELECT '{k}' AS index, conv_id FROM ({BILLS.format(conversations='conversations')}) WHERE {hash_key} = {v!r}" + (f" AND {range_key} BETWEEN '{lo}' AND '{hi}'" if range_key else "")
+
+
+@query(" UNION ALL ".join(_bill_sql(k, v) for k, v in BILL_ASKED.items()))
+def qry_bill_keys(spark, sf_dir):
+    """Every index of bills by its key, two of them without a sort key; flags that are not set are not in theirs."""
+    b = spark.sql(BILLS, conversations=table(spark, sf_dir, "conversations"))
+    parts = [forms.by_index(b, forms.BILL_INDEXES, k, v, BILL_ENDS.get(k, ("day 1", "day 3")), tie="conv_id").select(F.lit(k).alias("index"), "conv_id") for k, v in BILL_ASKED.items()]
+    return reduce(DataFrame.unionByName, parts)

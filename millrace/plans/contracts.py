@@ -6,11 +6,13 @@ sub-awards, and a customer is a recipient.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, strings
-from ..operators import flatten, joins, merges, ordered, search, sinks
+from ..operators import flatten, forms, joins, merges, ordered, search, sinks
 from ..session import table
 from .registry import query
 
@@ -356,3 +358,31 @@ def ups_ttl(spark, sf_dir):
     """An expiry column, and the filter on it where expiry is on."""
     o = awards(spark, sf_dir).select("o_orderkey", F.date_add(F.to_date("o_orderdate"), 30).alias("expires"))
     return o.filter(F.col("expires") > F.lit("1998-06-01").cast("date")).select("o_orderkey", F.unix_seconds(F.col("expires").cast("timestamp")).alias("ttl"))
+
+
+AWARDS = "SELECT o_orderkey, CAST(year(o_orderdate) AS BIGINT) AS fiscal_year, 'C' || o_custkey % 9 AS awarding_agency_code, 'Agency ' || o_custkey % 11 AS awarding_agency_name, 'acme ' || o_custkey % 13 AS recipient_name_normalized, CASE WHEN o_orderkey % 2 = 0 THEN 'NY' END AS recipient_location_state, CASE WHEN o_orderkey % 3 = 0 THEN '1000' || o_orderkey % 5 END AS recipient_zip_code, o_orderkey % 2 AS is_assistance, o_totalprice AS total_obligated_amount, o_orderdate AS period_end_date, o_orderdate AS last_modified_date FROM {orders}"
+AWARD_ASKED = {
+    "fiscal_year_obligation": (1995, (50000.0, None)),
+    "agency_code_obligation": ("C4", (None, 90000.0)),
+    "agency_name_obligation": ("Agency 3", (1000.0, 90000.0)),
+    "recipient_obligation": ("acme 5", (None, None)),
+    "state_obligation": ("NY", (150000.0, None)),
+    "zip_obligation": ("10002", (None, None)),
+    "fiscal_year_end_date": (1996, ("1996-03-01", "1996-04-01")),
+    "assistance_fiscal_year": (1, (1997, None)),
+    "assistance_modified": (0, ("1998-01-01", None)),
+}
+
+
+def _between(key: str, ends: tuple) -> str:
+    text = lambda v: f"TIMESTAMP '{v}'" if isinstance(v, str) else str(v)
+    return " AND ".join([f"{key} {op} {text(v)}" for op, v in zip((">=", "<="), ends, strict=True) if v is not None] or ["true"])
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS index, o_orderkey FROM ({AWARDS.format(orders='orders')}) WHERE {forms.AWARD_INDEXES[k][0]} = {v!r} AND {_between(forms.AWARD_INDEXES[k][1], ends)}" for k, (v, ends) in AWARD_ASKED.items()))
+def qry_award_keys(spark, sf_dir):
+    """Every index of awards by its key, with a range on its sort key; rows without a key are not in an index."""
+    a = spark.sql(AWARDS, orders=table(spark, sf_dir, "orders"))
+    end = lambda v: F.expr(f"timestamp_ntz'{v}'") if isinstance(v, str) else v
+    parts = [forms.by_index(a, forms.AWARD_INDEXES, k, v, tuple(map(end, ends)), tie="o_orderkey").select(F.lit(k).alias("index"), "o_orderkey") for k, (v, ends) in AWARD_ASKED.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -6,11 +6,13 @@ tells support from opposition, and a customer's nation is a seat.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import numbers, similarity, strings
-from ..operators import fuzzy, joins, ordered, search
+from ..operators import forms, fuzzy, joins, ordered, search
 from ..session import table
 from ..sources import readers
 from .registry import query
@@ -117,6 +119,16 @@ def flt_valid_name(spark, sf_dir):
     return table(spark, sf_dir, "part").filter((F.length(n) >= 5) & n.rlike(r"^[A-Za-z][A-Za-z0-9 #'.-]*$") & ~F.lower(n).rlike(r"\b(total|page|none)\b")).select("p_partkey", "p_name")
 
 
+NAMES = "CASE o_orderkey % 12 WHEN 0 THEN 'Report ' || o_orderkey WHEN 1 THEN ' name ' WHEN 2 THEN 'Reporter ' || o_orderkey WHEN 3 THEN 'Yr Day x' WHEN 4 THEN 'AB C' WHEN 5 THEN '' || o_orderkey WHEN 6 THEN '--- !!' WHEN 7 THEN 'Al' WHEN 8 THEN 'the honorable X' WHEN 9 THEN NULL WHEN 10 THEN '12 34' ELSE 'Ann Roe ' || o_orderkey END"
+
+
+@query(f"SELECT o_orderkey, name FROM (SELECT o_orderkey, {NAMES} AS name FROM orders) WHERE o_orderkey % 12 IN (2, 11)")
+def flt_filer_name(spark, sf_dir):
+    """Names of filers: header words, recognition noise and texts without letters are none."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", F.expr(NAMES).alias("name"))
+    return o.filter(strings.valid_name("name"))
+
+
 @query("SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey FROM lineitem WHERE (l_returnflag <> 'N' OR (l_linestatus = 'O' AND l_extendedprice > 50000)) AND NOT regexp_matches(l_returnflag, '[$0-9]')")
 def flt_valid_trade(spark, sf_dir):
     """Security, or type and amount; a type that looks like an amount does not count."""
@@ -136,6 +148,19 @@ def qry_secf(spark, sf_dir):
     return o.filter(search.predicate(form="P", entity=3) & (F.col("o_orderdate") >= F.expr("timestamp_ntz'1997-06-01'"))).select("o_orderkey", "form", "o_orderdate")
 
 
+FILINGS = "SELECT o_orderkey, o_orderstatus AS form, 'P' || o_custkey AS reporting_for, 'E' || o_custkey % 7 AS filing_entity, CASE WHEN o_orderkey % 3 > 0 THEN 'L' || o_orderkey % 5 END AS located, CASE WHEN o_orderkey % 4 > 0 THEN o_orderkey % 6 END AS incorporated, o_custkey % 40 AS cik, o_orderkey % 90 AS file_number, o_orderkey % 70 AS film_number, o_orderdate AS filing_date FROM {orders}"
+FILING_ASKED = {"form": "P", "reporting_for": "P7", "entity": "E3", "location": "L1", "incorporated": 5, "cik": 9, "file_number": 30, "film_number": 11}
+
+
+@query(" UNION ALL ".join(f"SELECT '{k}' AS index, o_orderkey FROM ({FILINGS.format(orders='orders')}) WHERE {forms.FILING_INDEXES[k][0]} = {v!r} AND filing_date BETWEEN TIMESTAMP '1994-06-01' AND TIMESTAMP '1997-06-01'" for k, v in FILING_ASKED.items()))
+def qry_secf_keys(spark, sf_dir):
+    """Every index of insider filings by its key, within a range of filing dates."""
+    filings = spark.sql(FILINGS, orders=table(spark, sf_dir, "orders"))
+    days = tuple(F.expr(f"timestamp_ntz'{d}'") for d in ("1994-06-01", "1997-06-01"))
+    parts = [forms.by_index(filings, forms.FILING_INDEXES, k, v, days, tie="o_orderkey").select(F.lit(k).alias("index"), "o_orderkey") for k, v in FILING_ASKED.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("SELECT l_suppkey AS trade, CASE WHEN l_suppkey % 3 = 0 THEN -1 ELSE max_by(l_orderkey, (l_shipdate, l_orderkey, l_linenumber, l_partkey)) END AS orderkey FROM lineitem GROUP BY l_suppkey UNION ALL SELECT -5, -1")
 def ups_trade(spark, sf_dir):
     """The last write of a key wins over the stored row; stored rows without a write stay."""

@@ -39,19 +39,32 @@ def src_csv_sub(spark, sf_dir):
     return n(prime, "prime").unionByName(n(sub, "sub"))
 
 
-@query("SELECT c_custkey AS id, c_name AS name, upper(left(c_mktsegment, 1)) AS party, CASE WHEN c_custkey % 3 = 0 THEN 'Senator' ELSE 'Representative' END AS position, 'B' || c_custkey AS bioguide_id FROM customer")
+@query("""
+SELECT 'B' || c_custkey AS bioguide_id, CASE WHEN c_custkey % 4 = 0 THEN 'Ann M. ' || c_name ELSE c_name || ', full' END AS name, upper(left(c_mktsegment, 1)) AS party, 'NY' AS state,
+  CASE c_custkey % 3 WHEN 0 THEN 'Senator' WHEN 1 THEN 'Representative' END AS position, CASE WHEN c_custkey % 3 = 1 THEN CAST(c_custkey % 50 AS VARCHAR) END AS district,
+  CASE WHEN c_custkey % 2 = 0 THEN 'Nan ' || c_name || ';' ELSE '' END || 'Ann ' || c_name AS others
+FROM customer
+""")
 def src_csv_ref(spark, sf_dir):
-    """A list of legislators."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_name").alias("full_name"), F.lit("").alias("first_name"), F.lit("").alias("middle_name"), F.lit("").alias("last_name"), F.lit("").alias("suffix"), F.lit("").alias("nickname"), F.lower("c_mktsegment").alias("party"), F.lit("ny").alias("state"), F.when(F.col("c_custkey") % 3 == 0, "sen").otherwise("rep").alias("type"), F.lit("1").alias("district"), F.concat(F.lit("b"), F.col("c_custkey").cast("string")).alias("bioguide_id"))
-    return readers.legislators(c).select(F.substring("bioguide_id", 2, 20).cast("bigint").alias("id"), "name", "party", "position", "bioguide_id")
+    """A list of legislators from CSV files: names quoted where they hold commas, blanks, other names from nicknames."""
+    path = scratch(spark, "legislators")
+    k, cols = F.col("c_custkey"), ["last_name", "first_name", "middle_name", "suffix", "nickname", "full_name", "type", "state", "district", "party", "bioguide_id"]
+    full = F.when(k % 4 == 0, " ").otherwise(F.concat("c_name", F.lit(", full")))
+    c = table(spark, sf_dir, "customer").select(F.col("c_name").alias("last_name"), F.lit("Ann").alias("first_name"), F.lit("M.").alias("middle_name"), F.lit("").alias("suffix"), F.when(k % 2 == 0, "Nan").otherwise("").alias("nickname"), full.alias("full_name"), F.when(k % 3 == 0, "sen").when(k % 3 == 1, "rep").otherwise("del").alias("type"), F.lit("ny").alias("state"), F.when(k % 3 == 1, (k % 50).cast("string")).otherwise("").alias("district"), F.lower("c_mktsegment").alias("party"), F.concat(F.lit(" b"), k).alias("bioguide_id"))
+    c.select(*cols).write.option("header", True).option("escape", '"').csv(path)
+    out = readers.legislators(readers.read_csv(spark, path, cols))
+    return out.select("bioguide_id", "name", "party", "state", "position", "district", F.array_join("alt_names", ";").alias("others"))
 
 
 @query("SELECT upper(symbol) AS symbol, tier FROM (SELECT 's' || s_suppkey AS symbol, 'high' AS tier FROM supplier UNION ALL SELECT 'n.' || n_nationkey, 'low' FROM nation WHERE n_nationkey % 2 = 0)")
 def src_csv_sym(spark, sf_dir):
-    """Symbols of several lists with their tier; odd characters do not count."""
-    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("Symbol"))
-    n = table(spark, sf_dir, "nation").select(F.concat(F.when(F.col("n_nationkey") % 2 == 0, "n.").otherwise("n^"), F.col("n_nationkey").cast("string")).alias("Symbol"))
-    return readers.symbols({"high": s, "low": n}, "Symbol")
+    """Symbols of several lists, each a folder of CSV files, with their tier; odd characters do not count."""
+    base = scratch(spark, "symbols")
+    s = table(spark, sf_dir, "supplier").select(F.concat(F.lit("s"), F.col("s_suppkey").cast("string")).alias("Symbol"), F.col("s_name").alias("Security Name"))
+    n = table(spark, sf_dir, "nation").select(F.concat(F.when(F.col("n_nationkey") % 2 == 0, "n.").otherwise("n^"), F.col("n_nationkey").cast("string")).alias("Symbol"), F.concat(F.col("n_name"), F.lit(", Inc")).alias("Security Name"))
+    for tier, df in (("high", s), ("low", n)):
+        df.write.option("header", True).csv(f"{base}/{tier}")
+    return readers.symbols({tier: readers.read_csv(spark, f"{base}/{tier}", ["Symbol", "Security Name"]) for tier in ("high", "low")}, "Symbol")
 
 
 @query("SELECT CAST(o_custkey AS VARCHAR) AS cik, CAST(o_orderdate AS DATE) AS filed, lpad(CAST(o_orderkey AS VARCHAR), 10, '0') || '-24-000001' AS accession FROM orders WHERE o_orderstatus = 'P'")

@@ -6,11 +6,13 @@ an order's lines are its contribution items.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import strings
-from ..operators import joins, ordered, search
+from ..operators import forms, joins, ordered, search
 from ..session import table
 from .registry import query
 
@@ -134,3 +136,112 @@ def str_squeeze(spark, sf_dir):
 def limit_test(spark, sf_dir):
     """At most five of each kind."""
     return ordered.pick(table(spark, sf_dir, "documents").select("lang", "doc_id", F.col("n_chars").alias("n")), ["lang"], [F.col("n").desc(), F.col("doc_id")], 5)
+
+
+# ---------------------------------------------------------------- search forms
+
+_HAS = "o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE {})"
+#: Each parameter of the report form with a value, and what it means on the tables; {..} marks conditions on lines.
+REPORT_ASKED = {
+    "registrant_name": ("REG 1", "contains('reg ' || o_custkey, 'reg 1')"),
+    "registrant_id": (7, "o_custkey = 7"),
+    "registrant_country": ("C1", "o_custkey % 3 = 1"),
+    "registrant_ppb_country": (["P0", "P3"], "o_custkey % 4 IN (0, 3)"),
+    "client_name": ("client 2", "contains('client ' || o_custkey % 40, 'client 2')"),
+    "client_id": (12, "o_custkey % 40 = 12"),
+    "client_state": ("S3", "o_custkey % 5 = 3"),
+    "client_country": ("K1", "o_custkey % 2 = 1"),
+    "client_ppb_country": ("Q2", "o_custkey % 6 = 2"),
+    "client_ppb_state": ("T4", "o_custkey % 7 = 4"),
+    "lobbyist_name": ("LOB 3", "{contains('lob ' || l_suppkey, 'lob 3')}"),
+    "lobbyist_id": ([1, 5], "{l_suppkey IN (1, 5)}"),
+    "lobbyist_covered_position": ("aide 4", "{l_linenumber % 3 = 0 AND l_partkey % 10 = 4}"),
+    "lobbyist_covered_position_indicator": (True, "{l_linenumber % 3 = 0}"),
+    "lobbyist_conviction_disclosure": ("conv 6", "{l_returnflag = 'R' AND l_partkey % 10 = 6}"),
+    "lobbyist_conviction_disclosure_indicator": (False, "NOT ({l_returnflag = 'R'})"),
+    "lobbyist_conviction_date_range_after": ("1995-03-01", "{l_returnflag = 'R' AND l_shipdate >= DATE '1995-03-01'}"),
+    "lobbyist_conviction_date_range_before": ("1994-03-01", "{l_returnflag = 'R' AND l_shipdate < DATE '1994-03-02'}"),
+    "filing_type": (["F", "P"], "o_orderstatus IN ('F', 'P')"),
+    "filing_period": ("period 2", "month(o_orderdate) % 4 = 2"),
+    "filing_year": (1996, "year(o_orderdate) = 1996"),
+    "filing_dt_posted_after": ("1997-05-05", "o_orderdate >= DATE '1997-05-05'"),
+    "filing_dt_posted_before": ("1993-05-05", "o_orderdate < DATE '1993-05-06'"),
+    "filing_amount_reported_min": (150000.0, "o_totalprice >= 150000"),
+    "filing_amount_reported_max": (20000.0, "o_totalprice <= 20000"),
+    "senate_doc_id": ("S11", "o_orderkey = 11"),
+    "house_doc_id": ("H12", "o_orderkey = 12"),
+    "filing_specific_lobbying_issues": ("Issue 1", "{contains('issue ' || l_partkey % 20, 'issue 1')}"),
+    "general_issue_code": ("I3", "{l_partkey % 7 = 3}"),
+    "government_entities": ([4, 9], "{l_suppkey % 30 IN (4, 9)}"),
+    "affiliated_organization_name": ("aff 1", "{l_linestatus = 'O' AND contains('aff ' || l_suppkey % 12, 'aff 1')}"),
+    "affiliated_organization_listed_indicator": (True, "{l_linestatus = 'O'}"),
+    "affiliated_organization_country": ("A2", "{l_linestatus = 'O' AND l_partkey % 4 = 2}"),
+    "foreign_entity_name": ("for 3", "{l_quantity > 30 AND contains('for ' || l_suppkey, 'for 3')}"),
+    "foreign_entity_listed_indicator": (False, "NOT ({l_quantity > 30})"),
+    "foreign_entity_country": ("F1", "{l_quantity > 30 AND l_partkey % 3 = 1}"),
+    "foreign_entity_ppb_country": ("G1", "{l_quantity > 30 AND l_partkey % 5 = 1}"),
+    "foreign_entity_ownership_percentage_min": (45.0, "{l_quantity > 30 AND l_quantity >= 45}"),
+    "foreign_entity_ownership_percentage_max": (33.0, "{l_quantity > 30 AND l_quantity <= 33}"),
+}
+CONTRIBUTION_ASKED = {
+    **{k: REPORT_ASKED[k] for k in ("registrant_name", "registrant_id", "filing_type", "filing_period", "filing_year", "filing_dt_posted_after", "filing_dt_posted_before", "senate_doc_id", "house_doc_id")},
+    "lobbyist_name": ("one 2", "o_orderkey % 3 > 0 AND contains('one ' || o_custkey % 30, 'one 2')"),
+    "lobbyist_id": (4, "o_orderkey % 3 > 0 AND o_custkey % 30 = 4"),
+    "exclude_registrant_lobbyists": (True, "o_orderkey % 3 = 0"),
+    "contribution_date_after": ("1997-01-01", "{l_shipdate >= DATE '1997-01-01'}"),
+    "contribution_date_before": ("1993-01-01", "{l_shipdate < DATE '1993-01-02'}"),
+    "contribution_amount_min": (60000.0, "{l_extendedprice >= 60000}"),
+    "contribution_amount_max": (1500.0, "{l_extendedprice <= 1500}"),
+    "contribution_type": (["A", "N"], "{l_returnflag IN ('A', 'N')}"),
+    "contributor_name": ("Giver 2", "{contains('giver ' || l_suppkey, 'giver 2')}"),
+    "payee_name": ("payee 5", "{contains('payee ' || l_partkey % 9, 'payee 5')}"),
+    "honoree_name": ("hon 7", "{contains('hon ' || l_partkey % 11, 'hon 7')}"),
+}
+#: Several parameters at once; the two ends of the percentage must meet in one foreign entity.
+TOGETHER = {"filing_year": 1995, "registrant_country": "C1", "foreign_entity_ownership_percentage_min": 35.0, "foreign_entity_ownership_percentage_max": 40.0, "general_issue_code": ["I1", "I2"]}
+TOGETHER_SQL = "year(o_orderdate) = 1995 AND o_custkey % 3 = 1 AND {l_quantity BETWEEN 35 AND 40} AND {l_partkey % 7 IN (1, 2)}"
+
+
+def _form_sql(form: str, name: str, condition: str) -> str:
+    while "{" in condition:
+        head, _, rest = condition.partition("{")
+        inner, _, tail = rest.partition("}")
+        condition = f"{head}{_HAS.format(inner)}{tail}"
+    return f"SELECT '{form}' AS form, '{name}' AS parameter, count(*) AS n FROM orders WHERE {condition}"
+
+
+def _filings(spark, sf_dir) -> DataFrame:
+    """Orders as filings: lines are their lobbyists, convictions, activities, entities and contributions."""
+    text = lambda head, c: F.concat(F.lit(head), F.expr(c).cast("string"))
+    day = lambda c: F.date_format(c, "yyyy-MM-dd")
+    li = table(spark, sf_dir, "lineitem")
+    rows = lambda when, **fields: F.collect_list(F.when(F.expr(when), F.struct(*[v.alias(k) for k, v in fields.items()])))
+    lines = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        rows("true", name=text("Lob ", "l_suppkey"), id=F.col("l_suppkey"), covered_position=F.when(F.expr("l_linenumber % 3 = 0"), text("Aide ", "l_partkey % 10"))).alias("lobbyists"),
+        rows("l_returnflag = 'R'", description=text("Conv ", "l_partkey % 10"), date=day("l_shipdate")).alias("convictions"),
+        rows("true", description=text("Issue ", "l_partkey % 20"), issue_code=text("I", "l_partkey % 7")).alias("activities"),
+        F.collect_set(F.expr("l_suppkey % 30")).alias("entities"),
+        rows("l_linestatus = 'O'", name=text("Aff ", "l_suppkey % 12"), country=text("A", "l_partkey % 4")).alias("affiliates"),
+        rows("l_quantity > 30", name=text("For ", "l_suppkey"), country=text("F", "l_partkey % 3"), ppb_country=text("G", "l_partkey % 5"), percentage=F.col("l_quantity")).alias("foreign"),
+        rows("true", date=day("l_shipdate"), amount=F.col("l_extendedprice"), type=F.col("l_returnflag"), contributor=text("Giver ", "l_suppkey"), payee=text("Payee ", "l_partkey % 9"), honoree=text("Hon ", "l_partkey % 11")).alias("items"),
+    )
+    struct = lambda **fields: F.struct(*[v.alias(k) for k, v in fields.items()])
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey",
+        struct(name=text("Reg ", "o_custkey"), id=F.col("o_custkey"), country=text("C", "o_custkey % 3"), ppb_country=text("P", "o_custkey % 4")).alias("registrant"),
+        struct(name=text("Client ", "o_custkey % 40"), id=F.expr("o_custkey % 40"), state=text("S", "o_custkey % 5"), country=text("K", "o_custkey % 2"), ppb_country=text("Q", "o_custkey % 6"), ppb_state=text("T", "o_custkey % 7")).alias("client"),
+        F.when(F.expr("o_orderkey % 3 > 0"), struct(name=text("One ", "o_custkey % 30"), id=F.expr("o_custkey % 30"))).alias("lobbyist"),
+        F.col("o_orderstatus").alias("type"), text("period ", "month(o_orderdate) % 4").alias("period"), F.year("o_orderdate").alias("year"), day("o_orderdate").alias("posted"), F.col("o_totalprice").alias("amount"), text("S", "o_orderkey").alias("senate_doc_id"), text("H", "o_orderkey").alias("house_doc_id"),
+    )
+    return o.join(lines, "o_orderkey", "left")
+
+
+@query(" UNION ALL ".join([*(_form_sql("report", k, c) for k, (_, c) in REPORT_ASKED.items()), *(_form_sql("contribution", k, c) for k, (_, c) in CONTRIBUTION_ASKED.items()), _form_sql("report", "together", TOGETHER_SQL)]))
+def qry_lda_form_keys(spark, sf_dir):
+    """All parameters of both search forms, each alone, and some together: how many filings each finds, in one pass."""
+    f = _filings(spark, sf_dir)
+    asked = [("report", k, forms.REPORT_FORM, {k: v}) for k, (v, _) in REPORT_ASKED.items()] + [("contribution", k, forms.CONTRIBUTION_FORM, {k: v}) for k, (v, _) in CONTRIBUTION_ASKED.items()] + [("report", "together", forms.REPORT_FORM, TOGETHER)]
+    hits = [F.count(F.when(reduce(Column.__and__, forms.conditions(form, given)), 1)).alias(f"n{j}") for j, (_, _, form, given) in enumerate(asked)]
+    found = f.agg(*hits)
+    rows = F.array(*[F.struct(F.lit(form).alias("form"), F.lit(name).alias("parameter"), F.col(f"n{j}").alias("n")) for j, (form, name, _, _) in enumerate(asked)])
+    return found.select(F.inline(rows))
