@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch
+
 
 def pick(df: DataFrame, by: list[str], order: list[Column], n: int = 1, rank: str | None = None) -> DataFrame:
     """The first n rows of each group; the order must be total for the result to be certain."""
@@ -20,12 +22,31 @@ def first_attributes(df: DataFrame, by: list[str], order: list[Column | str], at
     return out.select(*by, *[F.col("__f")[a].alias(a) for a in attributes], *aggs)
 
 
+def numbered(df: DataFrame, by: list[str], order: list[Column | str], name: str) -> DataFrame:
+    """The rows with their number, from 1, inside their group by an order.
+
+    The rows are cut into ranges over groups and order and written, each range is
+    numbered on its own, and the sizes of a group's earlier ranges are added, so no
+    task holds a group.  Rows that agree in group and order have either order.
+    """
+    spark, path = df.sparkSession, scratch(df.sparkSession, "ranges")
+    ranged = df.repartitionByRange(*by, *order).withColumn("__part", F.spark_partition_id())
+    ranged.write.parquet(path)
+    held = spark.read.schema(ranged.schema).parquet(path)
+    sizes = held.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("__size"))
+    earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(*[F.col(c).alias(f"__{k}") for k, c in enumerate(by)], F.col("__part").alias("__of"), F.coalesce(F.sum("__size").over(earlier), F.lit(0)).alias("__before"))
+    own = held.withColumn("__n", F.row_number().over(Window.partitionBy("__part", *by).orderBy(*order)))
+    same = [held[c].eqNullSafe(sizes[f"__{k}"]) for k, c in enumerate(by)] + [held["__part"] == sizes["__of"]]
+    return own.join(sizes, same).select(*df.columns, (F.col("__before") + F.col("__n")).alias(name))
+
+
 def batches(df: DataFrame, by: list[str], order: list[Column | str], size: int, key: str) -> DataFrame:
     """Batches of `size` rows in order: batch_number from 1, total, and the list of keys. (ntile would even them out instead.)"""
-    w = Window.partitionBy(*by).orderBy(*order)
-    out = df.withColumn("__n", F.row_number().over(w)).withColumn("batch_number", (F.floor((F.col("__n") - 1) / size) + 1).cast("int"))
+    out = numbered(df, by, order, "__n").withColumn("batch_number", (F.floor((F.col("__n") - 1) / size) + 1).cast("int"))
     out = out.groupBy(*by, "batch_number").agg(F.array_sort(F.collect_list(F.struct("__n", key))).alias("__k"))
-    out = out.withColumn("total", F.max("batch_number").over(Window.partitionBy(*by)))
+    totals = out.groupBy(*[F.col(c).alias(f"__{k}") for k, c in enumerate(by)]).agg(F.max("batch_number").alias("total"))
+    out = out.join(totals, [out[c].eqNullSafe(totals[f"__{k}"]) for k, c in enumerate(by)])
     return out.select(*by, "batch_number", "total", F.transform("__k", lambda x: x[key]).alias("keys"))
 
 

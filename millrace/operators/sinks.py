@@ -32,6 +32,13 @@ def manifest(df: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("row_count"), F.coalesce(F.sum("n"), F.lit(0)).alias("byte_size"), F.sha2(F.coalesce(F.sum("h"), F.lit(0)).cast("string"), 256).alias("sha256"))
 
 
+def file_manifest(spark, path: str) -> DataFrame:
+    """One row for each written file: file, byte_size, sha256 of its bytes, indexed_at; files are digested where they are read."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
+    name = F.element_at(F.split("path", "/"), -1)
+    return files.select(name.alias("file"), F.col("length").alias("byte_size"), F.sha2("content", 256).alias("sha256"), F.current_timestamp().alias("indexed_at"))
+
+
 def write_sorted_text(df: DataFrame, col: str, path: str) -> None:
     """Distinct values, one to a line, sorted without regard to case; range-partitioned, so the files follow each other."""
     df.select(F.col(col).cast("string").alias("value")).filter("value is not null").distinct().orderBy(F.lower("value"), "value").write.mode("overwrite").text(path)

@@ -164,6 +164,17 @@ def snk_jsongz(spark, sf_dir):
     return sinks.manifest(spark.read.schema(n.schema).json(path)).select("row_count", "byte_size")
 
 
+@query("SELECT count(*) AS row_count, true AS sized, true AS digested, true AS stamped FROM nation")
+def snk_jsongz_files(spark, sf_dir):
+    """The files of compressed JSON, each with its size, the digest of its bytes and when it was indexed."""
+    path = scratch(spark, "jsongz")
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    sinks.write_json_gz(n.repartition(3), path, ["n_nationkey"])
+    files = sinks.file_manifest(spark, path).agg(F.min("byte_size").alias("least"), F.every(F.col("sha256").rlike("^[0-9a-f]{64}$")).alias("digested"), F.every(F.col("indexed_at").isNotNull()).alias("stamped"))
+    rows = spark.read.schema(n.schema).json(path).agg(F.count(F.lit(1)).alias("row_count"))
+    return rows.join(F.broadcast(files)).select("row_count", (F.col("least") > 0).alias("sized"), "digested", "stamped")
+
+
 @query("SELECT DISTINCT source AS value FROM documents")
 def snk_txt(spark, sf_dir):
     """Sorted distinct values, one to a line."""
