@@ -224,97 +224,84 @@ def store(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Data
     return picked.mapInArrow(run, f"doc_id {picked.schema['doc_id'].dataType.simpleString()}, n_bytes long, media binary")
 
 
-def explode_pages(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:
-    """One row for each page: id, page, width, height, samples, bits, compression, pixels, error, last, and the columns in keep.
+class Digest:
+    """Running digests of a medium's pages, in their order."""
+
+    def __init__(self):
+        self.sha, self.tail, self.size, self.pages, self.total, self.square, self.wide, self.high = hashlib.sha256(), b"", 0, 0, 0, 0, 0, 0
+
+    def add(self, data: bytes, width: int, height: int, bits: int) -> None:
+        self.sha.update(data)
+        self.tail = (self.tail + data)[-32:]
+        v = np.frombuffer(data, np.uint8 if bits == 8 else np.uint16).astype(np.int64)
+        self.size, self.pages, self.total, self.square = self.size + len(data), self.pages + 1, self.total + int(v.sum()), self.square + int(v @ v)
+        self.wide, self.high, self.bits = max(self.wide, width), self.high + height, bits
+
+    def row(self) -> tuple:
+        n = self.size * 8 // self.bits
+        mean = self.total / n
+        return self.size, self.sha.hexdigest(), zlib.crc32(self.tail), f"pages={self.pages};width={self.wide};height={self.high};mean={mean:.3f};var={self.square / n - mean * mean:.3f}"
+
+
+def explode_pages(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: tuple[str, ...] = (), pixels: bool = True) -> DataFrame:
+    """One row for each page: id, page, width, height, samples, bits, compression, pixels, error, last, digests, and the columns in keep.
 
     A null medium has no pages; one that cannot be read, whatever its header says,
     gives a row with a null page and the reason, after the pages read before it.
-    `last` marks the last row of a medium; its rows follow each other.  Repeated rows
-    give repeated pages.
+    `last` marks the last row of a medium, which holds the digests of all its pages,
+    taken as they are decoded: payload_bytes, payload_sha256, tail_crc32 and feature;
+    of a medium that could not be read they are null, and the feature is the reason.
+    Without `pixels` these are null, and never leave the decoder.  Repeated rows give
+    repeated pages.
     """
     picked = df.select(F.col(id_col).alias("id"), F.col(media_col).cast("binary").alias("media"), *[F.col(k).alias(f"__{k}") for k in keep])
-    names = ["id", "page", "width", "height", "samples", "bits", "compression", "pixels", "error", "last"]
-    kinds = [pa.int32()] * 6 + [pa.binary(), pa.string(), pa.bool_()]
+    kinds = {"page": pa.int32(), "width": pa.int32(), "height": pa.int32(), "samples": pa.int32(), "bits": pa.int32(), "compression": pa.int32(), "pixels": pa.binary(), "error": pa.string(), "last": pa.bool_(), "payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "feature": pa.string()}
     most = 16 << 20  # bytes of pixels in a batch, or one page
 
     def run(batches):
         def out(b, rows):
             at = pa.array([k for k, *_ in rows], pa.int64())
-            cols = [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True))[1:], kinds, strict=True)]
-            return pa.RecordBatch.from_arrays([b.column("id").take(at), *cols, *[b.column(f"__{k}").take(at) for k in keep]], names=[*names, *[f"__{k}" for k in keep]])
+            cols = [pa.array(c, t) for c, t in zip(list(zip(*rows, strict=True))[1:], kinds.values(), strict=True)]
+            return pa.RecordBatch.from_arrays([b.column("id").take(at), *cols, *[b.column(f"__{k}").take(at) for k in keep]], names=["id", *kinds, *[f"__{k}" for k in keep]])
 
         for b in batches:
             rows, held = [], 0
             for k in range(b.num_rows):
-                raw, wait = b.column("media")[k].as_py(), None
+                raw, wait, sums = b.column("media")[k].as_py(), None, Digest()
                 if raw is None:
                     continue
+                none = (False, None, None, None, None)
                 try:
                     for p in read_pages(raw):
                         if wait is not None:
-                            rows.append((*wait, False))
-                        wait = (k, p.index, p.width, p.height, p.samples, p.bits, p.compression, p.pixels.tobytes(), None)
-                        held += len(wait[7])
+                            rows.append((*wait, *none))
+                        data = p.pixels.tobytes()
+                        sums.add(data, p.width, p.height, p.bits)
+                        wait = (k, p.index, p.width, p.height, p.samples, p.bits, p.compression, data if pixels else None, None)
+                        held += len(data) if pixels else 0
                         if held > most and rows:
                             yield out(b, rows)
-                            rows, held = [], len(wait[7])
+                            rows, held = [], len(data)
+                    ends = sums.row() if wait is not None else (None,) * 4
                 except (ValueError, struct.error, zlib.error, KeyError, IndexError, TypeError, ArithmeticError, MemoryError) as e:
                     if wait is not None:
-                        rows.append((*wait, False))
-                    wait = (k, *(None,) * 7, str(e)[:200] or type(e).__name__)
+                        rows.append((*wait, *none))
+                    reason = str(e)[:200] or type(e).__name__
+                    wait, ends = (k, *(None,) * 7, reason), (None, None, None, reason)
                 if wait is not None:
-                    rows.append((*wait, True))
+                    rows.append((*wait, True, *ends))
             if rows:
                 yield out(b, rows)
 
     given = {f.name: f.dataType.simpleString() for f in picked.schema.fields}
-    made = picked.mapInArrow(run, f"id {given['id']}, page int, width int, height int, samples int, bits int, compression int, pixels binary, error string, last boolean" + "".join(f", `__{k}` {given[f'__{k}']}" for k in keep))
-    return made.select(*names, *[F.col(f"__{k}").alias(k) for k in keep])
-
+    ddl = "page int, width int, height int, samples int, bits int, compression int, pixels binary, error string, last boolean, payload_bytes long, payload_sha256 string, tail_crc32 long, feature string"
+    made = picked.mapInArrow(run, f"id {given['id']}, {ddl}" + "".join(f", `__{k}` {given[f'__{k}']}" for k in keep))
+    return made.select("id", *kinds, *[F.col(f"__{k}").alias(k) for k in keep])
 
-def page_digests(pages: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Digests of what stored files hold, from the rows of explode_pages as they come: one row for each medium.
-
-    A medium's pages follow each other in one partition, so they are hashed as they
-    pass and need not meet again in a shuffle.  One that could not be read has null
-    digests and the reason as its feature.
-    """
-    kinds = {"payload_bytes": pa.int64(), "payload_sha256": pa.string(), "tail_crc32": pa.int64(), "feature": pa.string()}
-
-    class Sum:
-        def __init__(self):
-            self.sha, self.tail, self.size, self.pages, self.total, self.square, self.wide, self.high = hashlib.sha256(), b"", 0, 0, 0, 0, 0, 0
-
-        def add(self, data: bytes, width: int, height: int, bits: int) -> None:
-            self.sha.update(data)
-            self.tail = (self.tail + data)[-32:]
-            v = np.frombuffer(data, np.uint8 if bits == 8 else np.uint16).astype(np.int64)
-            self.size, self.pages, self.total, self.square = self.size + len(data), self.pages + 1, self.total + int(v.sum()), self.square + int(v @ v)
-            self.wide, self.high, self.bits = max(self.wide, width), self.high + height, bits
-
-        def row(self) -> tuple:
-            n = self.size * 8 // self.bits
-            mean = self.total / n
-            return self.size, self.sha.hexdigest(), zlib.crc32(self.tail), f"pages={self.pages};width={self.wide};height={self.high};mean={mean:.3f};var={self.square / n - mean * mean:.3f}"
-
-    def run(batches):
-        now = Sum()
-        for b in batches:
-            ends, rows = [], []
-            cols = [b.column(k).to_pylist() for k in ("width", "height", "bits", "error", "last")]
-            for k, (width, height, bits, error, last) in enumerate(zip(*cols, strict=True)):
-                if error is None:
-                    now.add(b.column("pixels")[k].as_py(), width, height, bits)
-                if last:
-                    ends.append(k)
-                    rows.append(now.row() if error is None else (None, None, None, error))
-                    now = Sum()
-            if rows:
-                at = pa.array(ends, pa.int64())
-                yield pa.RecordBatch.from_arrays([b.column(k).take(at) for k in ("id", *keep)] + [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds.values(), strict=True)], names=["doc_id", *keep, *kinds])
 
-    given = {f.name: f.dataType.simpleString() for f in pages.schema.fields}
-    return pages.mapInArrow(run, f"doc_id {given['id']}, " + "".join(f"`{k}` {given[k]}, " for k in keep) + "payload_bytes long, payload_sha256 string, tail_crc32 long, feature string")
+def page_digests(df: DataFrame, id_col: str = "doc_id", media_col: str = "media", keep: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, the columns in keep, payload_bytes, payload_sha256, tail_crc32 and feature of each medium: the last of its page rows."""
+    return explode_pages(df, id_col, media_col, keep, pixels=False).filter("last").select(F.col("id").alias("doc_id"), *keep, "payload_bytes", "payload_sha256", "tail_crc32", "feature")
 
 
 def op9_tiff(spark, sf_dir: str) -> DataFrame:
@@ -322,4 +309,4 @@ def op9_tiff(spark, sf_dir: str) -> DataFrame:
 
     keep = ("n_bytes", "media_bytes", "media_sha256")
     media = store(table(spark, sf_dir, "documents")).withColumns({"media_bytes": F.octet_length("media").cast("long"), "media_sha256": F.sha2("media", 256)})
-    return page_digests(explode_pages(media, keep=keep), keep)
+    return page_digests(media, keep=keep)

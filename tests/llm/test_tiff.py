@@ -126,11 +126,11 @@ def test_digests_and_pages(spark, docs, odd, empty):
     for df in (docs, odd):
         media = T.store(df)
         want = sorted((str(r["doc_id"]), hashlib.sha256(T.pad((r["text"] or "").encode())).hexdigest(), zlib.crc32(T.pad((r["text"] or "").encode())[-32:])) for r in df.collect())
-        rows = T.page_digests(T.explode_pages(media)).collect()
+        rows = T.page_digests(media).collect()
         assert sorted((str(r["doc_id"]), r["payload_sha256"], r["tail_crc32"]) for r in rows) == want
         pages = T.explode_pages(media)
         assert pages.filter("error is not null").count() == 0 and pages.count() >= df.count()
-    assert T.page_digests(T.explode_pages(T.store(empty))).count() == 0 and T.explode_pages(T.store(empty)).count() == 0
+    assert T.page_digests(T.store(empty)).count() == 0 and T.explode_pages(T.store(empty)).count() == 0
     bad = spark.createDataFrame([(1, None), (2, bytearray(b"junk")), (3, bytearray(T.write_tiff(T.pad(b"x"))[:-9]))], "doc_id long, media binary")
     got = {r["id"]: r for r in T.explode_pages(bad).collect()}
     assert set(got) == {2, 3} and all(r["error"] for r in got.values())
@@ -181,7 +181,7 @@ def test_malformed_files_give_a_row_with_the_reason(spark):
     rows = T.explode_pages(df).collect()
     assert {r["id"] for r in rows if r["error"]} == set(bad) and {r["id"] for r in rows} == set(bad) | {"good"}
     assert sum(r["last"] for r in rows) == len(bad) + 1
-    done = {r["doc_id"]: r for r in T.page_digests(T.explode_pages(df)).collect()}
+    done = {r["doc_id"]: r for r in T.page_digests(df).collect()}
     assert done["good"]["payload_sha256"] == hashlib.sha256(T.pad(bytes(range(200)) * 10)).hexdigest()
     assert all(done[k]["payload_sha256"] is None and done[k]["feature"] for k in bad)
 
