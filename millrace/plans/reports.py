@@ -63,6 +63,34 @@ def src_trade_reports(spark, sf_dir):
     return out.select("id", "n", "filer", "owner", "asset", "symbol", "code", "kind_name", "traded", "filed", "amount_min", "amount_max", "exact_amount")
 
 
+TABLED = """
+SELECT o_custkey AS id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS INTEGER) AS n, 'Ann B. Filer' AS filer, o_orderkey % 6 AS shape,
+  CASE WHEN o_orderkey % 6 <> 3 THEN CAST(o_orderdate AS DATE) END AS traded, CASE WHEN o_orderkey % 2 = 0 THEN 'Self' ELSE 'Spouse' END AS owner, CASE WHEN o_orderkey % 3 > 0 THEN 'T' || o_orderkey % 90 END AS symbol,
+  'Acme & ' || o_orderkey AS asset, CASE o_orderkey % 4 WHEN 0 THEN 'Purchase' WHEN 1 THEN 'Sale' WHEN 2 THEN 'Exchange' ELSE 'Sale (Full)' END AS kind, CASE o_orderkey % 4 WHEN 0 THEN 'P' WHEN 2 THEN 'E' ELSE 'S' END AS code,
+  CAST(CASE o_orderkey % 6 WHEN 1 THEN 50000001 WHEN 2 THEN 0 ELSE 15001 END AS BIGINT) AS amount_min, CAST(CASE o_orderkey % 6 WHEN 1 THEN NULL WHEN 2 THEN 1000 ELSE 50000 END AS BIGINT) AS amount_max,
+  CAST(CASE o_orderkey % 6 WHEN 1 THEN 50000001 WHEN 2 THEN 700 END AS BIGINT) AS exact_amount, CASE WHEN o_orderkey % 5 = 0 THEN '3.5% / ' || o_orderkey END AS rate
+FROM orders
+"""
+
+
+@query(f"SELECT * EXCLUDE (shape) FROM ({TABLED}) WHERE shape < 4")
+def src_table_trades(spark, sf_dir):
+    """Trades in the tables of reports: with and without row numbers, small print under the asset, ranges and single amounts; rows without kind or amount go."""
+    k, shape = F.col("o_orderkey"), F.col("o_orderkey") % 6
+    cells = [
+        F.when(shape == 3, "soon").otherwise(_day("o_orderdate")), F.when(k % 2 == 0, "Self").otherwise("Spouse"), F.when(k % 3 > 0, _t('<a href="x">T', k % 90, "</a>")).otherwise("--"),
+        _t(" Acme &amp;\n", k, F.when(k % 5 == 0, _t('<div class="text-muted"><em>Rate/Coupon:</em> 3.5% <br> <em>Matures:</em> ', k, "</div>")).otherwise("")),
+        F.lit("Stock"), F.when(shape == 4, "").when(k % 4 == 0, "Purchase").when(k % 4 == 1, "Sale").when(k % 4 == 2, "Exchange").otherwise("Sale (Full)"),
+        F.when(shape == 1, "Over $50,000,001").when(shape == 2, "$700").when(shape == 5, "--").otherwise("$15,001 - $50,000"), F.lit("--"),
+    ]
+    row = _t("<tr>", F.when(F.col("o_custkey") % 2 == 0, _t("<td>", k, "</td>")).otherwise(""), *[_t("<td>", c, "</td>") for c in cells], "</tr>")
+    o = table(spark, sf_dir, "orders").select("o_custkey", F.struct(k.alias("k"), row.alias("row")).alias("r")).groupBy("o_custkey").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    page = o.select("o_custkey", _t('<h2 class="filedReport">The Honorable Ann B. Filer (Filer, Ann)</h2><table class="table table-striped"><thead><tr><th>#</th></tr></thead><tbody>', F.array_join(F.transform("rs", lambda r: r["row"]), ""), "</tbody></table>").alias("html"))
+    t = trade_reports.table_trades(page, "o_custkey", "html")
+    rate = F.concat_ws(" / ", F.try_element_at("metadata", F.lit("Rate/Coupon")), F.try_element_at("metadata", F.lit("Matures")))
+    return t.select("id", "n", "filer", "traded", "owner", "symbol", "asset", "kind", "code", "amount_min", "amount_max", "exact_amount", F.when(F.col("metadata").isNotNull(), rate).alias("rate"))
+
+
 # ---------------------------------------------------------------- insider forms
 
 

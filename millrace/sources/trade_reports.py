@@ -14,7 +14,7 @@ from enum import Enum
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import numbers
+from ..functions import markup, numbers
 
 #: Words of table headers, by where they count: anywhere, inside a trade, between trades.
 HEADER_WORDS = ("ownerasset", "transaction", "notification", "cap. gains", "filing id", "digitally signed", "certify", "id owner", "type date", "dateamount", "gains >", "$200?")
@@ -153,6 +153,12 @@ def amounts(body: Column) -> Column:
     number = lambda c: F.replace(c, F.lit(","), F.lit("")).try_cast("decimal(20,2)")
     low, high, single = number(_first(body, span, 1)), number(_first(body, span, 2)), number(_first(body, r"\$([\d,]+)(?:\s|$|[^\d,])"))
 
+    return standard_range(low, high, single)
+
+
+def standard_range(low: Column, high: Column, single: Column) -> Column:
+    """struct<min, max, exact> of the two ends of a range, or of one amount where they are null."""
+
     def boxed(x: Column) -> Column:
         ranged = F.coalesce(x["low"] < x["high"], F.lit(False))
         one = F.when(x["low"].isNotNull() & x["high"].isNotNull(), x["low"]).otherwise(x["single"])
@@ -201,3 +207,52 @@ def trade_reports(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     )
     out = out.filter(F.col("traded").isNotNull() & F.col("kind").isNotNull() & F.col("__a.min").isNotNull() & F.coalesce("asset", "symbol").isNotNull())
     return out.select(*[c for c in out.columns if c not in ("__a", "metadata")], F.col("__a.min").alias("amount_min"), F.col("__a.max").alias("amount_max"), F.col("__a.exact").alias("exact_amount"), "metadata")
+
+
+# ---------------------------------------------------------------- reports with a table
+
+#: The columns of a report's table, left of and beside the amount, and the words for buying and selling.
+TABLE_COLUMNS = ("traded", "owner", "ticker", "asset", "asset_type", "kind", "amount", "comment")
+BUYS, SELLS = ("purchase", "buy", "acquired"), ("sale", "sell", "disposed")
+_NOTES = r"(?is)<div[^>]*class=\"text-muted\"[^>]*>(.*?)</div>"
+
+
+def table_filer(html: Column) -> Column:
+    """The name in the report's heading, without `The Honorable` and what stands in brackets."""
+    head = _first(html, r"(?is)<h2[^>]*class=[\"']filedReport[\"'][^>]*>([^<]+)</h2>")
+    name = F.regexp_replace(F.regexp_replace(markup.text_of(head), r"(?i)^The\s+Honorable\s+", ""), r"\s*\([^)]*\)?.*$", "")
+    return F.nullif(F.trim(name), F.lit(""))
+
+
+def table_trades(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
+    """One row for each trade in the table of a report: id, n (the table's row, from 0), filer, traded, owner, symbol, asset, asset_type, kind, code, amount_min, amount_max, exact_amount, comment, metadata.
+
+    Columns are counted from the first cell with an amount, else from the left, where a
+    number of the row may stand.  Rows of fewer than seven cells, without a kind or
+    without an amount go.  `metadata` maps the labels of the asset's small print.  A
+    date that is none is null, as is the symbol `--`.
+    """
+    part = markup.before(markup.after(F.col(html_col), r"<table[^>]*class=[\"']table[^>]*>"), "</table")
+    rows = F.flatten(F.transform(markup.elements(part, "tbody"), markup.grid))
+    src = df.select(F.col(id_col).alias("id"), table_filer(F.col(html_col)).alias("filer"), F.posexplode(rows).alias("n", "raw")).filter("size(raw) >= 7")
+    src = src.withColumn("cells", F.transform("raw", markup.text_of))
+    paid = F.transform("cells", lambda c: F.contains(c, F.lit("$")) & c.rlike(r"[-\d]"))
+    src = src.withColumn("at", (F.coalesce(F.array_position(paid, True), F.lit(0)) - 1).cast("int"))
+    src = src.withColumn("base", F.when(F.col("at") >= 6, F.col("at") - 6).otherwise(F.get("cells", 0).rlike(r"^\d+$").cast("int")))
+    cell = {c: F.coalesce(F.get("cells", F.col("base") + k), F.lit("")) for k, c in enumerate(TABLE_COLUMNS)}
+    raw_asset = F.get("raw", F.col("base") + TABLE_COLUMNS.index("asset"))
+    notes = F.regexp_extract_all(F.regexp_extract(raw_asset, _NOTES, 1), F.lit(r"(?is)<em>([^<]+):</em>\s*([^<]+)"), F.lit(0))
+    pairs = F.transform(notes, lambda m: F.struct(markup.text_of(F.regexp_extract(m, r"(?is)<em>([^<]+):</em>", 1)).alias("k"), markup.text_of(F.regexp_extract(m, r"(?is)</em>(.*)$", 1)).alias("v")))
+    pairs = F.filter(pairs, lambda p: (p["k"] != "") & (p["v"] != ""))
+    pairs = F.filter(pairs, lambda p, k: ~F.exists(F.slice(pairs, k + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
+    digits = F.regexp_replace(cell["amount"], "[$,]", "")
+    ends = [F.nullif(F.regexp_extract(digits, r"(?i)(\d+)\s*(?:[-–—]|\bto\b|\bthrough\b)\s*(\d+)", k), F.lit("")).try_cast("decimal(20,2)") for k in (1, 2)]
+    single = F.nullif(F.regexp_replace(digits, r"[^\d.]", ""), F.lit("")).try_cast("decimal(20,2)")
+    kind = F.lower(cell["kind"])
+    out = src.select(
+        "id", "n", "filer", _day(cell["traded"]).alias("traded"), cell["owner"].alias("owner"), F.when(~cell["ticker"].isin("--", ""), cell["ticker"]).alias("symbol"),
+        markup.text_of(F.regexp_replace(F.coalesce(raw_asset, F.lit("")), _NOTES, "")).alias("asset"), cell["asset_type"].alias("asset_type"), cell["kind"].alias("kind"),
+        F.when(kind.isin(*BUYS), "P").when(kind.isin(*SELLS), "S").otherwise(F.upper(F.left(cell["kind"], F.lit(1)))).alias("code"),
+        cell["amount"].alias("amount"), standard_range(*ends, single).alias("__a"), cell["comment"].alias("comment"), F.when(F.size(pairs) > 0, F.map_from_entries(pairs)).alias("metadata"),
+    ).filter("kind <> '' AND amount NOT IN ('', '--')")
+    return out.select(*out.columns[:10], F.col("__a.min").alias("amount_min"), F.col("__a.max").alias("amount_max"), F.col("__a.exact").alias("exact_amount"), "comment", "metadata")

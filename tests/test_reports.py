@@ -137,3 +137,15 @@ def test_bill_status(spark):
     assert (one["amendments"][0]["congress"], one["amendments"][0]["sponsors"], one["amendments"][0]["actionsCount"]) == (117, ["Solo"], 4)
     for k in ("no bill", "nothing"):
         assert got[k]["title"] is None and got[k]["actions"] is None and got[k]["congress"] is None
+
+
+def test_table_trades_of_odd_pages(spark):
+    row = lambda *cells: "<tr>" + "".join(f"<td>{c}</td>" for c in cells) + "</tr>"
+    ok = row("1", "01/02/2024", "Self", "ABC", "Acme <div class=\"text-muted\"><em>A:</em> x<br><em>A:</em> y</div>", "Stock", "buy", "$1,001 - $15,000", "note")
+    page = lambda rows: f"<h2 class='filedReport'>Ann Roe</h2><table class='other'></table><table class=\"table x\"><tbody>{rows}</tbody></table>"
+    rows = [("ok", page(ok)), ("short", page(row(*"abcdef"))), ("no amount", page(row("01/02/2024", "Self", "--", "Acme", "Stock", "sell", "--", ""))), ("falls", page(row("01/02/2024", "Self", "--", "Acme", "Stock", "given", "$15,000 - $1,001"))), ("no table", "<table><tbody>" + ok), ("null", None), ("empty", "")]
+    got = {r["id"]: r for r in trade_reports.table_trades(spark.createDataFrame(rows, "k string, h string"), "k", "h").collect()}
+    assert set(got) == {"ok", "falls"}
+    a, b = got["ok"], got["falls"]
+    assert (a["filer"], a["traded"], a["symbol"], a["asset"], a["code"], a["amount_min"], a["exact_amount"], a["comment"], a["metadata"]) == ("Ann Roe", D(2024, 1, 2), "ABC", "Acme", "P", 1001, None, "note", {"A": "y"})
+    assert (b["symbol"], b["code"], b["amount_min"], b["exact_amount"], b["comment"], b["metadata"]) == (None, "G", 1001, 15000, "", None)
