@@ -80,15 +80,14 @@ def entries_of_lists(df: DataFrame, key: str, lists: dict[str, tuple[str, str]]
 
     Null lists hold nothing; bills beyond the rolls are dropped, as they have no roll.
     """
-    parts = []
-    for k, (kind, (bills, rolls)) in enumerate(lists.items()):
-        pair = lambda r, j, bills=bills, kind=kind, k=k: F.struct(F.coalesce(F.get(F.col(bills), j), F.lit("")).alias("bill_id"), r.alias("roll_id"), F.lit(kind).alias("vote_type"), (j + F.lit(k * (1 << 24))).cast("long").alias("place"))
-        parts.append(F.transform(F.coalesce(F.col(rolls), F.array().cast("array<string>")), _two(pair)))
-    return df.select(key, F.inline(F.concat(*parts)))
 
+    def listed(k: int, kind: str, bills: str, rolls: str) -> Column:
+        def entry(roll: Column, j: Column) -> Column:
+            return F.struct(F.coalesce(F.get(F.col(bills), j), F.lit("")).alias("bill_id"), roll.alias("roll_id"), F.lit(kind).alias("vote_type"), (j + F.lit(k * (1 << 24))).cast("long").alias("place"))
 
-def _two(f):
-    return lambda x, i: f(x, i)
+        return F.transform(F.coalesce(F.col(rolls), F.array().cast("array<string>")), entry)
+
+    return df.select(key, F.inline(F.concat(*[listed(k, kind, *cols) for k, (kind, cols) in enumerate(lists.items())])))
 
 
 def merge_entries(store: DataFrame, batch: DataFrame, key: str) -> DataFrame:
