@@ -51,6 +51,19 @@ def pct_change(now, base) -> Column:
     return F.when(_c(base) > 0, (_c(now) - _c(base)) / _c(base) * 100).otherwise(F.lit(0.0))
 
 
+def ieee_divide(a, b) -> Column:
+    """A quotient of doubles by IEEE 754: an infinity or NaN over zero, where Spark has an error or null."""
+    x, y = _c(a).cast("double"), _c(b).cast("double")
+    over_zero = F.when((x == 0) | F.isnan(x), float("nan")).when(x.isNotNull(), F.signum(x) * float("inf"))
+    return F.when(y == 0, over_zero).otherwise(F.try_divide(x, y))
+
+
+def ieee_ln(x) -> Column:
+    """A logarithm by IEEE 754: -inf of zero and NaN below it, where Spark has null."""
+    v = _c(x).cast("double")
+    return F.when(v == 0, float("-inf")).when(v < 0, float("nan")).otherwise(F.ln(v))
+
+
 def flags_of(mask, names) -> Column:
     """The names of the bits set in a mask, lowest first."""
     return F.filter(F.array(*[F.when(_c(mask).bitwiseAND(F.lit(1 << k)) != 0, F.lit(n)) for k, n in enumerate(names)]), lambda x: x.isNotNull())
