@@ -7,6 +7,7 @@ length of a document sets no limit.
 from __future__ import annotations
 
 import json
+from functools import reduce
 from html.entities import name2codepoint
 
 from pyspark.sql import Column
@@ -16,6 +17,9 @@ from pyspark.sql import functions as F
 #: The named references of HTML 4 and &apos;, as JSON.
 NAMED = json.dumps({k: chr(v) for k, v in name2codepoint.items()} | {"apos": "'"})
 
+#: A length that no array has: the rest of one, whose size is not asked for.
+_ALL = 1 << 30
+
 
 def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -35,7 +39,7 @@ def _character(code: Column) -> Column:
 def decode_entities(x: str | Column) -> Column:
     """Text with its character references decoded: decimal, hexadecimal and the named ones of HTML 4; others stay as they are."""
     names = F.from_json(F.lit(NAMED), "map<string,string>")  # one literal, folded once, not an expression for each name
-    pieces = F.regexp_extract_all(_c(x), F.lit(r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,30});|[^&]+|&"), F.lit(0))
+    pieces = lambda c: F.regexp_extract_all(c, F.lit(r"&(?:#[0-9]{1,8}|#[xX][0-9a-fA-F]{1,8}|[A-Za-z][A-Za-z0-9]{1,30});|[^&]+|&"), F.lit(0))
 
     def one(p: Column) -> Column:
         name = F.substring_index(F.substring(p, 2, 40), ";", 1)
@@ -43,7 +47,7 @@ def decode_entities(x: str | Column) -> Column:
         coded = F.when(p.startswith("&#"), _character(code)).otherwise(F.coalesce(F.try_element_at(names, name), p))
         return F.when(p.startswith("&") & p.endswith(";"), coded).otherwise(p)
 
-    return F.when(F.contains(_c(x), F.lit("&")), F.array_join(F.transform(pieces, one), "")).otherwise(_c(x))
+    return let(_c(x), lambda c: F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces(c), one), "")).otherwise(c))
 
 
 def text_of(x: str | Column) -> Column:
@@ -64,8 +68,7 @@ def before(x: Column, mark: str) -> Column:
 
 def elements(x: Column, tag: str) -> Column:
     """Contents of the innermost elements of a tag (a pattern), markup in them included; an unclosed one ends with the next."""
-    pieces = F.split(x, f"(?i)<{tag}\\b")
-    inside = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0)))
+    inside = F.slice(F.split(x, f"(?i)<{tag}\\b"), 2, _ALL)
     return F.transform(inside, lambda p: F.coalesce(after(before(p, f"</{tag}\\s*>"), ">"), F.lit("")))
 
 
@@ -81,8 +84,7 @@ def texts(x: Column) -> Column:
 
 def bodies(x: Column) -> Column:
     """Raw rows of all table bodies; without any, of the whole."""
-    found = elements(x, "tbody")
-    return F.when(F.size(found) > 0, F.flatten(F.transform(found, grid))).otherwise(grid(x))
+    return let(F.struct(x.alias("x"), elements(x, "tbody").alias("found")), lambda v: F.when(F.size(v["found"]) > 0, F.flatten(F.transform(v["found"], grid))).otherwise(grid(v["x"])))
 
 
 def rows_of(x: str | Column) -> Column:
@@ -94,11 +96,8 @@ def table_with(x: str | Column, *headers: str) -> Column:
     """The first innermost table whose header row (the first with a cell) matches every pattern, without case; null if none does."""
 
     def fits(t: Column) -> Column:
-        head = F.lower(F.array_join(F.transform(F.try_element_at(grid(t), F.lit(1)), text_of), "\n"))
-        ok = F.lit(True)
-        for h in headers:
-            ok = ok & head.rlike(h.lower())
-        return F.coalesce(ok, F.lit(False))
+        head = F.lower(F.array_join(F.transform(elements(F.try_element_at(elements(t, "tr"), F.lit(1)), "t[dh]"), text_of), "\n"))
+        return F.coalesce(let(head, lambda c: reduce(Column.__and__, [c.rlike(h.lower()) for h in headers], F.lit(True))), F.lit(False))
 
     return F.try_element_at(F.filter(elements(_c(x), "table"), fits), F.lit(1))
 
@@ -106,17 +105,16 @@ def table_with(x: str | Column, *headers: str) -> Column:
 def by_header(table: Column, columns: dict[str, str]) -> Column:
     """array<struct> of a table's rows below its header: each name takes the column whose header cell first matches its pattern, '' where a row is short, null where no header matches."""
 
-    def read(raw: Column) -> Column:
-        cells = F.transform(raw, lambda r: F.transform(r, text_of))
-        head = F.transform(F.try_element_at(cells, F.lit(1)), lambda h: F.lower(h))
-
-        def place(pattern: str) -> Column:
-            return F.coalesce(F.array_position(F.transform(head, lambda h: h.rlike(pattern.lower())), True), F.lit(0)).cast("int")
+    def place(head: Column, pattern: str) -> Column:
+        return F.coalesce(F.array_position(F.transform(head, lambda h: h.rlike(pattern.lower())), True), F.lit(0)).cast("int")
 
-        def row(r: Column) -> Column:
-            return F.struct(*[F.when(place(p) > 0, F.coalesce(F.get(r, place(p) - 1), F.lit(""))).alias(n) for n, p in columns.items()])
+    def rows(raw: Column, at: Column) -> Column:
+        return F.transform(F.slice(raw, 2, _ALL), lambda r: F.struct(*[F.when(at[n] > 0, F.coalesce(text_of(F.get(r, at[n] - 1)), F.lit(""))).alias(n) for n in columns]))
 
-        return F.transform(F.slice(cells, F.lit(2), F.greatest(F.size(cells) - 1, F.lit(0))), row)
+    def read(raw: Column) -> Column:
+        head = F.transform(F.try_element_at(raw, F.lit(1)), lambda h: F.lower(text_of(h)))
+        places = let(head, lambda h: F.struct(*[place(h, p).alias(n) for n, p in columns.items()]))
+        return let(places, lambda at: rows(raw, at))
 
     return let(grid(table), read)
 
@@ -125,5 +123,5 @@ def noted_cell(cell: Column, notes: Column) -> Column:
     """struct<value, footnote<number, explanation>> of a raw cell with a raised number; notes is a map by number, a missing explanation is empty."""
     number = F.nullif(F.regexp_extract(cell, r"(?i)<sup>\((\d+)\)</sup>", 1), F.lit("")).try_cast("int")
     bare = F.regexp_replace(F.regexp_replace(cell, r"(?is)<span[^>]*class=\"[^\"]*FootnoteData[^\"]*\"[^>]*>.*?</span>", ""), r"(?i)<sup>\(\d+\)</sup>", "")
-    note = F.struct(number.alias("number"), F.coalesce(F.try_element_at(notes, number), F.lit("")).alias("explanation"))
-    return F.struct(text_of(bare).alias("value"), F.when(number.isNotNull(), note).alias("footnote"))
+    note = lambda n: F.when(n.isNotNull(), F.struct(n.alias("number"), F.coalesce(F.try_element_at(notes, n), F.lit("")).alias("explanation")))
+    return F.struct(text_of(bare).alias("value"), let(number, note).alias("footnote"))
