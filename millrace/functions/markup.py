@@ -30,6 +30,11 @@ def let(value: Column, f) -> Column:
     return F.element_at(F.transform(F.array(value), f), 1)
 
 
+def last_of(entries: Column, key: str) -> Column:
+    """The entries (structs with a key) of an array, of those with one key the last."""
+    return let(entries, lambda es: F.filter(es, lambda e, k: ~F.exists(F.slice(es, k + 2, _ALL), lambda later: later[key] == e[key])))
+
+
 def _character(code: Column) -> Column:
     """The character of a code point; what is none is U+FFFD."""
     legal = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)

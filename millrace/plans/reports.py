@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import markup
-from ..session import table
+from ..session import spread, table
 from ..sources import bill_status, insider_forms, trade_reports
 from .registry import query
 
@@ -55,7 +55,7 @@ def _trade_text() -> Column:
 @query(TRADES)
 def src_trade_reports(spark, sf_dir):
     """Whole reports of several trades, whose lines, owners, dates and amounts differ."""
-    o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", F.array_join(F.array(_trade_text()), "").alias("part"))
+    o = spread(table(spark, sf_dir, "orders"), "o_custkey").select("o_custkey", "o_orderkey", F.array_join(F.array(_trade_text()), "").alias("part"))
     text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", "part"))), lambda x: x["part"]), "")
     head = "Periodic Report\nName: Hon. Ann B. Filer Status: Member\nID OwnerAsset Transaction Type Date Notification DateAmount Cap. Gains > $200?\n"
     r = o.groupBy("o_custkey").agg(text.alias("part")).select("o_custkey", _t(head, F.col("part"), "Digitally Signed: Hon. Ann B. Filer , 05/04/2031\n").alias("text"))
@@ -84,7 +84,7 @@ def src_table_trades(spark, sf_dir):
         F.when(shape == 1, "Over $50,000,001").when(shape == 2, "$700").when(shape == 5, "--").otherwise("$15,001 - $50,000"), F.lit("--"),
     ]
     row = _t("<tr>", F.when(F.col("o_custkey") % 2 == 0, _t("<td>", k, "</td>")).otherwise(""), *[_t("<td>", c, "</td>") for c in cells], "</tr>")
-    o = table(spark, sf_dir, "orders").select("o_custkey", F.struct(k.alias("k"), row.alias("row")).alias("r")).groupBy("o_custkey").agg(F.array_sort(F.collect_list("r")).alias("rs"))
+    o = spread(table(spark, sf_dir, "orders"), "o_custkey").select("o_custkey", F.struct(k.alias("k"), row.alias("row")).alias("r")).groupBy("o_custkey").agg(F.array_sort(F.collect_list("r")).alias("rs"))
     page = o.select("o_custkey", _t('<h2 class="filedReport">The Honorable Ann B. Filer (Filer, Ann)</h2><table class="table table-striped"><thead><tr><th>#</th></tr></thead><tbody>', F.array_join(F.transform("rs", lambda r: r["row"]), ""), "</tbody></table>").alias("html"))
     t = trade_reports.table_trades(page, "o_custkey", "html")
     rate = F.concat_ws(" / ", F.try_element_at("metadata", F.lit("Rate/Coupon")), F.try_element_at("metadata", F.lit("Matures")))
@@ -100,7 +100,7 @@ def _span(c) -> Column:
 
 def _forms(spark, sf_dir) -> DataFrame:
     """Forms 3, 4 and 5 of customers; what a form holds differs by the customer's key."""
-    c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", (F.col("c_custkey") % 3 + 3).cast("string").alias("form"))
+    c = spread(table(spark, sf_dir, "customer"), "c_custkey").select("c_custkey", "c_name", (F.col("c_custkey") % 3 + 3).cast("string").alias("form"))
     k, form = F.col("c_custkey"), F.col("form")
     row = lambda *cells: _t("<tr>", *[_t("<td>", x, "</td>") if isinstance(x, str) else F.concat(F.lit("<td>"), x.cast("string"), F.lit("</td>")) for x in cells], "</tr>")
     box = lambda bit: F.when(k.bitwiseAND(F.lit(bit)) != 0, _span("X")).otherwise(F.lit(""))
@@ -116,7 +116,7 @@ def _forms(spark, sf_dir) -> DataFrame:
     remarks = F.when(k % 4 == 2, _t("<table><tr><td><b>Remarks:</b></td></tr><tr><td>Exhibit 99.1 (Signature) /s/ Jane Agent 01/05/2024</td></tr></table>")).otherwise("")
     head = _t(person, street, place, dates, issuer, grid, filed)
     foot = _t("<table><tr><td>Explanation of Responses:</td></tr><tr><td class='x'></td></tr><tr><td class=\"FootnoteData\">1. Held by a <i>trust</i> &amp; others.</td></tr><tr><td class=\"FootnoteData\">2. Price of ", k, "</td></tr></table>", remarks, "** Signature of Reporting Person <u>", _span(signer), "</u><u>", _span("01/09/2024"), "</u>")
-    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+    rows = spread(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", "o_totalprice", "o_orderdate", "o_orderpriority"), "c_custkey")
     note = F.when(F.col("o_orderkey") % 2 == 0, "<sup>(1)</sup>").otherwise("")
     code = F.when(F.col("o_orderkey") % 3 == 0, "P").when(F.col("o_orderkey") % 3 == 1, "S").otherwise("Q")
     price = F.col("o_totalprice").cast("decimal(18,2)")
@@ -183,7 +183,7 @@ def src_insider_table_ii(spark, sf_dir):
 @query("SELECT o_custkey, o_orderkey, o_orderpriority || ' & ' || o_orderkey AS asset, CASE WHEN o_custkey % 2 = 0 THEN o_orderstatus END AS status, '$' || CAST(o_totalprice AS DECIMAL(18,2)) AS amount FROM orders")
 def src_html_by_header(spark, sf_dir):
     """The right one of several tables by its header; columns in either order, some missing; rows in several bodies."""
-    o = table(spark, sf_dir, "orders")
+    o = spread(table(spark, sf_dir, "orders"), "o_custkey")
     even = F.col("o_custkey") % 2 == 0
     cells = [_t("<td>", F.col("o_orderkey"), "</td>"), _t("<td><b>", F.col("o_orderpriority"), "</b> &amp;\n", F.col("o_orderkey"), "</td>"), _t("<td>&#36;", F.col("o_totalprice").cast("decimal(18,2)"), "</td>")]
     row = F.when(even, _t("<tr>", cells[0], "<td>", F.col("o_orderstatus"), "</td>", cells[1], cells[2], "</tr>")).otherwise(_t("<tr>", cells[2], cells[1], cells[0], "</tr>"))
@@ -207,11 +207,11 @@ def txt_entities(spark, sf_dir):
 def _bill_xml(spark, sf_dir) -> DataFrame:
     """A status document for each customer, its orders the actions; every other one in the older form, with a namespace."""
     k, old = F.col("c_custkey"), F.col("c_custkey") % 2 == 1
-    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderpriority")
+    o = spread(table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"), "o_orderpriority"), "c_custkey")
     vote = _t("<recordedVotes><recordedVote><chamber>House</chamber><rollNumber>", F.col("o_orderkey") % 5, "</rollNumber><sessionNumber>1</sessionNumber></recordedVote></recordedVotes>")
     action = _t("<item><actionDate>", F.col("day"), "</actionDate><text> Act ", F.col("o_orderpriority"), " </text><type>F</type><links><link><name>l</name><url>u", F.col("o_orderkey"), "</url></link></links>", vote, "</item>")
     acts = o.select("c_custkey", F.struct("day", "o_orderkey", F.concat(action, action).alias("x")).alias("a")).groupBy("c_custkey").agg(F.array_sort(F.collect_list("a")).alias("acts"))
-    c = table(spark, sf_dir, "customer").join(acts, "c_custkey", "left")
+    c = spread(table(spark, sf_dir, "customer"), "c_custkey").join(acts, "c_custkey", "left")
     person = _t("<item><identifiers><bioguideId>b", k, "</bioguideId></identifiers><firstName>Ann</firstName><lastName>Roe ", k % 7, "</lastName><party>D</party></item>")
     titles = _t("<titles><item><titleType>Official Title as Introduced</titleType><title>To do ", k, "</title></item>", F.when(k % 3 == 0, _t("<item><titleType>Display Title</titleType><title> Act &amp; ", k, " </title></item>")).otherwise(""), "<item><titleType> </titleType></item></titles>")
     subjects = F.when(old, _t("<subjects><billSubjects><otherSubjects><item><name>Roads</name><parentSubject><name>Transport</name></parentSubject></item><item><name>Rail ", k, "</name></item></otherSubjects><primarySubjects><name>Taxes</name></primarySubjects></billSubjects><policyArea><name>Area ", k % 4, "</name></policyArea></subjects>")).otherwise(_t("<subjects><legislativeSubjects><item><name>Law ", k, "</name></item><item><name/></item></legislativeSubjects><policyArea><name>Area ", k % 4, "</name></policyArea></subjects>"))

@@ -110,27 +110,34 @@ def filing_type(html: Column, literal: bool = False) -> Column:
     """individual or joint/group, by the first checked line; with `literal` any line that says `one reporting person` is individual, also `more than one`."""
     table = F.try_element_at(markup.elements(markup.after(html, "Individual or Joint/Group Filing"), "table"), F.lit(1))
     lines = F.filter(markup.texts(table), lambda r: F.contains(F.get(r, 0), F.lit("X")) & (F.get(r, 1) != ""))
-    said = F.lower(F.get(F.get(lines, 0), 1))
-    one, many = F.when(said.rlike("one reporting person|individual"), "individual"), F.when(said.rlike("more than one|joint|group"), "joint/group")
-    return F.coalesce(one, many) if literal else F.coalesce(many, one)
+
+    def read(said: Column) -> Column:
+        one, many = F.when(said.rlike("one reporting person|individual"), "individual"), F.when(said.rlike("more than one|joint|group"), "joint/group")
+        return F.coalesce(one, many) if literal else F.coalesce(many, one)
+
+    return markup.let(F.lower(F.get(F.get(lines, 0), 1)), read)
 
 
 def signature(html: Column) -> Column:
     """The signer in lower case: the first underlined `/s/ name`, else the first underlined text; where that refers to an exhibit, the exhibit's signer among remarks, explanations or anywhere."""
     marks = F.transform(F.regexp_extract_all(html, F.lit(_SIGNED), F.lit(1)), markup.text_of)
-    refers = F.exists(marks, lambda m: F.lower(m).rlike(r"^see exhibit 99\.1 for signatures?$"))
-    slash = F.filter(marks, lambda m: m.rlike("(?i)^/?s/"))
-    plain = F.filter(marks, lambda m: (m != "") & ~m.rlike("(?i)^/?s/|see exhibit"))
-    direct = F.coalesce(_filled(F.regexp_replace(F.get(slash, 0), r"(?i)^/?s/\s*", "")), F.get(plain, 0))
 
     def exhibit(part: Column) -> Column:
-        name = F.regexp_extract(F.when(part.rlike(r"(?i)Exhibit 99\.1"), part), r"(?i)/?s/\s*([A-Z][A-Za-z\s,.]+?)(?:\s+Date\b|\s+\d{1,2}/\d{1,2}/\d{4}|</|$)", 1)
-        return F.when(F.length(F.trim(name)) > 2, F.trim(markup.text_of(name)))
+        name = markup.let(part, lambda p: F.regexp_extract(F.when(p.rlike(r"(?i)Exhibit 99\.1"), p), r"(?i)/?s/\s*([A-Z][A-Za-z\s,.]+?)(?:\s+Date\b|\s+\d{1,2}/\d{1,2}/\d{4}|</|$)", 1))
+        return markup.let(name, lambda n: F.when(F.length(F.trim(n)) > 2, F.trim(markup.text_of(n))))
 
     remarks = markup.before(markup.after(html, "<b>Remarks:</b>"), "</table")
     explained = markup.before(markup.after(html, "Explanation of Responses"), "<b>Remarks:</b>")
     anywhere = F.when(remarks.isNull() & explained.isNull(), html)
-    return F.lower(F.when(refers, F.coalesce(exhibit(remarks), exhibit(explained), exhibit(anywhere), F.lit("see exhibit 99.1 for signature"))).otherwise(direct))
+
+    def read(marks: Column) -> Column:
+        refers = F.exists(marks, lambda m: F.lower(m).rlike(r"^see exhibit 99\.1 for signatures?$"))
+        slash = F.filter(marks, lambda m: m.rlike("(?i)^/?s/"))
+        plain = F.filter(marks, lambda m: (m != "") & ~m.rlike("(?i)^/?s/|see exhibit"))
+        direct = F.coalesce(_filled(F.regexp_replace(F.get(slash, 0), r"(?i)^/?s/\s*", "")), F.get(plain, 0))
+        return F.when(refers, F.coalesce(exhibit(remarks), exhibit(explained), exhibit(anywhere), F.lit("see exhibit 99.1 for signature"))).otherwise(direct)
+
+    return F.lower(markup.let(marks, read))
 
 
 def read_heads(df: DataFrame, html: str, form: str, accepted: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -144,7 +151,9 @@ def read_heads(df: DataFrame, html: str, form: str, accepted: str | None = None,
     event = F.coalesce(*[F.when(f == k, labelled_day(h, v)) for k, v in EVENT_LABEL.items()])
     dates = F.filter(F.transform(F.regexp_extract_all(h, F.lit(_SIGNED), F.lit(1)), lambda m: F.trim(m)), lambda m: m.rlike(f"^{_DATE}$"))
     given = F.to_date(F.substring_index(F.trim(F.col(accepted).cast("string")), " ", 1)) if accepted else F.lit(None).cast("date")
-    rel = relationship(h)
+    rel = F.col("__rel")
+    # Each of these stands in one column, as it is used more than once.
+    df = df.select(*keep, F.col(html), F.col(form), *([F.col(accepted)] if accepted else []), relationship(h).alias("__rel"))
     return df.select(
         *keep, F.lower(F.nullif(person, F.lit(""))).alias("person"), address(h).alias("address"), event.alias("event_date"),
         F.coalesce(given, _day(F.get(dates, 0))).alias("reporting_date"), F.lower(F.nullif(issuer, F.lit(""))).alias("issuer"),
@@ -163,8 +172,7 @@ def explanations(html: Column) -> Column:
     cells = F.transform(F.regexp_extract_all(part, F.lit(r"(?is)<td[^>]*class=\"[^\"]*FootnoteData[^\"]*\"[^>]*>\s*(\d+\.\s+.*?)</td>"), F.lit(1)), markup.text_of)
     notes = F.transform(cells, lambda c: F.struct(F.regexp_extract(c, r"^(\d+)\.", 1).try_cast("int").alias("n"), F.regexp_extract(c, r"(?s)^\d+\.\s+(.*)$", 1).alias("t")))
     notes = F.filter(F.coalesce(notes, F.array().cast("array<struct<n:int,t:string>>")), lambda x: x["n"].isNotNull() & (x["t"] != ""))
-    last = F.filter(notes, lambda x, k: ~F.exists(F.slice(notes, k + 2, F.size(notes)), lambda y: y["n"] == x["n"]))
-    return F.map_from_entries(last)
+    return F.map_from_entries(markup.last_of(notes, "n"))
 
 
 def _rows(html: Column, which: str) -> Column:

@@ -18,3 +18,11 @@ def test_by_header_reads_a_table_once(spark):
     got = df.select(F.inline(markup.by_header(markup.table_with("h", "asset name"), {"k": "^#$", "asset": "asset name", "x": "none"}))).collect()
     assert [tuple(r) for r in got] == [(str(k), f"A & {k}", None) for k in range(N)]
     assert time.monotonic() - began < 40
+
+
+def test_documents_grown_from_small_tables_are_read_by_many_tasks(spark, sf_dir):
+    """A few MB of orders make GB of documents, which one task read."""
+    from millrace.plans import reports
+
+    for df in (reports._forms(spark, sf_dir), reports._bill_xml(spark, sf_dir)):
+        assert df.withColumn("task", F.spark_partition_id()).select("task").distinct().count() >= 8
