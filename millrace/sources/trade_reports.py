@@ -243,8 +243,7 @@ def table_trades(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
     raw_asset = F.get("raw", F.col("base") + TABLE_COLUMNS.index("asset"))
     notes = F.regexp_extract_all(F.regexp_extract(raw_asset, _NOTES, 1), F.lit(r"(?is)<em>([^<]+):</em>\s*([^<]+)"), F.lit(0))
     pairs = F.transform(notes, lambda m: F.struct(markup.text_of(F.regexp_extract(m, r"(?is)<em>([^<]+):</em>", 1)).alias("k"), markup.text_of(F.regexp_extract(m, r"(?is)</em>(.*)$", 1)).alias("v")))
-    pairs = F.filter(pairs, lambda p: (p["k"] != "") & (p["v"] != ""))
-    pairs = F.filter(pairs, lambda p, k: ~F.exists(F.slice(pairs, k + 2, F.size(pairs)), lambda q: q["k"] == p["k"]))
+    pairs = markup.last_of(F.filter(pairs, lambda p: (p["k"] != "") & (p["v"] != "")), "k")
     digits = F.regexp_replace(cell["amount"], "[$,]", "")
     ends = [F.nullif(F.regexp_extract(digits, r"(?i)(\d+)\s*(?:[-–—]|\bto\b|\bthrough\b)\s*(\d+)", k), F.lit("")).try_cast("decimal(20,2)") for k in (1, 2)]
     single = F.nullif(F.regexp_replace(digits, r"[^\d.]", ""), F.lit("")).try_cast("decimal(20,2)")
@@ -253,6 +252,6 @@ def table_trades(df: DataFrame, id_col: str, html_col: str) -> DataFrame:
         "id", "n", "filer", _day(cell["traded"]).alias("traded"), cell["owner"].alias("owner"), F.when(~cell["ticker"].isin("--", ""), cell["ticker"]).alias("symbol"),
         markup.text_of(F.regexp_replace(F.coalesce(raw_asset, F.lit("")), _NOTES, "")).alias("asset"), cell["asset_type"].alias("asset_type"), cell["kind"].alias("kind"),
         F.when(kind.isin(*BUYS), "P").when(kind.isin(*SELLS), "S").otherwise(F.upper(F.left(cell["kind"], F.lit(1)))).alias("code"),
-        cell["amount"].alias("amount"), standard_range(*ends, single).alias("__a"), cell["comment"].alias("comment"), F.when(F.size(pairs) > 0, F.map_from_entries(pairs)).alias("metadata"),
+        cell["amount"].alias("amount"), standard_range(*ends, single).alias("__a"), cell["comment"].alias("comment"), markup.let(pairs, lambda ps: F.when(F.size(ps) > 0, F.map_from_entries(ps))).alias("metadata"),
     ).filter("kind <> '' AND amount NOT IN ('', '--')")
     return out.select(*out.columns[:10], F.col("__a.min").alias("amount_min"), F.col("__a.max").alias("amount_max"), F.col("__a.exact").alias("exact_amount"), "comment", "metadata")
