@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions import markup
+
 
 def texts(*names: str) -> dict:
     return dict.fromkeys(names)
@@ -92,7 +94,7 @@ def tidy(c: str, tree, depth: int = 0) -> str:
 
 def _first_of(a: Column, same) -> Column:
     """The elements of an array that no earlier one equals."""
-    return F.filter(a, lambda x, k: ~F.exists(F.slice(a, F.lit(1), k), lambda y: same(x, y)))
+    return markup.let(a, lambda all_: F.filter(all_, lambda x, k: ~F.exists(F.slice(all_, F.lit(1), k), lambda y: same(x, y))))
 
 
 def _or_empty(c: Column, like: str) -> Column:
@@ -126,7 +128,8 @@ def _subjects(s: Column) -> Column:
     full = F.concat(F.transform(other, one(False)), F.transform(primary, one(True)))
     plain = F.transform(_or_empty(F.coalesce(s["legislativeSubjects"]["item"], s["item"]), _ddl([SUBJECT])), one(False))
     area = F.when(s["policyArea"]["name"].isNotNull(), F.array(F.struct(s["policyArea"]["name"].alias("name"), F.lit(None).cast("string").alias("parent"), F.lit(None).cast("string").alias("updateDate"), F.lit(True).alias("primary"))))
-    return F.when(F.size(full) > 0, full).otherwise(F.concat(plain, F.coalesce(area, F.filter(plain, lambda _: F.lit(False)))))
+    short = markup.let(plain, lambda p: F.concat(p, F.coalesce(area, F.filter(p, lambda _: F.lit(False)))))
+    return markup.let(full, lambda f: F.when(F.size(f) > 0, f).otherwise(short))
 
 
 def _amendment(congress: Column):
@@ -155,9 +158,10 @@ def parse_bills(df: DataFrame, xml: str = "xml", dated: tuple[str, str] | None =
         d = F.try_to_date(F.regexp_extract("__x", r"<introducedDate>\s*([0-9-]{10})", 1), "yyyy-MM-dd")
         df = df.filter(d.isNull() | d.between(F.lit(dated[0]).cast("date"), F.lit(dated[1]).cast("date")))
     body = F.concat(F.lit("<bill"), F.element_at(F.split(F.substring_index("__x", "</bill>", 1), r"<bill(?=[\s>])", 2), -1), F.lit("</bill>"))
-    # Each top element is tidied where it is used; only those asked for are read.
+    # Each top element is tidied once, in a column; those that nobody asks for are not.
     df = df.withColumn("b", F.from_xml(F.when(F.col("__x").rlike(r"<bill[\s>]"), body), schema_of(TREE), {"mode": "PERMISSIVE", "attributePrefix": "_"}))
-    t = {k: F.expr(tidy(f"b.{k}", v)) for k, v in TREE.items()}
+    df = df.select(*keep, *[F.expr(tidy(f"b.{k}", v)).alias(f"__t_{k}") for k, v in TREE.items()])
+    t = {k: F.col(f"__t_{k}") for k in TREE}
     congress = t["congress"].try_cast("int")
     kind = F.upper(F.coalesce(t["type"], t["billType"]))
     number = F.coalesce(t["number"], t["billNumber"])
