@@ -26,3 +26,20 @@ def test_documents_grown_from_small_tables_are_read_by_many_tasks(spark, sf_dir)
 
     for df in (reports._forms(spark, sf_dir), reports._bill_xml(spark, sf_dir)):
         assert df.withColumn("task", F.spark_partition_id()).select("task").distinct().count() >= 8
+
+
+def test_range_totals_are_those_of_the_pairs(spark):
+    """As brute force, with ends that meet values, ranges of no length, open and falling ones, nulls and halves; and far more pairs than rows."""
+    from millrace.operators import joins
+
+    values = [None, -3.0, 0.0, 0.5, 1.0, 1.0, 2.5, 7.0, 7.5, 99.0]
+    ranges = [(0, 1), (1, 1), (1, 7), (2, None), (7, 7), (9, 3), (None, 4), (-5, 0), (8, None), (1, 7)]
+    df = spark.createDataFrame(list(enumerate(values)), "k int, v double")
+    rdf = spark.createDataFrame(ranges, "lo bigint, hi bigint")
+    got = {r["k"]: (r["n"], r["total"]) for r in joins.range_totals(df, rdf, F.col("v"), "lo", "hi", "n", total="lo").collect()}
+    for k, v in enumerate(values):
+        held = [lo for lo, hi in ranges if v is not None and lo is not None and lo <= v and (hi is None or v <= hi)]
+        assert got[k] == (len(held), sum(held)), v
+    n = 60_000
+    r = joins.range_totals(spark.range(n), spark.range(n).selectExpr("id AS lo", "cast(null AS bigint) AS hi"), F.col("id"), "lo", "hi", "n", total="lo").agg(F.sum("n"), F.max("total")).first()
+    assert tuple(r) == (n * (n + 1) // 2, n * (n - 1) // 2)
